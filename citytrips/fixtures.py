@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from citytrips import rules, schemas
 from citytrips.functions import floor_hour
+from citytrips.plans.pipeline import Store
 from citytrips.sources.columns import conform
 
 MIN_PICKUP = "1995-01-01"
@@ -43,7 +44,7 @@ def raw_yellow(spark: SparkSession, folder: str) -> DataFrame:
         pickup.alias("tpep_pickup_datetime"),
         _plus_minutes(pickup, F.col("l_quantity")).alias("tpep_dropoff_datetime"),
         F.col("l_linenumber").alias("passenger_count"),
-        (F.col("l_quantity") * 0.25).alias("trip_distance"),
+        (F.col("l_quantity") * 0.25 + F.col("l_linenumber") * 0.5).alias("trip_distance"),
         (F.col("l_partkey") % ZONE_COUNT + 1).alias("pu_location_id"),
         (F.col("l_suppkey") % ZONE_COUNT + 1).alias("do_location_id"),
         (F.col("l_linenumber") % 6 + 1).alias("payment_type"),
@@ -138,3 +139,22 @@ def zones(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat(F.lit("Zone "), n.cast("string"))).alias("zone"),
         pick(SERVICE_ZONES, n % 4 + 1).alias("service_zone"),
     ), schemas.ZONES)
+
+
+class ProjectedStore(Store):
+    """A store whose raw tables are the projections above instead of loaded files."""
+
+    def __init__(self, spark: SparkSession, root: str, folder: str):
+        super().__init__(spark, root, MIN_PICKUP)
+        self.folder = folder
+
+    def raw(self, name: str) -> DataFrame:
+        source = {"yellow_taxi": raw_yellow, "fhv_taxi": raw_fhv, "trips": raw_bike,
+                  "hourly_weather": raw_weather}[name]
+        return source(self.spark, self.folder)
+
+    def has_raw(self, name: str) -> bool:
+        return True
+
+    def zones(self) -> DataFrame:
+        return zones(self.spark, self.folder)

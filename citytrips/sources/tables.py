@@ -14,6 +14,7 @@ from citytrips.operators.dedup import keep_first
 from citytrips.operators.merge import without_keys_of
 
 MONTH = "pickup_month"
+CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the default of the CSV writer cuts microseconds
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
@@ -139,4 +140,5 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a result as CSV with a header."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    (df.write.mode("overwrite").option("header", "true").option("timestampNTZFormat", CSV_TIME)
+       .csv(path))

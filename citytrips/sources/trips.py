@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 from pyspark.errors import AnalysisException
@@ -32,15 +33,30 @@ def _reason(error: AnalysisException) -> str:
 
 def load_parquet_months(spark: SparkSession, root: str, year: int, months: Sequence[int],
                         pattern: str, source: str, schema: T.StructType) -> Loaded:
-    """Read the months that exist; one that cannot be read is reported and left out."""
-    frames, entries = [], []
+    """Read the months that exist; one that cannot be read is reported and left out.
+
+    Months with equal schemas become one scan, so a year is one scan unless its columns
+    changed on the way.
+    """
+    by_schema: dict[str, list[str]] = {}
+    entries = []
     for month in validate_months(months):
+        path = _path(root, pattern, year, month)
         try:
-            frame = spark.read.parquet(_path(root, pattern, year, month))
-            frames.append(conform(normalize_columns(frame), schema, extra=True))
+            found = spark.read.parquet(path).schema.json()
+            by_schema.setdefault(found, []).append(path)
             entries.append(Entry(year, month, source, "success", None))
         except AnalysisException as error:
             entries.append(Entry(year, month, source, "failed", _reason(error)))
+    frames = [
+        conform(
+            normalize_columns(
+                spark.read.schema(T.StructType.fromJson(json.loads(found))).parquet(*paths)
+            ),
+            schema, extra=True,
+        )
+        for found, paths in by_schema.items()
+    ]
     return (union_months(frames) if frames else None), entries
 
 
