@@ -251,9 +251,6 @@ class _UpTo(pipeline.Store):
             return df
         return df.filter(F.col(schemas.EVENT_TIME[name]) < ntz(self.before))
 
-    def has_raw(self, name: str) -> bool:
-        return True
-
 
 @registered
 def inc_refresh_facts(w: Workspace) -> DataFrame:

@@ -153,8 +153,5 @@ class ProjectedStore(Store):
                   "hourly_weather": raw_weather}[name]
         return source(self.spark, self.folder)
 
-    def has_raw(self, name: str) -> bool:
-        return True
-
     def zones(self) -> DataFrame:
         return zones(self.spark, self.folder)

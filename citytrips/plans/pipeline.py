@@ -18,7 +18,7 @@ from citytrips.operators.staging import (
     stg_bike, stg_fhv, stg_weather, stg_yellow, trips_unioned,
 )
 from citytrips.sources.ingest import DEFAULT_SOURCES, ingest, raw_table
-from citytrips.sources.tables import merge_into, read_table, write_table
+from citytrips.sources.tables import MONTH, by_month, merge_into, read_table, write_table
 
 
 class Store:
@@ -30,31 +30,27 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/core/{name}"
 
-    def raw(self, name: str) -> DataFrame:
-        df = raw_table(self.spark, self.root, name)
-        if df is None:
-            raise FileNotFoundError(f"raw table {name} has not been loaded")
-        return df
-
-    def has_raw(self, name: str) -> bool:
-        return raw_table(self.spark, self.root, name) is not None
+    def raw(self, name: str) -> DataFrame | None:
+        """Declared columns of a raw table, None where it has not been loaded."""
+        return raw_table(self.spark, self.root, name, declared=True)
 
     def table(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         return read_table(self.spark, self.path(name), schema)
 
     def trips(self) -> DataFrame:
         """Union of the staged modes that have been loaded."""
-        parts: dict[str, DataFrame] = {}
-        if self.has_raw("yellow_taxi"):
-            parts["yellow"] = stg_yellow(self.raw("yellow_taxi"), self.min_pickup, wide=False)
-        if self.has_raw("fhv_taxi"):
-            parts["fhv"] = stg_fhv(self.raw("fhv_taxi"), self.min_pickup, wide=False)
-        if self.has_raw("trips"):
-            parts["bike"] = stg_bike(self.raw("trips"))
-        return trips_unioned(**parts)
+        yellow, fhv, bike = (self.raw(n) for n in ("yellow_taxi", "fhv_taxi", "trips"))
+        return trips_unioned(
+            yellow=None if yellow is None else stg_yellow(yellow, self.min_pickup, wide=False),
+            fhv=None if fhv is None else stg_fhv(fhv, self.min_pickup, wide=False),
+            bike=None if bike is None else stg_bike(bike),
+        )
 
     def weather(self) -> DataFrame:
-        return dim_weather(stg_weather(self.raw("hourly_weather")))
+        raw = self.raw("hourly_weather")
+        if raw is None:
+            raise FileNotFoundError("hourly_weather has not been loaded")
+        return dim_weather(stg_weather(raw))
 
 
 class DuplicateHours(ValueError):
@@ -83,20 +79,34 @@ def write_dimensions(store: Store, fct: DataFrame, zones: DataFrame | None = Non
 
 
 TRIP_ORDER, HOUR_ORDER = ("pickup_datetime",), ("hour_timestamp",)
+# Weather of more than a century of hours would no longer be broadcast.
+BROADCAST_HOURS = 1_000_000
+
+
+def write_trips(store: Store, weather: DataFrame) -> None:
+    """Write the trip fact by month.
+
+    The rows are rebalanced by month while they have the dozen columns of the union, and the
+    weather is broadcast to them by its size on disk. Were the weather too large for that,
+    its join would shuffle the rows again, so the rebalance would have to come last.
+    """
+    narrow = weather.count() <= BROADCAST_HOURS  # answered by the Parquet footers
+    trips = by_month(store.trips(), "pickup_datetime") if narrow else store.trips()
+    write_table(fct_trips(trips, weather), store.path("fct_trips"), MONTH, TRIP_ORDER,
+                balanced=narrow)
 
 
 def build(store: Store, zones: DataFrame | None = None) -> None:
     """Full refresh of all dimensions and facts."""
     weather = write_weather(store)
-    write_table(fct_trips(store.trips(), weather), store.path("fct_trips"),
-                partition_by="pickup_month", order_by=TRIP_ORDER)
+    write_trips(store, weather)
     fct = store.table("fct_trips")
-    write_table(fct_hourly(fct), store.path("fct_hourly_mobility"),
-                partition_by="pickup_month", order_by=HOUR_ORDER)
+    write_table(fct_hourly(fct), store.path("fct_hourly_mobility"), MONTH, HOUR_ORDER)
     write_dimensions(store, fct, zones)
 
 
-def _replace(store: Store, name: str, batch: DataFrame, key: str, key_sets_month: bool) -> None:
+def _replace(store: Store, name: str, batch: DataFrame, key: str, key_sets_month: bool,
+             order_by: Sequence[str]) -> None:
     """Delete+insert a batch by key; only the months concerned are rewritten.
 
     The batch is landed first: it is read several times, and its size on disk lets Spark
@@ -107,8 +117,7 @@ def _replace(store: Store, name: str, batch: DataFrame, key: str, key_sets_month
     landed = store.spark.read.parquet(staging)
     if landed.isEmpty():
         return
-    merge_into(store.spark, store.path(name), landed, [key], key_sets_month,
-               schema=landed.schema)
+    merge_into(store.spark, store.path(name), landed, [key], key_sets_month, order_by)
 
 
 def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
@@ -126,10 +135,10 @@ def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
     weather = write_weather(store)
     batch = new_trips(store.trips(), fct, start)
     # A ride id says nothing about its month, so older versions are looked up by key.
-    _replace(store, "fct_trips", fct_trips(batch, weather), "trip_key", key_sets_month=False)
+    _replace(store, "fct_trips", fct_trips(batch, weather), "trip_key", False, TRIP_ORDER)
     fct = store.table("fct_trips")
     hours = new_hours(fct, store.table("fct_hourly_mobility"), start)
-    _replace(store, "fct_hourly_mobility", fct_hourly(hours), "hour_key", key_sets_month=True)
+    _replace(store, "fct_hourly_mobility", fct_hourly(hours), "hour_key", True, HOUR_ORDER)
     write_dimensions(store, fct, zones)
 
 

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
+    # Exact medians use object aggregation. By default it gives up hashing at 128 groups per
+    # task and sorts; hourly groups are many but small, so hashing may go on much longer.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "50000",
 }
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citytrips import schemas
 from citytrips.functions import month_key
@@ -55,9 +56,14 @@ def merge_raw(spark: SparkSession, root: str, table: str, batch: DataFrame) -> N
                key_sets_month=schemas.EVENT_TIME[table] in keys)
 
 
-def raw_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """A raw table with its declared columns first."""
-    return read_table(spark, f"{root}/raw/{table}", evolving=True)
+def raw_table(spark: SparkSession, root: str, table: str,
+              declared: bool = False) -> DataFrame | None:
+    """A raw table: all columns any month has, or the declared ones without reading footers."""
+    path = f"{root}/raw/{table}"
+    if not declared:
+        return read_table(spark, path, evolving=True)
+    return read_table(spark, path, T.StructType(
+        [*schemas.RAW[table].fields, T.StructField(MONTH, T.IntegerType())]))
 
 
 def ingest(spark: SparkSession, landing: str, root: str, year: int, months: Sequence[int],
@@ -87,7 +93,7 @@ def _with_rows(spark: SparkSession, root: str, table: str, entries: list[Entry])
     """Fill in the rows the table now has for each loaded month, from partition counts."""
     wanted = [e.year * 100 + e.month for e in entries if e.status == "success"]
     counts = dict(
-        raw_table(spark, root, table).filter(F.col(MONTH).isin(wanted))
+        raw_table(spark, root, table, declared=True).filter(F.col(MONTH).isin(wanted))
         .groupBy(MONTH).count().collect()
     )
     return [

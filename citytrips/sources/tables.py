@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citytrips.functions import month_key
 from citytrips.operators.dedup import keep_first
 from citytrips.operators.merge import without_keys_of
 
@@ -17,31 +17,39 @@ MONTH = "pickup_month"
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the default of the CSV writer cuts microseconds
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None,
-                order_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Write a table.
+def by_month(df: DataFrame, ts: str | None = None) -> DataFrame:
+    """Bring rows of a month together for a partitioned write.
 
-    A partitioned write first rebalances by the partition column: adaptive execution then
-    merges small months and splits a month that holds much of the data over several tasks,
-    which a plain ``repartition(column)`` would leave to one.
+    A rebalance lets adaptive execution merge small months and split a month that holds much
+    of the data over several tasks; a plain ``repartition(column)`` would leave it to one.
+    Applied to narrow rows before columns are added, it shuffles fewer bytes.
     """
-    if partition_by:
-        df = df.hint("rebalance", F.col(partition_by))
-        if order_by:
-            df = df.sortWithinPartitions(partition_by, *order_by)
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    if ts is not None:
+        df = df.withColumn(MONTH, month_key(F.col(ts)))
+    return df.hint("rebalance", F.col(MONTH))
+
+
+def write_table(df: DataFrame, path: str, partition_by: str | None = None,
+                order_by: Sequence[str] = (), balanced: bool = False) -> None:
+    """Replace a table; ``balanced`` rows have gone through ``by_month`` already."""
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    _write_months(df if balanced else df.hint("rebalance", F.col(partition_by)), path,
+                  partition_by, order_by, "static")
+
+
+def _write_months(df: DataFrame, path: str, column: str, order_by: Sequence[str],
+                  scope: str) -> None:
+    if order_by:
+        df = df.sortWithinPartitions(column, *order_by)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", scope)
+       .partitionBy(column).parquet(path))
 
 
 def overwrite_months(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     """Replace only the months that occur in df; it may read the same table."""
-    df = df.hint("rebalance", F.col(MONTH))
-    if order_by:
-        df = df.sortWithinPartitions(MONTH, *order_by)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(MONTH).parquet(path))
+    _write_months(by_month(df), path, MONTH, order_by, "dynamic")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -70,47 +78,64 @@ def _months_of(df: DataFrame) -> set:
     return {row[0] for row in df.select(MONTH).distinct().collect()}
 
 
-def _drop_month(spark: SparkSession, path: str, month) -> None:
-    value = "__HIVE_DEFAULT_PARTITION__" if month is None else unquote(str(month))
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={value}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def _read_months(spark: SparkSession, path: str, months: set) -> DataFrame | None:
+    """The given months of a table with all columns any of them has.
+
+    Only footers of these months are read, however many the table holds.
+    """
+    folders = [_folder(path, m) for m in sorted(months, key=str)]
+    present = [f for f in folders if exists(spark, f)]
+    if not present:
+        return None
+    reader = spark.read.option("basePath", path).option("mergeSchema", "true")
+    return reader.parquet(*present)
 
 
 def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-               key_sets_month: bool = True, schema: T.StructType | None = None) -> None:
+               key_sets_month: bool = True, order_by: Sequence[str] = ()) -> None:
     """Upsert a batch, which carries ``pickup_month``, into a month-partitioned table.
 
     Only the months the batch touches are read and written again. Where the key does not
     contain the time, a row may have moved to another month, so the months holding its old
-    version are looked up and rewritten too.
+    version are looked up by the key columns alone and rewritten too.
     """
-    target = read_table(spark, path, schema, evolving=schema is None)
     batch = keep_first(batch, keys)
-    if target is None or MONTH not in target.columns:
-        write_table(batch, path, partition_by=MONTH)
+    if not exists(spark, path):
+        write_table(batch, path, MONTH, order_by)
         return
-    months = _months_of(batch)
-    emptied: set = set()
+    months, moved_from = _months_of(batch), set()
     if not key_sets_month:
-        matched = target.join(
-            batch.select(*keys).withColumnsRenamed({k: f"_{k}" for k in keys}),
-            [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi",
-        )
-        elsewhere = _months_of(matched) - months
-        if elsewhere:
-            old = target.filter(_in_months(elsewhere))
-            emptied = elsewhere - _months_of(without_keys_of(old, batch, keys))
-            months |= elsewhere
-    kept = without_keys_of(target.filter(_in_months(months)), batch, keys)
-    overwrite_months(kept.unionByName(batch, allowMissingColumns=True), path)
+        columns = T.StructType([batch.schema[c] for c in (*keys, MONTH)])
+        known = read_table(spark, path, columns)
+        found = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        moved_from = _months_of(known.join(found, same, "left_semi")) - months
+    target = _read_months(spark, path, months | moved_from)
+    result, emptied = batch, set()
+    if target is not None:
+        kept = without_keys_of(target, batch, keys)
+        result = kept.unionByName(batch, allowMissingColumns=True)
+        if moved_from:
+            emptied = moved_from - _months_of(kept)
+    overwrite_months(result, path, order_by)
     for month in emptied:
-        _drop_month(spark, path, month)
+        _file_system(spark, path).delete(_hadoop_path(spark, _folder(path, month)), True)
+
+
+def _folder(path: str, month) -> str:
+    return f"{path}/{MONTH}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _in_months(months: set):
-    known = [m for m in months if m is not None]
-    condition = F.col(MONTH).isin(known)
-    return condition | F.col(MONTH).isNull() if None in months else condition
+def exists(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).exists(_hadoop_path(spark, path))
 
 
 def materialize(df: DataFrame, mode: str, name: str, path: str | None = None) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -13,6 +12,7 @@ from citytrips import schemas
 from citytrips.sources.columns import conform, normalize_columns, snake_case, union_months
 from citytrips.sources.months import validate_months
 from citytrips.sources.report import Entry
+from citytrips.sources.tables import exists
 
 YELLOW_FILE = "yellow_tripdata_{year}-{month:02d}.parquet"
 FHV_FILE = "fhv_tripdata_{year}-{month:02d}.parquet"
@@ -27,37 +27,44 @@ def _path(root: str, pattern: str, year: int, month: int) -> str:
     return f"{root.rstrip('/')}/{pattern.format(year=year, month=month)}"
 
 
-def _reason(error: AnalysisException) -> str:
-    return error.getCondition() or type(error).__name__
+def _reason(error: Exception) -> str:
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return condition or f"{type(error).__name__}: {error}"[:500]
+
+
+def _together(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Months as one scan whose schema has the columns of all of them."""
+    frame = spark.read.option("mergeSchema", "true").parquet(*paths)
+    return conform(normalize_columns(frame), schema, extra=True)
 
 
 def load_parquet_months(spark: SparkSession, root: str, year: int, months: Sequence[int],
                         pattern: str, source: str, schema: T.StructType) -> Loaded:
     """Read the months that exist; one that cannot be read is reported and left out.
 
-    Months with equal schemas become one scan, so a year is one scan unless its columns
-    changed on the way.
+    Usually all months become one scan. Where a file is damaged or a column changed its type,
+    each month is opened on its own, which tells what fails and casts each type by itself.
     """
-    by_schema: dict[str, list[str]] = {}
-    entries = []
-    for month in validate_months(months):
-        path = _path(root, pattern, year, month)
+    paths = {m: _path(root, pattern, year, m) for m in validate_months(months)}
+    present = {m: p for m, p in paths.items() if exists(spark, p)}
+    problems = {m: "PATH_NOT_FOUND" for m in paths if m not in present}
+    frame = None
+    if present:
         try:
-            found = spark.read.parquet(path).schema.json()
-            by_schema.setdefault(found, []).append(path)
-            entries.append(Entry(year, month, source, "success", None))
-        except AnalysisException as error:
-            entries.append(Entry(year, month, source, "failed", _reason(error)))
-    frames = [
-        conform(
-            normalize_columns(
-                spark.read.schema(T.StructType.fromJson(json.loads(found))).parquet(*paths)
-            ),
-            schema, extra=True,
-        )
-        for found, paths in by_schema.items()
+            frame = _together(spark, list(present.values()), schema)
+        except Exception:  # noqa: BLE001 - found out month by month below
+            frames = []
+            for month, path in present.items():
+                try:
+                    frames.append(_together(spark, [path], schema))
+                except Exception as error:  # noqa: BLE001 - recorded for this month
+                    problems[month] = _reason(error)
+            frame = union_months(frames) if frames else None
+    entries = [
+        Entry(year, m, source, "failed" if m in problems else "success", problems.get(m))
+        for m in paths
     ]
-    return (union_months(frames) if frames else None), entries
+    return frame, entries
 
 
 def load_yellow(spark: SparkSession, root: str, year: int, months: Sequence[int]) -> Loaded:
@@ -192,7 +199,7 @@ def load_bike_csv(spark: SparkSession, root: str, year: int, months: Sequence[in
             frame = spark.read.option("header", "true").csv(_path(root, BIKE_CSV, year, month))
             frames.append(conform(normalize_columns(frame), schemas.RAW_BIKE, extra=True))
             entries.append(Entry(year, month, "trips", "success", None))
-        except AnalysisException as error:
+        except PySparkException as error:
             entries.append(Entry(year, month, "trips", "failed", _reason(error)))
     return (union_months(frames) if frames else None), entries
 
