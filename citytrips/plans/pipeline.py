@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,11 @@ from citytrips.operators.merge import new_hours, new_trips
 from citytrips.operators.staging import (
     stg_bike, stg_fhv, stg_weather, stg_yellow, trips_unioned,
 )
+from citytrips.plans.quality import duplicates
 from citytrips.sources.ingest import DEFAULT_SOURCES, ingest, raw_table
-from citytrips.sources.tables import MONTH, by_month, merge_into, read_table, write_table
+from citytrips.sources.tables import (
+    MONTH, by_month, merge_into, read_table, stage, write_table,
+)
 
 
 class Store:
@@ -61,8 +65,7 @@ def write_weather(store: Store) -> DataFrame:
     """Write the weather dimension; one row per hour is a precondition of the trip fact."""
     write_table(store.weather(), store.path("dim_weather"))
     weather = store.table("dim_weather")
-    repeated = weather.groupBy("weather_key").count().filter("count > 1")
-    if not repeated.isEmpty():
+    if not duplicates(weather, "weather_key").isEmpty():
         raise DuplicateHours("hourly_weather has several rows for an hour")
     return weather
 
@@ -73,7 +76,7 @@ def write_dimensions(store: Store, fct: DataFrame, zones: DataFrame | None = Non
     days = days_present(fct).select(F.col("actual_date").alias("pickup_datetime"))
     write_table(dim_date(days), store.path("dim_date"))
     write_table(dim_time(store.spark), store.path("dim_time"))
-    write_table(time_spine(store.spark), store.path("metricflow_time_spine"))
+    write_table(time_spine(store.spark), store.path("time_spine"))
     if zones is not None:
         write_table(dim_location(zones), store.path("dim_location"))
 
@@ -101,23 +104,24 @@ def build(store: Store, zones: DataFrame | None = None) -> None:
     weather = write_weather(store)
     write_trips(store, weather)
     fct = store.table("fct_trips")
-    write_table(fct_hourly(fct), store.path("fct_hourly_mobility"), MONTH, HOUR_ORDER)
-    write_dimensions(store, fct, zones)
+    # Both read the fact only; run together, one fills the cluster while the other winds up.
+    with ThreadPoolExecutor(2) as pool:
+        hourly = pool.submit(write_table, fct_hourly(fct), store.path("fct_hourly_mobility"),
+                             MONTH, HOUR_ORDER)
+        dimensions = pool.submit(write_dimensions, store, fct, zones)
+        hourly.result(), dimensions.result()
 
 
-def _replace(store: Store, name: str, batch: DataFrame, key: str, key_sets_month: bool,
-             order_by: Sequence[str]) -> None:
+def _replace(store: Store, name: str, batch: DataFrame, key: str,
+             movable: tuple[str, ...] | None, order_by: Sequence[str]) -> None:
     """Delete+insert a batch by key; only the months concerned are rewritten.
 
     The batch is landed first: it is read several times, and its size on disk lets Spark
     decide whether its keys can be broadcast to the target.
     """
-    staging = f"{store.root}/staging/{name}"
-    batch.write.mode("overwrite").parquet(staging)
-    landed = store.spark.read.parquet(staging)
-    if landed.isEmpty():
-        return
-    merge_into(store.spark, store.path(name), landed, [key], key_sets_month, order_by)
+    landed = stage(batch, f"{store.root}/staging/{name}")
+    if not landed.isEmpty():
+        merge_into(store.spark, store.path(name), landed, [key], movable, order_by)
 
 
 def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
@@ -128,18 +132,22 @@ def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
     from that date on are rebuilt, and a full refresh rebuilds everything. Missing or empty
     facts always mean a full refresh.
     """
-    fct = store.table("fct_trips")
-    if full_refresh or fct is None or fct.isEmpty():
+    fct = None if full_refresh else store.table("fct_trips")
+    if fct is None or fct.isEmpty():
         build(store, zones)
         return
     weather = write_weather(store)
     batch = new_trips(store.trips(), fct, start)
-    # A ride id says nothing about its month, so older versions are looked up by key.
-    _replace(store, "fct_trips", fct_trips(batch, weather), "trip_key", False, TRIP_ORDER)
-    fct = store.table("fct_trips")
+    # A ride id says nothing about its month, so older versions of rides are looked up.
+    _replace(store, "fct_trips", fct_trips(batch, weather), "trip_key",
+             ("trip_type", rules.BIKE), TRIP_ORDER)
+    fct = store.table("fct_trips", fct.schema)
     hours = new_hours(fct, store.table("fct_hourly_mobility"), start)
-    _replace(store, "fct_hourly_mobility", fct_hourly(hours), "hour_key", True, HOUR_ORDER)
-    write_dimensions(store, fct, zones)
+    with ThreadPoolExecutor(2) as pool:
+        hourly = pool.submit(_replace, store, "fct_hourly_mobility", fct_hourly(hours),
+                             "hour_key", None, HOUR_ORDER)
+        dimensions = pool.submit(write_dimensions, store, fct, zones)
+        hourly.result(), dimensions.result()
 
 
 class MonthResult(NamedTuple):

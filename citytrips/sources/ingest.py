@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from citytrips import schemas
 from citytrips.functions import month_key
+from citytrips.operators.dedup import keep_first
 from citytrips.sources.months import validate_months
 from citytrips.sources.report import Entry, report_frame
-from citytrips.sources.tables import MONTH, merge_into, read_table
+from citytrips.sources.tables import MONTH, merge_into, read_table, stage
 from citytrips.sources.trips import Loaded, load_bike, load_fhv, load_yellow
 from citytrips.sources.weather import load_weather
 
@@ -50,10 +51,14 @@ def with_month(df: DataFrame, table: str) -> DataFrame:
 
 
 def merge_raw(spark: SparkSession, root: str, table: str, batch: DataFrame) -> None:
-    """Upsert a batch into a raw table by its natural key."""
+    """Upsert a batch into a raw table by its natural key.
+
+    The batch is deduplicated once into a staging zone, as the merge reads it several times.
+    """
     keys = schemas.KEYS[table]
-    merge_into(spark, f"{root}/raw/{table}", with_month(batch, table), keys,
-               key_sets_month=schemas.EVENT_TIME[table] in keys)
+    landed = stage(keep_first(with_month(batch, table), keys), f"{root}/staging/{table}")
+    movable = None if schemas.EVENT_TIME[table] in keys else ()
+    merge_into(spark, f"{root}/raw/{table}", landed, keys, movable)
 
 
 def raw_table(spark: SparkSession, root: str, table: str,

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citytrips.functions import month_key
-from citytrips.operators.dedup import keep_first
 from citytrips.operators.merge import without_keys_of
 
 MONTH = "pickup_month"
@@ -92,36 +91,45 @@ def _read_months(spark: SparkSession, path: str, months: set) -> DataFrame | Non
 
 
 def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-               key_sets_month: bool = True, order_by: Sequence[str] = ()) -> None:
-    """Upsert a batch, which carries ``pickup_month``, into a month-partitioned table.
+               movable: tuple[str, ...] | None = None, order_by: Sequence[str] = ()) -> None:
+    """Upsert a landed batch, which carries ``pickup_month``, into a table of months.
 
-    Only the months the batch touches are read and written again. Where the key does not
-    contain the time, a row may have moved to another month, so the months holding its old
-    version are looked up by the key columns alone and rewritten too.
+    Keys are unique within the batch. Only the months the batch touches are read and written
+    again. Where a key does not contain the time, an older version of a row may lie in
+    another month: ``movable`` is ``()`` when that can be any row, or ``(column, value)`` for
+    rows with that value. Their months are looked up by these few columns and rewritten too.
     """
-    batch = keep_first(batch, keys)
     if not exists(spark, path):
         write_table(batch, path, MONTH, order_by)
         return
     months, moved_from = _months_of(batch), set()
-    if not key_sets_month:
-        columns = T.StructType([batch.schema[c] for c in (*keys, MONTH)])
-        known = read_table(spark, path, columns)
-        found = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        moved_from = _months_of(known.join(found, same, "left_semi")) - months
+    if movable is not None:
+        moved_from = _months_of(_older_versions(spark, path, batch, keys, movable)) - months
     target = _read_months(spark, path, months | moved_from)
-    result, emptied = batch, set()
-    if target is not None:
-        kept = without_keys_of(target, batch, keys)
-        result = kept.unionByName(batch, allowMissingColumns=True)
-        if moved_from:
-            emptied = moved_from - _months_of(kept)
-    overwrite_months(result, path, order_by)
+    if target is None:
+        overwrite_months(batch, path, order_by)
+        return
+    kept = without_keys_of(target, batch, keys)
+    # A month that loses all its rows is not part of the result, so the write leaves it alone.
+    emptied = moved_from - _months_of(kept) if moved_from else set()
+    overwrite_months(kept.unionByName(batch, allowMissingColumns=True), path, order_by)
     for month in emptied:
         _file_system(spark, path).delete(_hadoop_path(spark, _folder(path, month)), True)
 
 
+def _older_versions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
+                    movable: tuple[str, ...]) -> DataFrame:
+    """Rows of the table with the key of a movable row of the batch."""
+    needed = list(dict.fromkeys([*keys, *movable[:1], MONTH]))
+    known = read_table(spark, path, T.StructType([batch.schema[c] for c in needed]))
+    if movable:
+        column, value = movable
+        known, batch = known.filter(F.col(column) == value), batch.filter(F.col(column) == value)
+    found = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return known.join(found, same, "left_semi")
+
+
 def _folder(path: str, month) -> str:
     return f"{path}/{MONTH}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}"
 
