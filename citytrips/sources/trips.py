@@ -125,7 +125,8 @@ def _members(spark: SparkSession, paths: DataFrame) -> DataFrame:
                             rows.append((path, month, member, header, None))
                 except Exception as error:  # noqa: BLE001 - any damage fails this month only
                     rows.append((path, month, None, None, f"{type(error).__name__}: {error}"))
-            yield pd.DataFrame(rows, columns=["path", "month", "member", "header", "error"])
+            names = ["path", "month", "member", "header", "error"]
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return paths.mapInPandas(
         listing, "path string, month int, member string, header array<string>, error string"
@@ -153,9 +154,10 @@ def _zip_rows(spark: SparkSession, members: Sequence[tuple[str, str]],
                 files, name = fs.FileSystem.from_uri(path)
                 with zipfile.ZipFile(files.open_input_file(name)) as archive:
                     with archive.open(member) as stream:
-                        for chunk in pd.read_csv(stream, chunksize=chunk_rows, dtype=str,
+                        for chunk in pd.read_csv(stream, chunksize=chunk_rows, dtype=object,
                                                  encoding="utf-8-sig"):
-                            yield chunk.rename(columns=names).reindex(columns=wanted)
+                            renamed = chunk.rename(columns=names)
+                            yield renamed.reindex(columns=wanted).astype(object)
 
     listed = spark.createDataFrame(list(members), "path string, member string")
     return listed.repartition(max(1, len(members)), "path", "member").mapInPandas(rows, schema)
