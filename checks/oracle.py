@@ -812,7 +812,7 @@ oracle("dq_row_counts",
        "select count(*) as row_count, count(*) between 1000 and 50000 as passed from trips")
 oracle("dq_key_health", """
 select count(*) as total_rows, count(*) filter (trip_key is null) as null_keys,
-  count(trip_key) - count(distinct trip_key) as duplicate_keys
+  count(*) - count(distinct trip_key) as duplicate_keys
 from fct""")
 oracle("dq_key_health_raw", """
 select count(*) as total_rows, count(*) filter (p_ulocation_id is null) as null_keys,

@@ -219,7 +219,7 @@ def row_count_between(df: DataFrame, low: int, high: int) -> DataFrame:
 
 
 def key_health(fct: DataFrame, key: str = "trip_key") -> DataFrame:
-    """Null keys and rows beyond the first of each key.
+    """Null keys, and rows in excess of the distinct keys (rows without a key included).
 
     Rows are counted per key first, which the map tasks combine, so neither a distinct
     aggregation nor a key with very many rows is a burden.
