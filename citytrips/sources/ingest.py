@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,23 +76,27 @@ def ingest(spark: SparkSession, landing: str, root: str, year: int, months: Sequ
            sources: Iterable[str] | str = DEFAULT_SOURCES) -> DataFrame:
     """Merge landed months into the raw tables; returns the report.
 
-    A month that is missing or damaged is reported, the others load.
+    A month that is missing or damaged is reported, the others load. The tables do not
+    depend on each other and load at the same time.
     """
-    months = validate_months(months)
-    entries: list[Entry] = []
-    for table in select_tables(sources):
-        frame, found = _LOADERS[table](spark, landing, year, months)
-        if frame is None:
-            entries += found
-            continue
-        try:
-            merge_raw(spark, root, table, frame)
-        except Exception as error:  # noqa: BLE001 - one source must not stop the others
-            entries += [e._replace(status="failed", error=f"{type(error).__name__}: {error}"[:500])
-                        if e.status == "success" else e for e in found]
-            continue
-        entries += _with_rows(spark, root, table, found)
-    return report_frame(spark, entries)
+    months, names = validate_months(months), select_tables(sources)
+    with ThreadPoolExecutor(len(names)) as pool:
+        found = list(pool.map(lambda t: _load_table(spark, landing, root, t, year, months), names))
+    return report_frame(spark, [entry for entries in found for entry in entries])
+
+
+def _load_table(spark: SparkSession, landing: str, root: str, table: str, year: int,
+                months: Sequence[int]) -> list[Entry]:
+    frame, entries = _LOADERS[table](spark, landing, year, months)
+    if frame is None:
+        return entries
+    try:
+        merge_raw(spark, root, table, frame)
+        return _with_rows(spark, root, table, entries)
+    except Exception as error:  # noqa: BLE001 - one source must not stop the others
+        problem = f"{type(error).__name__}: {error}"[:500]
+        return [e._replace(status="failed", error=problem) if e.status == "success" else e
+                for e in entries]
 
 
 def _with_rows(spark: SparkSession, root: str, table: str, entries: list[Entry]) -> list[Entry]:
