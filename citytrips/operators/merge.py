@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 from functools import reduce
 from operator import and_
 
@@ -44,10 +45,16 @@ def replace_by_key(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return sync_schema(kept, batch).unionByName(batch)
 
 
-def _maximum(target: DataFrame | None, column: str):
-    """Largest value of a column; Parquet answers it from one narrow column."""
+def latest(target: DataFrame | None, column: str):
+    """Largest value of a time column; None for a missing or empty table.
+
+    In a table of months only the last month is read, which Parquet footers tell.
+    """
     if target is None:
         return None
+    if "pickup_month" in target.columns:
+        month = target.agg(F.max("pickup_month")).first()[0]
+        target = target.filter(F.col("pickup_month") == month)
     return target.agg(F.max(column)).first()[0]
 
 
@@ -65,12 +72,10 @@ def new_trips(trips: DataFrame, target: DataFrame | None, start: str | None = No
 
     The mark is strict, so rows that arrive late for an earlier time are passed over unless
     a lookback re-reads some minutes before it. A missing or empty target passes all rows.
-    The mark is read first and applied as a literal, which prunes partitions and row groups.
+    The mark is read first and applied as a literal, which reaches the scan.
     """
-    mark = None if start is not None else _maximum(target, "pickup_datetime")
-    if mark is not None and lookback_minutes:
-        from datetime import timedelta
-
+    mark = None if start is not None else latest(target, "pickup_datetime")
+    if mark is not None:
         mark -= timedelta(minutes=lookback_minutes)
     return _newer(trips, F.col("pickup_datetime"), mark, start)
 
@@ -80,7 +85,7 @@ def new_hours(fct: DataFrame, target: DataFrame | None, start: str | None = None
 
     An hour that is already in target is not computed again.
     """
-    mark = None if start is not None else _maximum(target, "hour_timestamp")
+    mark = None if start is not None else latest(target, "hour_timestamp")
     picked = _newer(fct, floor_hour(F.col("pickup_datetime")), mark, start)
     # The same bound on the plain column lets the scan skip files.
     return _newer(picked, F.col("pickup_datetime"), mark, start)

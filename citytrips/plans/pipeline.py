@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from citytrips import rules
 from citytrips.operators.dims import dim_date, dim_location, dim_time, dim_weather, time_spine
 from citytrips.operators.facts import fct_hourly, fct_trips
 from citytrips.operators.gaps import days_present
-from citytrips.operators.merge import new_hours, new_trips
+from citytrips.operators.merge import latest, new_hours, new_trips
 from citytrips.operators.staging import (
     stg_bike, stg_fhv, stg_weather, stg_yellow, trips_unioned,
 )
@@ -41,9 +42,16 @@ class Store:
     def table(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         return read_table(self.spark, self.path(name), schema)
 
-    def trips(self) -> DataFrame:
-        """Union of the staged modes that have been loaded."""
-        yellow, fhv, bike = (self.raw(n) for n in ("yellow_taxi", "fhv_taxi", "trips"))
+    def trips(self, from_month: int | None = None) -> DataFrame:
+        """Union of the staged modes that have been loaded, from a month (yyyymm) on."""
+
+        def raw(name: str) -> DataFrame | None:
+            df = self.raw(name)
+            if df is None or from_month is None or MONTH not in df.columns:
+                return df
+            return df.filter(F.col(MONTH) >= from_month)
+
+        yellow, fhv, bike = raw("yellow_taxi"), raw("fhv_taxi"), raw("trips")
         return trips_unioned(
             yellow=None if yellow is None else stg_yellow(yellow, self.min_pickup, wide=False),
             fhv=None if fhv is None else stg_fhv(fhv, self.min_pickup, wide=False),
@@ -137,7 +145,9 @@ def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
         build(store, zones)
         return
     weather = write_weather(store)
-    batch = new_trips(store.trips(), fct, start)
+    # The mark prunes the raw tables to months; the strict comparison follows on the rows.
+    since = latest(fct, "pickup_datetime") if start is None else date.fromisoformat(start[:10])
+    batch = new_trips(store.trips(since.year * 100 + since.month), fct, start)
     # A ride id says nothing about its month, so older versions of rides are looked up.
     _replace(store, "fct_trips", fct_trips(batch, weather), "trip_key",
              ("trip_type", rules.BIKE), TRIP_ORDER)

@@ -104,7 +104,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
         return
     months, moved_from = _months_of(batch), set()
     if movable is not None:
-        moved_from = _months_of(_older_versions(spark, path, batch, keys, movable)) - months
+        moved_from = _months_of(_older_versions(spark, path, batch, keys, movable, months))
     target = _read_months(spark, path, months | moved_from)
     if target is None:
         overwrite_months(batch, path, order_by)
@@ -118,10 +118,12 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
 
 
 def _older_versions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                    movable: tuple[str, ...]) -> DataFrame:
-    """Rows of the table with the key of a movable row of the batch."""
+                    movable: tuple[str, ...], months: set) -> DataFrame:
+    """Rows of other months with the key of a movable row of the batch."""
     needed = list(dict.fromkeys([*keys, *movable[:1], MONTH]))
     known = read_table(spark, path, T.StructType([batch.schema[c] for c in needed]))
+    listed = F.col(MONTH).isin([m for m in months if m is not None])
+    known = known.filter(~F.coalesce(listed, F.lit(None in months)))
     if movable:
         column, value = movable
         known, batch = known.filter(F.col(column) == value), batch.filter(F.col(column) == value)
