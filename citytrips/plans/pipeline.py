@@ -22,7 +22,7 @@ from citytrips.operators.staging import (
 from citytrips.plans.quality import duplicates
 from citytrips.sources.ingest import DEFAULT_SOURCES, ingest, raw_table
 from citytrips.sources.tables import (
-    MONTH, by_month, merge_into, read_table, stage, write_table,
+    MONTH, by_month, exists, merge_into, read_table, stage, write_table,
 )
 
 
@@ -78,13 +78,19 @@ def write_weather(store: Store) -> DataFrame:
     return weather
 
 
-def write_dimensions(store: Store, fct: DataFrame, zones: DataFrame | None = None) -> None:
-    """Write the calendar, hour, zone and spine dimensions."""
+def write_dimensions(store: Store, fct: DataFrame, zones: DataFrame | None = None,
+                     renew: bool = True) -> None:
+    """Write the calendar, hour, zone and spine dimensions.
+
+    Those that do not depend on data are left alone where they are complete, unless renewed.
+    """
     # The days present are few, so the calendar bounds need one narrow pass over the fact.
     days = days_present(fct).select(F.col("actual_date").alias("pickup_datetime"))
     write_table(dim_date(days), store.path("dim_date"))
-    write_table(dim_time(store.spark), store.path("dim_time"))
-    write_table(time_spine(store.spark), store.path("time_spine"))
+    fixed = {"dim_time": dim_time, "time_spine": time_spine}
+    for name, build_fixed in fixed.items():
+        if renew or not exists(store.spark, f"{store.path(name)}/_SUCCESS"):
+            write_table(build_fixed(store.spark), store.path(name))
     if zones is not None:
         write_table(dim_location(zones), store.path("dim_location"))
 
@@ -156,7 +162,7 @@ def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
     with ThreadPoolExecutor(2) as pool:
         hourly = pool.submit(_replace, store, "fct_hourly_mobility", fct_hourly(hours),
                              "hour_key", None, HOUR_ORDER)
-        dimensions = pool.submit(write_dimensions, store, fct, zones)
+        dimensions = pool.submit(write_dimensions, store, fct, zones, renew=False)
         hourly.result(), dimensions.result()
 
 

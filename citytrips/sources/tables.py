@@ -144,6 +144,11 @@ def _file_system(spark: SparkSession, path: str):
     return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system it lies in."""
+    return _file_system(spark, path).makeQualified(_hadoop_path(spark, path)).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 

@@ -12,7 +12,7 @@ from citytrips import schemas
 from citytrips.sources.columns import conform, normalize_columns, snake_case, union_months
 from citytrips.sources.months import validate_months
 from citytrips.sources.report import Entry
-from citytrips.sources.tables import exists
+from citytrips.sources.tables import exists, qualified
 
 YELLOW_FILE = "yellow_tripdata_{year}-{month:02d}.parquet"
 FHV_FILE = "fhv_tripdata_{year}-{month:02d}.parquet"
@@ -163,8 +163,12 @@ def _zip_rows(spark: SparkSession, members: Sequence[tuple[str, str]],
     return listed.repartition(max(1, len(members)), "path", "member").mapInPandas(rows, schema)
 
 
-def _uri(path: str) -> str:
-    return f"file://{path}" if path.startswith("/") else path
+def _uri(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as tasks open it without Hadoop."""
+    full = qualified(spark, path)
+    if full.startswith("file:/") and not full.startswith("file://"):
+        full = full.replace("file:", "file://", 1)
+    return full.replace("s3a://", "s3://", 1)
 
 
 def load_bike_zips(spark: SparkSession, root: str, year: int, months: Sequence[int]) -> Loaded:
@@ -173,7 +177,7 @@ def load_bike_zips(spark: SparkSession, root: str, year: int, months: Sequence[i
     The driver handles archive and member names and header lines only.
     """
     months = validate_months(months)
-    paths = [(_uri(_path(root, BIKE_ZIP, year, m)), m) for m in months]
+    paths = [(_uri(spark, _path(root, BIKE_ZIP, year, m)), m) for m in months]
     listed = spark.createDataFrame(paths, "path string, month int").repartition(len(paths), "path")
     found = _members(spark, listed).collect()
     bad = {r["month"]: r["error"] for r in found if r["error"]}

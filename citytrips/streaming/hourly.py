@@ -47,6 +47,8 @@ def hourly_counts(trips: DataFrame, late: str = "2 hours") -> DataFrame:
     """Counts, sums and means per tumbling hour and mode; the exact median stays batch work.
 
     State is one row per open hour and mode; the watermark drops hours that have closed.
+    A watermark needs a zoned column, so run this in a session with a zone without clock
+    changes, such as UTC.
     """
     zoned = trips.withColumn("event_time", F.col("pickup_datetime").cast("timestamp"))
     return (
