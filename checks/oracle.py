@@ -12,7 +12,6 @@ import re
 from citytrips import fixtures, rules
 from citytrips.plans import metrics, suites
 from citytrips.plans.quality import Rule
-from citytrips.sources.weather import PAYLOAD_FIELDS  # noqa: F401
 
 ORACLE: dict[str, str] = {}
 
@@ -625,9 +624,9 @@ def _list(expressions: dict[str, str], names=None, digits: int | None = None) ->
     items = {n: expressions[n] for n in (names or expressions)}
     if digits is None:
         return ", ".join(f"{sql} as {n}" for n, sql in items.items())
-    exact = ("count", "max", "sum(") 
+    whole = ("count", "max")
     return ", ".join(
-        f"{sql} as {n}" if sql.endswith("::bigint") or sql.startswith(exact[:2])
+        f"{sql} as {n}" if sql.endswith("::bigint") or sql.startswith(whole)
         else f"round({sql}, {digits}) as {n}" for n, sql in items.items())
 
 

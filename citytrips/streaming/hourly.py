@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from citytrips import schemas
 from citytrips.functions import month_key
 from citytrips.sources.ingest import merge_raw
-from citytrips.sources.tables import MONTH, merge_into
+from citytrips.sources.tables import MONTH, merge_into, stage
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType,
@@ -66,16 +66,26 @@ def hourly_counts(trips: DataFrame, late: str = "2 hours") -> DataFrame:
 
 def hourly_stream(spark: SparkSession, landing: str, path: str, checkpoint: str,
                   schema: T.StructType, late: str = "2 hours",
-                  files_per_batch: int | None = None) -> StreamingQuery:
-    """Keep a table of hourly counts up to date from arriving files of unified trips."""
+                  files_per_batch: int | None = None,
+                  state_partitions: int = 16) -> StreamingQuery:
+    """Keep a table of hourly counts up to date from arriving files of unified trips.
+
+    Trips are combined in the map tasks, so few rows per hour and mode reach the state. It
+    gets its own small number of partitions, which the first run of a checkpoint fixes.
+    """
+    session = spark.newSession()
+    for name, value in (("spark.sql.shuffle.partitions", state_partitions),
+                        ("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))):
+        session.conf.set(name, value)
 
     def upsert(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
         monthly = batch.withColumn(MONTH, month_key(F.col("hour_timestamp")))
-        merge_into(spark, path, monthly, HOURLY_KEYS)
+        # Landed, as the merge reads it several times.
+        merge_into(spark, path, stage(monthly, f"{checkpoint}-batch"), HOURLY_KEYS)
 
-    counts = hourly_counts(read_stream(spark, landing, schema, files_per_batch), late)
+    counts = hourly_counts(read_stream(session, landing, schema, files_per_batch), late)
     return (
         counts.writeStream.outputMode("update").foreachBatch(upsert)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
