@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,9 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
-    # Exact medians use object aggregation. By default it gives up hashing at 128 groups per
-    # task and sorts; hourly groups are many but small, so hashing may go on much longer.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "50000",
 }
 
 
@@ -28,21 +22,11 @@ def get_session(app: str = "citytrips", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-@functools.lru_cache(maxsize=None)
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="citytrips-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables, unique to this application.
 
-    A cluster names its folder in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a temporary folder: executors elsewhere could not see it.
+    A cluster names its folder in ``spark.checkpoint.dir``; where that is unset, the session's
+    warehouse is used, which executors share too. Never a folder of one machine's own choice.
     """
-    application = spark.sparkContext.applicationId
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/citytrips/{application}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder(application)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{configured.rstrip('/')}/citytrips/{spark.sparkContext.applicationId}"
