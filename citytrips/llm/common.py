@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,18 +46,13 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.join(F.broadcast(ids), key, "left_semi")
 
 
-def map_texts(df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
-    """Arrow batches through a Python function; Spark decides which task reads what."""
-    return df.mapInArrow(work, schema)
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most_bytes`` of text (at least one row)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
         cut = np.cumsum(lengths) // most_bytes
         starts = np.flatnonzero(np.diff(cut, prepend=-1))
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrips.llm import language_id, toxicity
+from citytrips.llm import language_id, minhash, toxicity
 from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
@@ -30,8 +30,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC).cast("int").alias("predicted"), "n_passages", "best_start", "best_end")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document among near copies, by DartMinHash and exact verification."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_minhash": op3_minhash,
     "op9_language_id": op9_language_id,
 }
 
