@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrips.llm import language_id, minhash, suffix_dedup, toxicity
+from citytrips.llm import language_id, minhash, packing, suffix_dedup, toxicity
 from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
@@ -40,9 +41,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens by lexical retrieval."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash": op3_minhash,
+    "op6_packing": op6_packing,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
