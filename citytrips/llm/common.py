@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from citytrips.session import shared_folder
 
@@ -46,13 +47,18 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.join(F.broadcast(ids), key, "left_semi")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``most_bytes`` of text (at least one row)."""
+def with_carried(fields: str, df: DataFrame, carry: tuple[str, ...]) -> StructType:
+    """The fields of a schema string, followed by those of columns that are passed through."""
+    own = StructType.fromDDL(fields)
+    return StructType([*own.fields, *(df.schema[c] for c in carry)])
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most_bytes`` of the text column (at least one row)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
-        lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
         cut = np.cumsum(lengths) // most_bytes
         starts = np.flatnonzero(np.diff(cut, prepend=-1))
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):

@@ -21,12 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from citytrips.llm.common import mix, remainder, slices
+from citytrips.llm.common import mix, remainder, slices, with_carried
 
 BUCKETS = 1 << 16
-#: Bound of the training sample: documents of each language, chosen by a hash of the id.
+#: Bound of the training sample: about so many documents of each language, by a hash of the id.
 TRAIN_PER_LANGUAGE = 2_000
 SMOOTHING = 0.5
 #: n-grams of a word overlap, so their joint evidence is tempered.
@@ -70,11 +69,10 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, held_out: int =
     """n-gram counts of the training documents (crc32 of the id modulo ``held_out`` not 0)."""
     train = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", held_out) != 0))
-    # the rank limit is applied in the map tasks first; texts follow the chosen ids only
-    ranked = train.select("doc_id", "lang").withColumn(
-        "n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")))
-    chosen = ranked.where(F.col("n") <= per_language).select("doc_id", "lang").distinct()
-    sample = train.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
+    # each language's share of ids below a bound of their hash: no ranking, so no task holds a language
+    sizes = F.broadcast(train.groupBy("lang").agg(F.count("*").alias("rows")))  # a row per language
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    sample = train.join(sizes, "lang").where(share * F.col("rows") < per_language).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -181,8 +179,9 @@ def mixture(like: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return chosen
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred, score, n_languages of every document, by its whole text."""
+def predict(docs: DataFrame, model: LanguageModel, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, lang_pred, score, n_languages of every document, by its whole text; columns named
+    in ``carry`` are passed through."""
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +195,8 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 share = mixture(scorer.likelihoods(list(chain.from_iterable(words))), lengths[full])
                 pick[full], score[full], many[full] = share.argmax(0), share.max(0), (share > 0).sum(0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(languages[pick], pa.string()), pa.array(np.clip(score, 0, 1), pa.float64()), pa.array(many, pa.int32())],
-                names=["doc_id", "lang_pred", "score", "n_languages"])
+                [batch.column(0), pa.array(languages[pick], pa.string()), pa.array(np.clip(score, 0, 1), pa.float64()), pa.array(many, pa.int32()), *batch.columns[2:]],
+                names=["doc_id", "lang_pred", "score", "n_languages", *carry])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id bigint, lang_pred string, score double, n_languages int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).mapInArrow(
+        work, with_carried("doc_id bigint, lang_pred string, score double, n_languages int", docs, carry))

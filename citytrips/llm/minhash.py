@@ -163,14 +163,14 @@ def _sketches(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in slices(batches, most_bytes=1 << 20):
-            cells, many = shingler.cells(batch.column(2).to_pylist())
+            cells, many = shingler.cells(batch.column(1).to_pylist())
             full = many[many > 0]
             keys = band_keys(signatures(cells, full)).ravel().view(np.int64) if len(full) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(many, pa.int32()), _lists(keys, np.where(many > 0, BANDS, 0))],
+                [batch.column(0), batch.column(2), pa.array(many, pa.int32()), _lists(keys, np.where(many > 0, BANDS, 0))],
                 names=["doc_id", "digest", "n", "bands"])
 
-    return docs.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), "text").mapInArrow(
+    return docs.select("doc_id", "text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")).mapInArrow(
         work, "doc_id bigint, digest binary, n int, bands array<bigint>")
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citytrips.llm.common import HASH, mix, slices, stored
+from citytrips.llm.common import HASH, mix, slices, stored, with_carried
 from citytrips.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 400
@@ -125,10 +125,10 @@ def _runs(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate([[0], cut])], starts[np.concatenate([cut - 1, [len(starts) - 1]])] + length
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null: empty), and a key of both."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return own.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, a key of id and text, text (null: empty)."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *carry)
+    return own.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text", *carry)
 
 
 _ANCHORS = "key bigint, pos int, gram bigint, c1 bigint, c2 bigint, lh bigint, rh bigint, l smallint, r smallint"
@@ -249,11 +249,11 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     return stored(spans, "spans")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) of every
-    document."""
-    keyed = _keyed(docs)
-    spans = repeated_spans(keyed).groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))  # bounded by the document
+def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and ``kept``: the
+    remaining bytes as text, without code points of which a part is gone. Columns named in
+    ``carry`` are passed through."""
+    spans = repeated_spans(_keyed(docs)).groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))  # bounded by the document
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -268,10 +268,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                         runs.append([start, stop])
                 edges = [0, *(x for run in runs for x in run), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if runs else data
-                for column, value in zip(columns, (len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept), strict=True):
+                row = (len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if runs else text)
+                for column, value in zip(columns, row, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *batch.columns[3:]],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry])
 
-    return keyed.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(
-        work, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    joined = _keyed(docs, carry).join(spans, "key", "left").select("doc_id", "text", "spans", *carry)
+    return joined.mapInArrow(work, with_carried("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string", docs, carry))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citytrips.llm.common import bounded_sample, remainder, slices
+from citytrips.llm.common import bounded_sample, remainder, slices, with_carried
 
 #: Bound of the labelled sample, in documents; half fits the weights, half the calibration.
 TRAIN_DOCS = 24_000
@@ -217,9 +217,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS, divisor: int
     return model
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+def score(docs: DataFrame, model: ToxicityModel, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, score, n_passages, best_start, best_end (tokens of the best passage) of every
-    document, by its whole text."""
+    document, by its whole text; columns named in ``carry`` are passed through."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,8 +235,8 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 span.append(segments[int(np.argmax(scores))][:2] if strong else (None, None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(own.score(np.array(features).reshape(-1, 3)), pa.float64()), pa.array(many, pa.int32()),
-                 pa.array([a for a, _ in span], pa.int32()), pa.array([b for _, b in span], pa.int32())],
-                names=["doc_id", "score", "n_passages", "best_start", "best_end"])
+                 pa.array([a for a, _ in span], pa.int32()), pa.array([b for _, b in span], pa.int32()), *batch.columns[2:]],
+                names=["doc_id", "score", "n_passages", "best_start", "best_end", *carry])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id bigint, score double, n_passages int, best_start int, best_end int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).mapInArrow(
+        work, with_carried("doc_id bigint, score double, n_passages int, best_start int, best_end int", docs, carry))
