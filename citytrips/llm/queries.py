@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrips.llm import language_id, minhash, packing, suffix_dedup, toxicity
+from citytrips.llm import fingerprints, language_id, minhash, packing, suffix_dedup, toxicity
 from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
@@ -46,9 +46,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, by prefix polynomial hashes."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash": op3_minhash,
+    "op2_fingerprints": op2_fingerprints,
     "op6_packing": op6_packing,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
