@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrips.llm import fingerprints, language_id, minhash, packing, suffix_dedup, toxicity
+from citytrips.llm import bpe, fingerprints, language_id, minhash, packing, suffix_dedup, toxicity
 from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
@@ -51,11 +51,17 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE of every document, and back."""
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash": op3_minhash,
     "op2_fingerprints": op2_fingerprints,
     "op6_packing": op6_packing,
+    "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
