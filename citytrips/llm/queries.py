@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrips.llm import bpe, fingerprints, language_id, minhash, packing, suffix_dedup, toxicity
+from citytrips.llm import bpe, fingerprints, language_id, minhash, packing, quality, suffix_dedup, toxicity
 from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
+GOOD = 0.5
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,12 +57,22 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by supervised subword embeddings."""
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash": op3_minhash,
     "op2_fingerprints": op2_fingerprints,
     "op6_packing": op6_packing,
     "op7_bpe": op7_bpe,
+    "op8_quality": op8_quality,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
