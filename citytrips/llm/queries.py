@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrips.llm import bpe, fingerprints, language_id, minhash, packing, quality, suffix_dedup, toxicity
+from citytrips.llm import bpe, embeddings, fingerprints, language_id, minhash, packing, quality, suffix_dedup, toxicity
 from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
@@ -66,10 +66,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of near-duplicate embeddings by a random-projection forest."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash": op3_minhash,
     "op2_fingerprints": op2_fingerprints,
+    "op4_embeddings": op4_embeddings,
     "op6_packing": op6_packing,
     "op7_bpe": op7_bpe,
     "op8_quality": op8_quality,
