@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrips.llm import bpe, embeddings, fingerprints, language_id, minhash, packing, quality, suffix_dedup, toxicity
+from citytrips.llm import bpe, embeddings, fingerprints, language_id, minhash, packing, quality, suffix_dedup, toxicity, warc
 from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
@@ -71,11 +71,18 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through seekable WARC bundles."""
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash": op3_minhash,
     "op2_fingerprints": op2_fingerprints,
     "op4_embeddings": op4_embeddings,
+    "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op7_bpe": op7_bpe,
     "op8_quality": op8_quality,
@@ -83,4 +90,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+             r AS (SELECT page_id, strlen(html) AS n, sha1(html) AS d FROM p),
+             m AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS target FROM r)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> target THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> target THEN target END AS refers_to
+        FROM m""",
+}
