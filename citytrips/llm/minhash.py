@@ -6,10 +6,13 @@ their ranks; of the darts that hit one of K coordinates the earliest is kept. Tw
 in a coordinate with the probability of their weighted Jaccard similarity, sum of minima by sum of
 maxima. Only about K (ln K + 2) darts are made, however many shingles there are.
 
-Signatures are cut in bands, and documents that share a band are candidates. Candidates are
-verified exactly. First every document is compared with the hub (smallest id) that it shares most
-bands with; then all candidates in classes that are still different, so no candidate pair that
-could join two classes is left out. Classes are connected components of the verified links.
+Signatures are cut in bands, and documents that share a band, a bucket, are candidates. Candidates
+are verified exactly. First every document is compared with the hub (smallest id) that it shares
+most bands with. Then, in buckets whose documents are still in several classes, all candidates of
+different classes are compared: in small buckets pair by pair, in larger ones block by block
+within tasks of bounded size that return only the links which join classes. So no candidate pair
+that could join two classes is left out, and no group's pairs are listed. Classes are connected
+components of the verified links.
 
 Cases: null and empty texts and null ids link with nothing. Equal texts are copies, also such
 without words; copies are collapsed before anything else. Texts of fewer than five words are one
@@ -35,6 +38,8 @@ SIMILARITY = 0.8
 #: Two documents of similarity 0.8 share one of 20 bands of 6 with probability 0.998.
 BANDS, ROWS = 20, 6
 COORDINATES = BANDS * ROWS
+#: Pairs of a bucket of up to FEW documents are listed; a task compares two BLOCKs of a larger one.
+FEW, BLOCK = 16, 1024
 WORDS = re.compile(r"\w+")
 CACHE = 300_000
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64 | 1 for k in range(WORDS_PER_SHINGLE)], dtype=HASH)
@@ -183,20 +188,75 @@ def _cells(docs: DataFrame, ids: DataFrame) -> DataFrame:
             cells, many = shingler.cells(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists((cells >> HASH(32)).astype(np.uint32).view(np.int32), many)], names=["doc_id", "cells"])
 
-    return docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(work, "doc_id bigint, cells array<int>")
+    # the plan is to be the same at every size: neither side is small by nature
+    return docs.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(work, "doc_id bigint, cells array<int>")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) with at least this weighted Jaccard similarity, computed from the whole
-    texts: (a, b, similarity)."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    cells = stored(_cells(docs, ids), "cells")
+def verify(pairs: DataFrame, cells: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) with at least this weighted Jaccard similarity of their whole texts."""
     left = cells.select(F.col("doc_id").alias("a"), F.col("cells").alias("cells_a"))
     right = cells.select(F.col("doc_id").alias("b"), F.col("cells").alias("cells_b"))
     common = F.size(F.array_intersect("cells_a", "cells_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", (common / (F.size("cells_a") + F.size("cells_b") - common)).alias("similarity")).where(
-        F.col("similarity") >= similarity)
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(
+        common >= similarity * (F.size("cells_a") + F.size("cells_b") - common)).select("a", "b")
+
+
+def joining_links(cells: list[np.ndarray], classes: np.ndarray, side: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of documents of at least this similarity, enough of them to join all classes that
+    such pairs join. ``side``: compare only documents of different sides, if given."""
+    many = np.array([len(c) for c in cells], dtype=np.float32)
+    _, term, uses = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
+    doc = np.repeat(np.arange(len(cells)), many.astype(np.int64))
+    shared = uses[term] > 1
+    doc, term = doc[shared], np.unique(term[shared], return_inverse=True)[1]
+    common = np.zeros((len(cells), len(cells)), np.float32)
+    order = np.argsort(term, kind="stable")
+    doc, term = doc[order], term[order]
+    for low in range(0, int(term[-1]) + 1 if len(term) else 0, 4096):
+        a, b = np.searchsorted(term, [low, low + 4096])
+        grid = np.zeros((len(cells), 4096), np.float32)
+        grid[doc[a:b], term[a:b] - low] = 1
+        common += grid @ grid.T
+    linked = common >= similarity * (many[:, None] + many[None, :] - common)
+    linked &= classes[:, None] != classes[None, :]
+    if side is not None:
+        linked &= side[:, None] != side[None, :]
+    root = {c: c for c in classes.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    for k in np.flatnonzero(linked.any(1)).tolist():
+        others = np.flatnonzero(linked[k])
+        _, first = np.unique(classes[others], return_index=True)
+        for j in others[first].tolist():
+            x, y = find(int(classes[k])), find(int(classes[j]))
+            if x != y:
+                root[x] = y
+                out.append((k, j))
+    return out
+
+
+def _blocked(rows: DataFrame, cells: DataFrame, similarity: float) -> DataFrame:
+    """Joining links (a, b) of buckets of any size. ``rows``: key, id, class, members."""
+    dealt = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    # a document meets every block once; two blocks meet in one group
+    meets = dealt.select("key", "id", "class", "own", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other"))
+    grouped = meets.select("key", "id", "class", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
+        ids, classes = table.column("id").to_numpy(), table.column("class").to_numpy()
+        lists = table.column("cells").combine_chunks()
+        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        found = joining_links([values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], classes, None if i[0] == j[0] else own, similarity)
+        return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
+
+    full = grouped.join(cells.select(F.col("doc_id").alias("id"), "cells").hint("merge"), "id")
+    return full.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -211,28 +271,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     single = sketches.join(copies, "digest", "left").where("first is null or first = doc_id")
     banded = single.select(F.col("doc_id").alias("id"), "n", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").drop("last")
-    # (key, id, n) of every document that shares a band with another one
+    # (key, id, n, hub) of every document that shares a band with another one
     shared = stored(banded.join(buckets, "key"), "buckets")
+    cells = stored(_cells(full, shared.select(F.col("id").alias("doc_id")).distinct()), "cells")
 
     close = lambda a, b: F.least(a, b) >= similarity * F.greatest(a, b)  # noqa: E731  sizes allow the similarity
-    hubs = shared.where("id = hub").select("key", F.col("n").alias("hub_n"))
+    hubs = shared.where("id = hub").select("key", F.col("n").alias("hub_n")).distinct()
     spokes = shared.where("id <> hub").join(hubs, "key").where(close(F.col("n"), F.col("hub_n"))).groupBy("id", "hub").agg(F.count("*").alias("times"))
     best = spokes.groupBy("id").agg(F.max(F.struct("times", (-F.col("hub")).alias("hub"))).alias("best"))
-    first_pairs = stored(best.select(F.col("id").alias("a"), (-F.col("best.hub")).alias("b")), "first")
-    links = stored(verify(full, first_pairs, similarity).select("a", "b"), "links")
+    links = stored(verify(best.select(F.col("id").alias("a"), (-F.col("best.hub")).alias("b")), cells, similarity), "links")
 
-    classes = stored(components(links, "a", "b"), "classes")
-    placed = stored(shared.select("key", "id", "n").join(classes, F.col("id") == F.col("node"), "left")
+    classes = components(links, "a", "b")
+    placed = stored(shared.select("key", "id", "n").distinct().join(classes, F.col("id") == F.col("node"), "left")
                     .select("key", "id", "n", F.coalesce("component", "id").alias("class")), "placed")
-    split = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
-    open_ = placed.join(split, "key", "left_semi")
-    x, y = open_.alias("x"), open_.alias("y")
+    split = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("members")).where("low <> high").select("key", "members")
+    open_ = stored(placed.join(split, "key"), "open")
+    few = open_.where(F.col("members") <= FEW)
+    x, y = few.alias("x"), few.alias("y")
     rest = (x.join(y, F.col("x.key") == F.col("y.key"))
             .where((F.col("x.id") < F.col("y.id")) & (F.col("x.class") != F.col("y.class")) & close(F.col("x.n"), F.col("y.n")))
-            .select(F.col("x.id").alias("b"), F.col("y.id").alias("a")).distinct())
-    done = first_pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "rest")
-    more = stored(verify(full, rest, similarity).select("a", "b"), "links")
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    more = stored(verify(rest, cells, similarity).union(_blocked(open_.where(F.col("members") > FEW), cells, similarity)), "more")
 
     final = components(links.union(more), "a", "b")
     found = member.join(final, F.col("first") == F.col("node"), "left").select(
