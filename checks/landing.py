@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,17 @@ def _monthly(df: DataFrame, ts: str, folder: str, name: str, kind: str) -> None:
             files.rename(old, path(f"{folder}/{name.format(year=year, month=month)}"))
 
 
+def months(w: Workspace, folder: str) -> dict[int, list[int]]:
+    """Months of each year that have a landed file, by the names of the files."""
+    path = w.spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(w.spark._jsc.hadoopConfiguration()).listStatus(path)
+    out: dict[int, list[int]] = {}
+    for status in listed:
+        if found := re.search(r"(\d{4})-?(\d{2})", status.getPath().getName()):
+            out.setdefault(int(found[1]), []).append(int(found[2]))
+    return dict(sorted(out.items()))
+
+
 def _once(w: Workspace, name: str, write) -> str:
     found = w.__dict__.setdefault("_landed", {})
     if name not in found:

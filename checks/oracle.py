@@ -343,11 +343,13 @@ oracle("src_missing_months", """
 select y::int as year, m::int as month, 'yellow_taxi' as source,
   if(y * 100 + m in (select strftime(tpep_pickup_datetime, '%Y%m')::int from raw_yellow),
      'success', 'failed') as status
-from range(1995, 2003) a(y), range(1, 13) b(m)""")
+from (select unnest(range(min(year(tpep_pickup_datetime)), max(year(tpep_pickup_datetime)) + 2)) as y
+      from raw_yellow) a, range(1, 13) b(m)""")
 oracle("src_ingest_report", """
 select y::int as year, m::int as month, 'fhv_taxi' as source,
   if(n is null, 'failed', 'success') as status, n as rows
-from range(1995, 2002) a(y) cross join range(1, 13) b(m)
+from (select unnest(range(min(year(pickup_datetime)), max(year(pickup_datetime)) + 1)) as y
+      from raw_fhv) a cross join range(1, 13) b(m)
 left join (select strftime(pickup_datetime, '%Y%m')::int as ym,
              count(distinct (pickup_datetime, drop_off_datetime, dispatching_base_num)) as n
            from raw_fhv group by 1) c on c.ym = y * 100 + m""")
@@ -399,6 +401,14 @@ select trip_key, trip_type,
 from fct""")
 oracle("inc_sync_schema", """
 select dispatching_base_num, pickup_datetime, null::varchar as channel from raw_fhv""")
+oracle("inc_schema_change", """
+select trip_key, pickup_datetime, trip_type,
+  if(pickup_datetime >= timestamp '1998-07-01', hour(pickup_datetime), null)::int as hour
+from fct""")
+oracle("inc_late_weather", """
+select trip_type, count(*) as trips, count(*) as trips_in_hours from fct group by 1""")
+oracle("sem_filled_total", "select count(*) as filled, count(*) as total from fct")
+oracle("rpt_sample_rows", "select * from fct order by trip_key limit 100")
 oracle("inc_refresh_facts", """
 select a.pickup_month, a.trip_type, trips, revenue, hours, trips_in_hours
 from (select pickup_month, trip_type, count(*) as trips, sum(revenue) as revenue
@@ -431,7 +441,7 @@ left join (select hour(pickup_datetime) as h, count(*) as trips from trips group
   on h = hours.hour""")
 oracle("time_spine_filled", """
 select d::date as date_day, coalesce(n, 0) as trip_count
-from range(date '1995-01-01', date '2002-01-01', interval 1 day) r(d)
+from (select unnest(generate_series(min(pickup_datetime)::date::timestamp, max(pickup_datetime)::date::timestamp, interval 1 day)) as d from trips) r
 left join (select pickup_datetime::date as day, count(*) as n from trips group by 1)
   on day = d::date""")
 oracle("fct_trips", "select * from fct")
@@ -657,7 +667,7 @@ from trips group by 1 order by total_trips desc, 1 limit 15""")
 oracle("sem_filled_periods", """
 select w as metric_time, n as total_trips, b as citibike_trips
 from (select distinct date_trunc('week', d)::timestamp as w
-      from range(date '1995-01-01', date '2002-01-01', interval 1 day) r(d))
+      from (select unnest(generate_series(min(pickup_datetime)::date::timestamp, max(pickup_datetime)::date::timestamp, interval 1 day)) as d from trips) r)
 left join (select date_trunc('week', pickup_datetime)::timestamp as tw, count(*) as n,
              count(*) filter (trip_type = 'citibike') as b from trips group by 1) on tw = w""")
 oracle("sem_trip_measures", f"""

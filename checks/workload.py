@@ -15,7 +15,7 @@ from citytrips import functions as fn
 from citytrips import rules, schemas
 from citytrips.operators import facts, gaps, merge, staging
 from citytrips.operators.dedup import keep_first
-from citytrips.operators.dims import dim_time, time_spine
+from citytrips.operators.dims import dim_time
 from citytrips.plans import metrics, pipeline, quality, reports, semantic, suites
 from citytrips.plans.semantic import query
 from citytrips.sources import columns, ingest, inventory, report, tables, weather, zones
@@ -27,7 +27,6 @@ QUERIES: dict[str, Query] = {}
 
 CUT = "1998-07-01"      # splits the data of the incremental queries
 JANUARY = "2024-01-01"  # first day of the bike data
-YEARS = range(1995, 2002)
 ALL_MONTHS = range(1, 13)
 
 
@@ -63,7 +62,8 @@ def ntz(text: str):
 
 
 def _years(load: Callable, w: Workspace, folder: str) -> DataFrame:
-    return columns.union_months([load(w.spark, folder, y, ALL_MONTHS) for y in YEARS])
+    found = landing.months(w, folder)
+    return columns.union_months([load(w.spark, folder, y, months) for y, months in found.items()])
 
 
 @registered
@@ -78,7 +78,7 @@ def src_fhv_months(w: Workspace) -> DataFrame:
 
 @registered
 def src_bike_csv(w: Workspace) -> DataFrame:
-    return trip_files.read_bike(w.spark, landing.bike_csv(w), 2024, [1])
+    return _years(trip_files.read_bike, w, landing.bike_csv(w))
 
 
 @registered
@@ -105,7 +105,8 @@ def src_schema_evolution(w: Workspace) -> DataFrame:
 def src_missing_months(w: Workspace) -> DataFrame:
     folder = landing.yellow(w)
     entries = []
-    for year in (*YEARS, 2002):
+    years = landing.months(w, folder)
+    for year in range(min(years), max(years) + 2):
         entries += trip_files.load_yellow(w.spark, folder, year, ALL_MONTHS)[1]
     return report.report_frame(w.spark, entries).select("year", "month", "source", "status")
 
@@ -113,7 +114,9 @@ def src_missing_months(w: Workspace) -> DataFrame:
 @registered
 def src_ingest_report(w: Workspace) -> DataFrame:
     folder, root = landing.fhv(w), w.scratch("ingest")
-    runs = [ingest.ingest(w.spark, folder, root, y, ALL_MONTHS, ["fhv"]) for y in YEARS]
+    years = landing.months(w, folder)
+    runs = [ingest.ingest(w.spark, folder, root, y, ALL_MONTHS, ["fhv"])
+            for y in range(min(years), max(years) + 1)]
     return reduce(DataFrame.unionByName, runs).select("year", "month", "source", "status", "rows")
 
 
@@ -242,10 +245,12 @@ class _UpTo(pipeline.Store):
 
     def __init__(self, w: Workspace, root: str):
         super().__init__(w.spark, root, w.store.min_pickup)
-        self.inner, self.before = w.store, None
+        self.inner, self.before, self.warmer = w.store, None, False
 
     def raw(self, name: str) -> DataFrame:
         df = self.inner.raw(name)
+        if self.warmer and name == "hourly_weather":
+            return df.withColumn("temp", F.col("temp") + 20)
         if self.before is None or name == "hourly_weather":
             return df
         return df.filter(F.col(schemas.EVENT_TIME[name]) < ntz(self.before))
@@ -266,6 +271,34 @@ def inc_refresh_facts(w: Workspace) -> DataFrame:
     return trips.join(hours, ["pickup_month", "trip_type"])
 
 
+@registered
+def inc_schema_change(w: Workspace) -> DataFrame:
+    """A batch with a new column and without an old one: the months before it follow."""
+    store = pipeline.Store(w.spark, w.scratch("schema"))
+    base = w.fct.select("trip_key", "pickup_datetime", "trip_type", "revenue", tables.MONTH)
+    tables.write_table(base.filter(F.col("pickup_datetime") < ntz(CUT)), store.path("trips"),
+                       tables.MONTH)
+    batch = base.filter(F.col("pickup_datetime") >= ntz(CUT)).drop("revenue").withColumn(
+        "hour", F.hour("pickup_datetime"))
+    pipeline.replace(store, "trips", batch, "trip_key", None, ())
+    return store.table("trips").drop(tables.MONTH)
+
+
+@registered
+def inc_late_weather(w: Workspace) -> DataFrame:
+    """Weather that changes after the facts were built: after a rebuild from the start, the hours
+    still hold every trip once."""
+    store = _UpTo(w, w.scratch("late"))
+    store.warmer = False
+    pipeline.refresh(store)
+    store.warmer = True
+    pipeline.refresh(store, start="1990-01-01")
+    hours = store.table("fct_hourly_mobility").groupBy("trip_type").agg(
+        F.sum("trip_count").alias("trips_in_hours"))
+    trips = store.table("fct_trips").groupBy("trip_type").agg(F.count(F.lit(1)).alias("trips"))
+    return trips.join(hours, "trip_type")
+
+
 # --- staging ---------------------------------------------------------------------------------------
 
 register("stg_yellow_taxi", lambda w: w.stg_yellow())
@@ -298,8 +331,7 @@ def dim_time_of_trips(w: Workspace) -> DataFrame:
 @registered
 def time_spine_filled(w: Workspace) -> DataFrame:
     """The day spine over the range of the data with the trips of each day."""
-    spine = time_spine(w.spark, "1995-01-01", "2002-01-01")
-    return spine.join(
+    return w.spine().join(
         reports.daily_totals(w.fct).select("date", "trip_count"),
         F.col("date_day") == F.col("date"), "left",
     ).select("date_day", F.coalesce("trip_count", F.lit(0).cast("long")).alias("trip_count"))
@@ -601,6 +633,9 @@ register("rpt_bike_month_coverage", lambda w: reports.bike_month_coverage(w.raw(
 register("rpt_bike_daily_counts", lambda w: reports.bike_daily_counts(
     w.raw("trips"), JANUARY, "2024-02-01"))
 register("rpt_sample_rows", lambda w: reports.sample_rows(w.fct, 100))
+register("sem_filled_total", lambda w: query(
+    metrics.TRIPS, w.semantic_tables(), ["total_trips"], ["metric_time"], grain="week", fill=True
+).agg(F.sum("total_trips").alias("filled"), F.lit(w.fct.count()).cast("long").alias("total")))
 
 
 # --- streams ------------------------------------------------------------------------------------------

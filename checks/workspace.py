@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citytrips import fixtures
 from citytrips.fixtures import ProjectedStore
@@ -97,11 +99,17 @@ class Workspace:
     def weather(self) -> DataFrame:
         return self.table("dim_weather")
 
+    def spine(self) -> DataFrame:
+        """Days between the first and the last day of the calendar, a one-row lookup."""
+        day = F.col("date_key").cast("date")
+        first, last = self.dates.agg(F.min(day), F.max(day)).first()
+        return time_spine(self.spark, str(first), str(last + timedelta(days=1)))
+
     def semantic_tables(self) -> dict[str, DataFrame]:
         return {
             "fct_trips": self.fct, "fct_hourly_mobility": self.hourly, "date": self.dates,
             "time": self.hours, "location": self.zones,
-            "spine": time_spine(self.spark, "1995-01-01", "2002-01-01"),
+            "spine": self.spine(),
         }
 
 

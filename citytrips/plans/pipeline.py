@@ -15,14 +15,14 @@ from citytrips import rules
 from citytrips.operators.dims import dim_date, dim_location, dim_time, dim_weather, time_spine
 from citytrips.operators.facts import fct_hourly, fct_trips
 from citytrips.operators.gaps import days_present
-from citytrips.operators.merge import latest, new_hours, new_trips
+from citytrips.operators.merge import latest, new_hours, new_trips, sync_schema
 from citytrips.operators.staging import (
     stg_bike, stg_fhv, stg_weather, stg_yellow, trips_unioned,
 )
 from citytrips.plans.quality import duplicates
 from citytrips.sources.ingest import DEFAULT_SOURCES, ingest, raw_table
 from citytrips.sources.tables import (
-    MONTH, by_month, exists, merge_into, read_table, stage, write_table,
+    MONTH, exists, merge_into, months_present, read_table, stage, write_table,
 )
 
 
@@ -42,14 +42,16 @@ class Store:
     def table(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         return read_table(self.spark, self.path(name), schema)
 
-    def trips(self, from_month: int | None = None) -> DataFrame:
-        """Union of the staged modes that have been loaded, from a month (yyyymm) on."""
+    def trips(self, from_month: int | None = None, to_month: int | None = None) -> DataFrame:
+        """Union of the staged modes that have been loaded, between two months (yyyymm)."""
 
         def raw(name: str) -> DataFrame | None:
             df = self.raw(name)
-            if df is None or from_month is None or MONTH not in df.columns:
+            if df is None or MONTH not in df.columns:
                 return df
-            return df.filter(F.col(MONTH) >= from_month)
+            if from_month is not None:
+                df = df.filter(F.col(MONTH) >= from_month)
+            return df if to_month is None else df.filter(F.col(MONTH) <= to_month)
 
         yellow, fhv, bike = raw("yellow_taxi"), raw("fhv_taxi"), raw("trips")
         return trips_unioned(
@@ -78,14 +80,20 @@ def write_weather(store: Store) -> DataFrame:
     return weather
 
 
-def write_dimensions(store: Store, fct: DataFrame, zones: DataFrame | None = None,
+def write_dimensions(store: Store, trips: DataFrame, zones: DataFrame | None = None,
                      renew: bool = True) -> None:
     """Write the calendar, hour, zone and spine dimensions.
 
-    Those that do not depend on data are left alone where they are complete, unless renewed.
+    Without ``renew`` the calendar keeps its days and is extended to those of the trips, which
+    may be a batch, and dimensions that do not depend on data are left alone.
     """
-    # The days present are few, so the calendar bounds need one narrow pass over the fact.
-    days = days_present(fct).select(F.col("actual_date").alias("pickup_datetime"))
+    # The days present are few, so the calendar bounds need one narrow pass over the trips.
+    days = days_present(trips).select(F.col("actual_date").alias("pickup_datetime"))
+    known = None if renew else store.table("dim_date")
+    if known is not None:
+        day = F.col("date_key").cast("date")
+        known = known.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+        days = days.union(known.select(F.explode(F.array("first", "last"))))
     write_table(dim_date(days), store.path("dim_date"))
     fixed = {"dim_time": dim_time, "time_spine": time_spine}
     for name, build_fixed in fixed.items():
@@ -96,21 +104,15 @@ def write_dimensions(store: Store, fct: DataFrame, zones: DataFrame | None = Non
 
 
 TRIP_ORDER, HOUR_ORDER = ("pickup_datetime",), ("hour_timestamp",)
-# Weather of more than a century of hours would no longer be broadcast.
-BROADCAST_HOURS = 1_000_000
 
 
 def write_trips(store: Store, weather: DataFrame) -> None:
     """Write the trip fact by month.
 
-    The rows are rebalanced by month while they have the dozen columns of the union, and the
-    weather is broadcast to them by its size on disk. Were the weather too large for that,
-    its join would shuffle the rows again, so the rebalance would have to come last.
+    The rows are rebalanced by month directly before the write, whichever way Spark joins the
+    weather, so a month is always written by few tasks.
     """
-    narrow = weather.count() <= BROADCAST_HOURS  # answered by the Parquet footers
-    trips = by_month(store.trips(), "pickup_datetime") if narrow else store.trips()
-    write_table(fct_trips(trips, weather), store.path("fct_trips"), MONTH, TRIP_ORDER,
-                balanced=narrow)
+    write_table(fct_trips(store.trips(), weather), store.path("fct_trips"), MONTH, TRIP_ORDER)
 
 
 def build(store: Store, zones: DataFrame | None = None) -> None:
@@ -126,43 +128,67 @@ def build(store: Store, zones: DataFrame | None = None) -> None:
         hourly.result(), dimensions.result()
 
 
-def _replace(store: Store, name: str, batch: DataFrame, key: str,
-             movable: tuple[str, ...] | None, order_by: Sequence[str]) -> None:
-    """Delete+insert a batch by key; only the months concerned are rewritten.
+def replace(store: Store, name: str, batch: DataFrame, key: str,
+            movable: tuple[str, ...] | None, order_by: Sequence[str]) -> DataFrame:
+    """Delete+insert a batch by key; only the months concerned are rewritten. Returns the batch.
 
     The batch is landed first: it is read several times, and its size on disk lets Spark
-    decide whether its keys can be broadcast to the target.
+    decide whether its keys can be broadcast to the target. A batch with other columns, or
+    other types, than the table changes the table: all its months follow.
     """
+    path = store.path(name)
     landed = stage(batch, f"{store.root}/staging/{name}")
-    if not landed.isEmpty():
-        merge_into(store.spark, store.path(name), landed, [key], movable, order_by)
+    before = store.table(name)
+    if landed.isEmpty():
+        return landed
+    merge_into(store.spark, path, landed, [key], movable, order_by)
+    if before is not None and dict(before.dtypes) != dict(landed.dtypes):
+        whole = read_table(store.spark, path, evolving=True)
+        write_table(sync_schema(whole, landed), path, MONTH, order_by)
+    return landed
+
+
+def _recent(store: Store, name: str) -> DataFrame | None:
+    """The last month of a table, found by the names of its folders."""
+    table = store.table(name)
+    months = [m for m in months_present(store.spark, store.path(name)) if m is not None]
+    return table if table is None or not months else table.filter(F.col(MONTH) == max(months))
 
 
 def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
-            zones: DataFrame | None = None) -> None:
+            zones: DataFrame | None = None, end: str | None = None) -> None:
     """Bring the facts up to date.
 
     By default trips later than the latest loaded pickup are added, with ``start`` all trips
-    from that date on are rebuilt, and a full refresh rebuilds everything. Missing or empty
-    facts always mean a full refresh.
+    from that date on (up to, not including, ``end``) are rebuilt, and a full refresh rebuilds
+    everything. Missing or empty facts always mean a full refresh.
     """
     fct = None if full_refresh else store.table("fct_trips")
     if fct is None or fct.isEmpty():
         build(store, zones)
         return
     weather = write_weather(store)
+    recent = _recent(store, "fct_trips")
     # The mark prunes the raw tables to months; the strict comparison follows on the rows.
-    since = latest(fct, "pickup_datetime") if start is None else date.fromisoformat(start[:10])
-    batch = new_trips(store.trips(since.year * 100 + since.month), fct, start)
+    since = latest(recent, "pickup_datetime") if start is None else date.fromisoformat(start[:10])
+    last = None if end is None else date.fromisoformat(end[:10])
+    trips = store.trips(since.year * 100 + since.month,
+                        None if last is None else last.year * 100 + last.month)
+    batch = new_trips(trips, recent, start)
+    if end is not None:
+        batch = batch.filter(F.col("pickup_datetime") < F.lit(end).cast("timestamp_ntz"))
     # A ride id says nothing about its month, so older versions of rides are looked up.
-    _replace(store, "fct_trips", fct_trips(batch, weather), "trip_key",
-             ("trip_type", rules.BIKE), TRIP_ORDER)
-    fct = store.table("fct_trips", fct.schema)
-    hours = new_hours(fct, store.table("fct_hourly_mobility"), start)
+    landed = replace(store, "fct_trips", fct_trips(batch, weather), "trip_key",
+                     ("trip_type", rules.BIKE), TRIP_ORDER)
+    fct = store.table("fct_trips", store.table("fct_trips").schema)
+    hours = new_hours(fct, _recent(store, "fct_hourly_mobility"), start)
+    if end is not None:
+        hours = hours.filter(F.col("pickup_datetime") < F.lit(end).cast("timestamp_ntz"))
     with ThreadPoolExecutor(2) as pool:
-        hourly = pool.submit(_replace, store, "fct_hourly_mobility", fct_hourly(hours),
-                             "hour_key", None, HOUR_ORDER)
-        dimensions = pool.submit(write_dimensions, store, fct, zones, renew=False)
+        # Whole hours are replaced: weather that arrived late changes the key of an hour.
+        hourly = pool.submit(replace, store, "fct_hourly_mobility", fct_hourly(hours),
+                             "hour_timestamp", None, HOUR_ORDER)
+        dimensions = pool.submit(write_dimensions, store, landed, zones, renew=False)
         hourly.result(), dimensions.result()
 
 
@@ -197,12 +223,15 @@ def backfill(store: Store, landing: str, year: int, months: Sequence[int],
              sources: Iterable[str] | str = DEFAULT_SOURCES, continue_on_error: bool = False,
              full_refresh: bool = False, zones: DataFrame | None = None,
              run: Callable[..., MonthResult] | None = None) -> dict[str, object]:
-    """Load several months in turn, rebuilding the facts from each month's first day on.
+    """Load several months, then rebuild the facts of just these months, once.
 
     The high-water mark would pass over months older than the loaded ones; a start date
     does not. Stops at the first month that fails or has no trips unless told to continue.
+    With ``run`` every month is loaded and refreshed by that function, one after the other.
     """
-    run = run_month if run is None else run
+    if run is None:
+        return _backfill_together(store, landing, year, months, sources, continue_on_error,
+                                  full_refresh, zones)
     successful, failed, errors = [], [], {}
     for month in months:
         try:
@@ -210,7 +239,7 @@ def backfill(store: Store, landing: str, year: int, months: Sequence[int],
                          start=f"{year}-{month:02d}-01", zones=zones)
             problem = None if result.status == "validated" else result.status
         except Exception as error:  # noqa: BLE001 - a failed month is part of the summary
-            problem = f"{type(error).__name__}: {error}"[:500]
+            problem = f"{type(error).__name__}: {error}"
         if problem is None:
             successful.append(month)
             continue
@@ -221,3 +250,39 @@ def backfill(store: Store, landing: str, year: int, months: Sequence[int],
     return {
         "successful": successful, "failed": failed, "errors": errors, "total": len(months),
     }
+
+
+def _backfill_together(store: Store, landing: str, year: int, months: Sequence[int],
+                       sources: Iterable[str] | str, continue_on_error: bool,
+                       full_refresh: bool, zones: DataFrame | None) -> dict[str, object]:
+    loaded, errors = [], {}
+    for month in months:
+        try:
+            report = ingest(store.spark, landing, store.root, year, [month], sources).collect()
+            trips = [r for r in report if r["source"] != "hourly_weather"]
+            problem = None if not trips or any(r["rows"] for r in trips) else "error_no_data"
+        except Exception as error:  # noqa: BLE001 - a failed month is part of the summary
+            problem = f"{type(error).__name__}: {error}"
+        if problem is None:
+            loaded.append(month)
+            continue
+        errors[month] = problem
+        if not continue_on_error:
+            break
+    ranges: list[list[int]] = []  # of consecutive months
+    for month in sorted(set(loaded)):
+        if ranges and ranges[-1][-1] == month - 1:
+            ranges[-1].append(month)
+        else:
+            ranges.append([month])
+    if full_refresh and ranges:
+        refresh(store, full_refresh=True, zones=zones)
+    else:
+        for first, *rest in ranges:
+            after = (rest[-1] if rest else first) + 1
+            refresh(store, start=f"{year}-{first:02d}-01", zones=zones,
+                    end=f"{year + after // 13}-{(after - 1) % 12 + 1:02d}-01")
+    return {
+        "successful": loaded, "failed": [m for m in months if m in errors], "errors": errors,
+        "total": len(months),
+    }

@@ -17,7 +17,6 @@ from citytrips.functions import (
     band, divide, floor_hour, floor_month, percent, round_half_away,
 )
 from citytrips.operators.gaps import month_coverage
-from citytrips.operators.staging import filter_trips
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -339,11 +338,11 @@ def mode_share(fct: DataFrame) -> DataFrame:
 
 
 def mode_share_of_total(fct: DataFrame, total: int | None = None) -> DataFrame:
-    """The same share against a total counted separately and used as a literal."""
-    total = fct.count() if total is None else total
-    return fct.groupBy("trip_type").agg(_rows().alias("trips")).withColumn(
-        "mode_share_pct", percent(F.col("trips"), F.lit(total), 2)
-    ).orderBy(F.desc("mode_share_pct"))
+    """The same share against a given total, by default that of the modes counted."""
+    modes = fct.groupBy("trip_type").agg(_rows().alias("trips"))
+    whole = F.sum("trips").over(Window.partitionBy()) if total is None else F.lit(total)
+    return modes.withColumn("mode_share_pct", percent(F.col("trips"), whole, 2)).orderBy(
+        F.desc("mode_share_pct"))
 
 
 def top_zones(fct: DataFrame, zones: DataFrame, limit: int = 20) -> DataFrame:
@@ -386,15 +385,21 @@ def rush_share(fct: DataFrame) -> DataFrame:
 
 
 def dataset_summary(fct: DataFrame) -> DataFrame:
-    """Headline numbers; trips with weather are counted by distinct key."""
-    covered = F.count_distinct(F.when(F.col("temp_category").isNotNull(), F.col("trip_key")))
-    return fct.agg(
-        _rows().alias("total_trips"),
-        F.count_distinct("date_key").alias("total_days"),
-        round_half_away(F.avg("trip_distance"), 2).alias("avg_distance"),
-        round_half_away(F.avg("trip_duration_minutes"), 2).alias("avg_duration"),
-        covered.alias("trips_with_weather"),
-        percent(covered, _rows(), 2).alias("weather_coverage_pct"),
+    """Headline numbers. The fact has one row per trip key, which the quality rules check, so trips
+    are counted as rows; sums per day are combined before days are counted."""
+    days = fct.groupBy("date_key").agg(
+        _rows().alias("trips"), F.count("temp_category").alias("covered"),
+        F.sum("trip_distance").alias("d"), F.count("trip_distance").alias("dn"),
+        F.sum("trip_duration_minutes").alias("m"), F.count("trip_duration_minutes").alias("mn"),
+    )
+    covered, trips = F.sum("covered"), F.sum("trips")
+    return days.agg(
+        F.coalesce(trips, F.lit(0)).alias("total_trips"),
+        F.count("date_key").alias("total_days"),
+        round_half_away(divide(F.sum("d"), F.sum("dn")), 2).alias("avg_distance"),
+        round_half_away(divide(F.sum("m"), F.sum("mn")), 2).alias("avg_duration"),
+        F.coalesce(covered, F.lit(0)).alias("trips_with_weather"),
+        percent(covered, trips, 2).alias("weather_coverage_pct"),
     )
 
 
@@ -492,14 +497,19 @@ def mode_hour_weather(yellow: DataFrame, fhv: DataFrame, bike: DataFrame,
 
 
 def trips_by_weather(trips: DataFrame, ts: str, weather: DataFrame) -> DataFrame:
-    """Raw trips of one mode by the presence of weather for their hour."""
-    from citytrips.operators.facts import join_weather
+    """Raw trips of one mode by the presence of weather for their hour.
 
-    joined = join_weather(trips, weather, ts)
-    return joined.agg(
-        _rows().alias("total_trips"), F.count("temp").alias("trips_with_weather"),
-        percent(F.count("temp"), _rows()).alias("coverage_pct"),
-    )
+    Trips are counted per hour first, so the join sees hours, not trips.
+    """
+    hours = trips.groupBy(floor_hour(F.col(ts)).alias("hour")).agg(_rows().alias("trips"))
+    known = weather.groupBy(floor_hour(F.col("timestamp")).alias("hour")).agg(
+        _rows().alias("rows"), F.count("temp").alias("temps"))
+    joined = hours.join(known, "hour", "left")
+    # an hour with several rows of weather counts its trips as often as a join of trips would
+    total = F.coalesce(F.sum(F.col("trips") * F.coalesce("rows", F.lit(1))), F.lit(0))
+    covered = F.coalesce(F.sum(F.col("trips") * F.coalesce("temps", F.lit(0))), F.lit(0))
+    return joined.agg(total.alias("total_trips"), covered.alias("trips_with_weather"),
+                      percent(covered, total).alias("coverage_pct"))
 
 
 def coverage_by_mode(fct: DataFrame) -> DataFrame:
@@ -534,10 +544,5 @@ def trips_per_month(fct: DataFrame) -> DataFrame:
 
 
 def sample_rows(fct: DataFrame, n: int) -> DataFrame:
-    """Any n rows."""
-    return fct.limit(n)
-
-
-def filtered(fct: DataFrame, start: str | None = None, end: str | None = None,
-             mode: str | None = None) -> DataFrame:
-    return filter_trips(fct, start, end, mode)
+    """The first n rows by trip key, the same ones in every run."""
+    return fct.orderBy("trip_key").limit(n)

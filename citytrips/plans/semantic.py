@@ -204,11 +204,15 @@ def query(model: SemanticModel, tables: Mapping[str, DataFrame], metrics: Sequen
 
 
 def _fill(result: DataFrame, spine: DataFrame, group_by: Sequence[str], grain: str) -> DataFrame:
-    time = next(g for g in group_by if g == "metric_time" or g.endswith("datetime")
-                or g.endswith("timestamp"))
+    """The result and a row for each period of the spine without one; no period of the result is
+    lost, whatever the spine covers."""
+    time = next((g for g in group_by if g == "metric_time" or g.endswith("datetime")
+                 or g.endswith("timestamp")), None)
+    if time is None:
+        raise ValueError("filling needs a time among the dimensions")
     periods = spine.select(at_grain(F.col("date_day"), grain).alias("_period")).distinct()
-    filled = periods.join(result, F.col("_period") == F.col(time), "left")
-    return filled.drop(time).withColumnRenamed("_period", time).select(*result.columns)
+    filled = periods.join(result, F.col("_period") == F.col(time), "full")
+    return filled.withColumn(time, F.coalesce("_period", time)).select(*result.columns)
 
 
 def catalog(spark: SparkSession, *models: SemanticModel) -> DataFrame:

@@ -87,16 +87,22 @@ def ingest(spark: SparkSession, landing: str, root: str, year: int, months: Sequ
 
 def _load_table(spark: SparkSession, landing: str, root: str, table: str, year: int,
                 months: Sequence[int]) -> list[Entry]:
+    """Usually one merge for all months. Where it fails, a file may be damaged in its body, which
+    no footer tells: then each month is merged on its own, and only the damaged ones fail."""
     frame, entries = _LOADERS[table](spark, landing, year, months)
     if frame is None:
         return entries
     try:
         merge_raw(spark, root, table, frame)
-        return _with_rows(spark, root, table, entries)
     except Exception as error:  # noqa: BLE001 - one source must not stop the others
-        problem = f"{type(error).__name__}: {error}"[:500]
-        return [e._replace(status="failed", error=problem) if e.status == "success" else e
-                for e in entries]
+        loaded = [e.month for e in entries if e.status == "success"]
+        if len(loaded) == 1:
+            problem = f"{type(error).__name__}: {error}"
+            return [e._replace(status="failed", error=problem) if e.month in loaded else e
+                    for e in entries]
+        alone = {m: _load_table(spark, landing, root, table, year, [m])[0] for m in loaded}
+        return [alone.get(e.month, e) for e in entries]
+    return _with_rows(spark, root, table, entries)
 
 
 def _with_rows(spark: SparkSession, root: str, table: str, entries: list[Entry]) -> list[Entry]:

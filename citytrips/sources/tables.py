@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,37 +10,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citytrips.functions import month_key
 from citytrips.operators.merge import without_keys_of
 
 MONTH = "pickup_month"
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the default of the CSV writer cuts microseconds
 
 
-def by_month(df: DataFrame, ts: str | None = None) -> DataFrame:
-    """Bring rows of a month together for a partitioned write.
+def write_table(df: DataFrame, path: str, partition_by: str | None = None,
+                order_by: Sequence[str] = ()) -> None:
+    """Replace a table: the new version is written beside it, then takes its place.
 
-    A rebalance lets adaptive execution merge small months and split a month that holds much
-    of the data over several tasks; a plain ``repartition(column)`` would leave it to one.
-    Applied to narrow rows before columns are added, it shuffles fewer bytes.
+    A write that fails leaves the old table whole.
     """
-    if ts is not None:
-        df = df.withColumn(MONTH, month_key(F.col(ts)))
-    return df.hint("rebalance", F.col(MONTH))
-
-
-def write_table(df: DataFrame, path: str, partition_by: str | None = None,
-                order_by: Sequence[str] = (), balanced: bool = False) -> None:
-    """Replace a table; ``balanced`` rows have gone through ``by_month`` already."""
-    if not partition_by:
-        df.write.mode("overwrite").parquet(path)
-        return
-    _write_months(df if balanced else df.hint("rebalance", F.col(partition_by)), path,
-                  partition_by, order_by, "static")
+    fresh = f"{path}.{uuid.uuid4().hex}.new"
+    if partition_by:
+        _write_months(df, fresh, partition_by, order_by, "static")
+    else:
+        df.write.parquet(fresh)
+    _swap(df.sparkSession, fresh, path)
+
+
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a written folder in the place of another one by two renames."""
+    files = _file_system(spark, path)
+    target, old = _hadoop_path(spark, path), _hadoop_path(spark, f"{fresh}.old")
+    files.mkdirs(target.getParent())
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(_hadoop_path(spark, fresh), target):
+        if replaced:
+            files.rename(old, target)
+        raise OSError(f"cannot put {fresh} in the place of {path}")
+    if replaced:
+        files.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def _write_months(df: DataFrame, path: str, column: str, order_by: Sequence[str],
                   scope: str) -> None:
+    # A rebalance lets adaptive execution merge small months and split a month that holds much
+    # of the data over several tasks; a plain ``repartition(column)`` would leave it to one.
+    df = df.hint("rebalance", F.col(column))
     if order_by:
         df = df.sortWithinPartitions(column, *order_by)
     (df.write.mode("overwrite").option("partitionOverwriteMode", scope)
@@ -48,7 +60,7 @@ def _write_months(df: DataFrame, path: str, column: str, order_by: Sequence[str]
 
 def overwrite_months(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     """Replace only the months that occur in df; it may read the same table."""
-    _write_months(by_month(df), path, MONTH, order_by, "dynamic")
+    _write_months(df, path, MONTH, order_by, "dynamic")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -72,6 +84,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         raise
 
 
+def months_present(spark: SparkSession, path: str) -> set:
+    """Months of a table by the names of its folders; no file is opened."""
+    if not exists(spark, path):
+        return set()
+    prefix, out = f"{MONTH}=", set()
+    for status in _file_system(spark, path).listStatus(_hadoop_path(spark, path)):
+        name = status.getPath().getName()
+        if name.startswith(prefix):
+            value = name.removeprefix(prefix)
+            out.add(int(value) if value.isdigit() else None)
+    return out
+
+
 def _months_of(df: DataFrame) -> set:
     """Distinct months; one small value per calendar month reaches the driver."""
     return {row[0] for row in df.select(MONTH).distinct().collect()}

@@ -29,7 +29,7 @@ def _path(root: str, pattern: str, year: int, month: int) -> str:
 
 def _reason(error: Exception) -> str:
     condition = error.getCondition() if isinstance(error, PySparkException) else None
-    return condition or f"{type(error).__name__}: {error}"[:500]
+    return condition or f"{type(error).__name__}: {error}"
 
 
 def _together(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
@@ -154,8 +154,10 @@ def _zip_rows(spark: SparkSession, members: Sequence[tuple[str, str]],
                 files, name = fs.FileSystem.from_uri(path)
                 with zipfile.ZipFile(files.open_input_file(name)) as archive:
                     with archive.open(member) as stream:
+                        # Only empty fields are null, as in unpacked files.
                         for chunk in pd.read_csv(stream, chunksize=chunk_rows, dtype=object,
-                                                 encoding="utf-8-sig"):
+                                                 encoding="utf-8-sig", keep_default_na=False,
+                                                 na_values=[""]):
                             renamed = chunk.rename(columns=names)
                             yield renamed.reindex(columns=wanted).astype(object)
 
@@ -202,7 +204,9 @@ def load_bike_csv(spark: SparkSession, root: str, year: int, months: Sequence[in
     frames, entries = [], []
     for month in validate_months(months):
         try:
-            frame = spark.read.option("header", "true").csv(_path(root, BIKE_CSV, year, month))
+            # A quote within quotes is doubled, and line breaks may stand within quotes.
+            frame = spark.read.options(header="true", escape='"', multiLine="true").csv(
+                _path(root, BIKE_CSV, year, month))
             frames.append(conform(normalize_columns(frame), schemas.RAW_BIKE, extra=True))
             entries.append(Entry(year, month, "trips", "success", None))
         except PySparkException as error:

@@ -127,3 +127,39 @@ def test_repeated_weather_hours_are_refused(spark, tmp_path):
         "pickup_month")
     with pytest.raises(pipeline.DuplicateHours):
         pipeline.write_weather(store)
+
+
+def test_backfill_rebuilds_each_month_once(spark, landing, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    pipeline.run_month(store, landing, 2025, 3)
+    spans = []
+    whole = pipeline.refresh
+    monkeypatch.setattr(pipeline, "refresh", lambda *a, **k: (spans.append((k["start"], k["end"])), whole(*a, **k)))
+    done = pipeline.backfill(store, landing, 2025, [1, 2, 12], continue_on_error=True)
+    assert (done["successful"], done["failed"]) == ([1, 2], [12])
+    assert spans == [("2025-01-01", "2025-03-01")]
+    assert per_month(store) == {202501: 9, 202502: 12, 202503: 6}
+    hours = store.table("fct_hourly_mobility").groupBy().sum("trip_count").first()[0]
+    assert hours == 27
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.write_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        tables.write_table(spark.range(9).selectExpr("assert_true(id < 3) as a", "id"), path)
+    assert tables.read_table(spark, path).count() == 5
+
+
+@pytest.mark.parametrize("threshold", ["-1", "64m"])
+def test_months_are_written_by_few_tasks_under_either_join(spark, landing, tmp_path, threshold):
+    store = Store(spark, str(tmp_path / "store"))
+    for month in DAYS:
+        pipeline.ingest(spark, landing, store.root, 2025, [month])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        pipeline.refresh(store, full_refresh=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(list((tmp_path / "store/core/fct_trips").glob("*/part-*"))) == 3

@@ -84,7 +84,7 @@ def test_joined_dimension_keeps_trips_without_one(tables):
 def test_grain_fill_order_and_limit(tables):
     days = query(metrics.TRIPS, tables, ["total_trips"], ["metric_time"], grain="day", fill=True,
                  order_by=["metric_time"])
-    assert [r["total_trips"] for r in days.collect()] == [2, None, 1, None]
+    assert [r["total_trips"] for r in days.collect()] == [2, None, 1, None, 1]  # one after the spine
     weeks = query(metrics.TRIPS, tables, ["total_trips"], ["metric_time"], grain="week")
     assert values(weeks) == [(datetime(2025, 9, 1), 4)]
     top = query(metrics.TRIPS, tables, ["total_trips"], ["pickup_datetime"],
@@ -107,3 +107,13 @@ def test_unknown_names_are_rejected(tables):
         query(metrics.TRIPS, tables, ["total_trips"], ["no_such_dimension"])
     with pytest.raises(KeyError):
         query(metrics.TRIPS, tables, ["total_trips"], ["weather__temp"])
+
+
+def test_filling_keeps_periods_outside_the_spine(spark, tables):
+    short = {**tables, "spine": time_spine(spark, "2025-09-03", "2025-09-05")}
+    days = query(metrics.TRIPS, short, ["total_trips"], ["metric_time"], grain="day", fill=True)
+    assert values(days) == [
+        (datetime(2025, 9, 1), 2), (datetime(2025, 9, 3), 1), (datetime(2025, 9, 4), None),
+        (datetime(2025, 9, 6), 1)]
+    with pytest.raises(ValueError):
+        query(metrics.TRIPS, short, ["total_trips"], ["trip_type"], fill=True)

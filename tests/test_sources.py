@@ -192,3 +192,37 @@ def test_file_inventory(spark, tmp_path):
     assert found["c.zip"]["pct_from_avg"] == pytest.approx(100.0)
     assert [found[n]["is_suspicious"] for n in ("a.zip", "c.zip")] == [True, False]
     assert found["a.zip"]["is_deviating"]
+
+
+def test_quoted_fields_read_alike_from_csv_and_archive(spark, tmp_path):
+    text = ('﻿ride_id,start_station_name,member_casual,end_station_name\n'
+            'A,"Broadway ""N"", 5 St",member,NA\nB,"1 Ave\n& E 4 St",casual,\n'
+            'C,"a, b, ""c""",member,null\n')
+    for folder in ("csv", "zip"):
+        (tmp_path / folder).mkdir()
+    (tmp_path / "csv" / "202505-citibike-tripdata.csv").write_text(text, encoding="utf-8")
+    write_zip(tmp_path / "zip", "202505-citibike-tripdata.zip", {"a.csv": text})
+    read = [values(trips.read_bike(spark, str(tmp_path / f), 2025, [5]), "ride_id",
+                   "start_station_name", "member_casual", "end_station_name")
+            for f in ("csv", "zip")]
+    assert read[0] == read[1] == [
+        ("A", 'Broadway "N", 5 St', "member", "NA"), ("B", "1 Ave\n& E 4 St", "casual", None),
+        ("C", 'a, b, "c"', "member", "null")]
+
+
+def test_a_damaged_body_fails_its_own_month_only(spark, tmp_path):
+    landing, root = str(tmp_path), str(tmp_path / "raw-tables")
+    for month in (1, 2, 3):
+        write_yellow(spark, landing, 2025, month, *[
+            (f"2025-{month:02d}-01 00:{k:02d}:00", float(k)) for k in range(60)])
+    (part,) = (tmp_path / "yellow_tripdata_2025-02.parquet").glob("part-*.parquet")
+    data = bytearray(part.read_bytes())
+    data[4:200] = b"\x00" * 196  # pages, not the footer
+    part.write_bytes(bytes(data))
+    for check in part.parent.glob(".*.crc"):
+        check.unlink()
+    found = ingest(spark, landing, root, 2025, [1, 2, 3], ["yellow"]).collect()
+    assert {r["month"]: r["status"] for r in found} == {1: "success", 2: "failed", 3: "success"}
+    assert raw_table(spark, root, "yellow_taxi").count() == 120
+    (error,) = [r["error"] for r in found if r["month"] == 2]
+    assert error
