@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citytrips.functions import divide, floor_hour, floor_month
@@ -14,7 +14,6 @@ _AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "count": F.count,
     "sum": F.sum,
     "average": F.avg,
-    "median": lambda c: F.percentile(c, 0.5),
     "max": F.max,
 }
 
@@ -42,10 +41,10 @@ class Measure:
     agg: str
     expr: str
 
-    def over(self, condition: Column | None) -> Column:
-        """The aggregate, restricted to rows that meet a condition."""
+    def value(self, condition: Column | None) -> Column:
+        """What is aggregated, null for rows that do not meet a condition."""
         value = F.expr(self.expr)
-        return _AGGREGATES[self.agg](value if condition is None else F.when(condition, value))
+        return value if condition is None else F.when(condition, value)
 
 
 @dataclass(frozen=True)
@@ -122,12 +121,16 @@ class _Plan:
     def __init__(self, model: SemanticModel):
         self.model = model
         self.aggregates: dict[str, Column] = {}
-        self.outputs: dict[str, Column] = {}
+        self.medians: dict[str, Column] = {}
 
     def _aggregate(self, measure: str, where: tuple = ()) -> Column:
         name = "_".join(["", measure, *[f"{k}={v}" for k, v in where]]).replace(".", "_")
-        if name not in self.aggregates:
-            self.aggregates[name] = self.model.measure(measure).over(_condition(where)).alias(name)
+        chosen = self.model.measure(measure)
+        value = chosen.value(_condition(where))
+        if chosen.agg == "median":
+            self.medians[name] = value
+        elif name not in self.aggregates:
+            self.aggregates[name] = _AGGREGATES[chosen.agg](value).alias(name)
         return F.col(f"`{name}`")
 
     def value(self, name: str) -> Column:
@@ -139,6 +142,32 @@ class _Plan:
         return metric.formula(*[self.value(i) for i in metric.inputs])
 
 
+def exact_medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """Exact medians of several values by keys.
+
+    Equal values are counted in the map tasks, and the middle is found by a running count over
+    the sorted distinct values. Both steps spill to disk, unlike the state of a percentile
+    aggregate, however few the groups are.
+    """
+    entries = F.array(*[F.struct(F.lit(n).alias("_name"), v.cast("double").alias("_value"))
+                        for n, v in values.items()])
+    counted = df.select(*keys, F.inline(entries)).filter("_value is not null").groupBy(
+        *keys, "_name", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*keys, "_name")
+    before = F.sum("_n").over(group.orderBy("_value")) - F.col("_n")
+    ranked = counted.withColumns({"_before": before, "_last": F.sum("_n").over(group) - 1})
+
+    def at(place: Column) -> Column:
+        here = (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
+        return F.max(F.when(here, F.col("_value")))
+
+    half = F.col("_last") / 2
+    middle = ranked.groupBy(*keys, "_name").agg(
+        (at(F.floor(half)) * 0.5 + at(F.ceil(half)) * 0.5).alias("_median"))
+    return middle.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_name") == n, F.col("_median"))).alias(n) for n in values])
+
+
 def _join_entities(base: DataFrame, model: SemanticModel, tables: Mapping[str, DataFrame],
                    names: Sequence[str]) -> DataFrame:
     """Left-join the dimension tables behind names of the form ``entity__column``.
@@ -195,7 +224,18 @@ def query(model: SemanticModel, tables: Mapping[str, DataFrame], metrics: Sequen
             keys.append(F.col(name))
     plan = _Plan(model)
     outputs = [plan.value(m).alias(m) for m in metrics]
-    result = base.groupBy(*keys).agg(*plan.aggregates.values()).select(*group_by, *outputs)
+    aggregates = list(plan.aggregates.values()) or [F.count(F.lit(1)).alias("_rows")]
+    grouped = base.groupBy(*keys).agg(*aggregates)
+    if plan.medians:
+        medians = exact_medians(
+            base.select("*", *[k.alias(f"_by_{i}") for i, k in enumerate(keys)]),
+            [f"_by_{i}" for i in range(len(keys))], plan.medians)
+        medians = medians.withColumnsRenamed({f"_by_{i}": g for i, g in enumerate(group_by)})
+        both = grouped.unionByName(medians, allowMissingColumns=True)
+        # one row of each kind per group; grouping matches null keys, a join would not
+        grouped = both.groupBy(*[F.col(f"`{g}`") for g in group_by]).agg(*[
+            F.max(f"`{c}`").alias(c) for c in both.columns if c not in group_by])
+    result = grouped.select(*group_by, *outputs)
     if fill:
         result = _fill(result, tables["spine"], group_by, grain or grains[model.time])
     if order_by:
