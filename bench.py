@@ -23,6 +23,7 @@ CUT = "2001-06-01"  # the last months of taxi data and all bike data come after
 
 def main() -> None:
     from citytrips import fixtures
+    from citytrips.operators.staging import stg_bike, stg_fhv, stg_weather, stg_yellow
     from citytrips.plans import metrics, pipeline, quality, reports, suites
     from citytrips.plans.semantic import query
     from citytrips.session import get_session
@@ -38,8 +39,6 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": f"{work}/shared",
-        # Tables of a few megabytes: small files keep all local cores busy.
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
     })
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -70,9 +69,18 @@ def main() -> None:
     fct = tables["fct_trips"]
     rows = fct.count()
     dates, hours, places = (tables[n] for n in ("dim_date", "dim_time", "dim_location"))
-    suite = suites.DECLARED["fct_trips"]
+    weather = store.table("dim_weather")
+    staged = {"stg_yellow": stg_yellow(store.raw("yellow_taxi"), store.min_pickup),
+              "stg_fhv": stg_fhv(store.raw("fhv_taxi"), store.min_pickup),
+              "stg_bike": stg_bike(store.raw("trips")), "stg_weather": stg_weather(store.raw("hourly_weather"))}
+    known = {**staged, "dim_date": dates, "dim_time": hours, "dim_location": places,
+             "dim_weather": weather, "fct_trips": fct,
+             "fct_hourly_mobility": tables["fct_hourly_mobility"]}
     timed("quality_suite", lambda: quality.run_suite(
-        fct, suite, {"dim_date": dates, "dim_time": hours}).collect())
+        fct, suites.DECLARED["fct_trips"], known).collect())
+    timed("quality_all_suites", lambda: [
+        quality.run_suite(known[name], rules_, known).collect()
+        for name, rules_ in suites.DECLARED.items()])
     for name in (
         "key_metrics", "daily_by_mode", "hourly_by_mode", "temperature_buckets", "rain_levels",
         "mode_comparison", "weekend_split", "data_summary", "monthly_by_mode", "daily_totals",
@@ -98,6 +106,7 @@ def main() -> None:
 
     # Incremental: take the last months out of the facts, then add them again.
     timed("backfill_from_date", lambda: pipeline.refresh(store, start=CUT, zones=zones))
+    later = store.table("fct_trips").filter(F.col("pickup_datetime") >= F.lit(CUT).cast("timestamp_ntz")).count()
 
     def cut_back() -> None:
         for name, column in (("fct_trips", "pickup_datetime"),
@@ -120,6 +129,8 @@ def main() -> None:
         "sf": FOLDER.rsplit("sf", 1)[-1],
         "trips": rows,
         "trips_per_second_full_refresh": round(rows / times["full_refresh"]),
+        "trips_per_second_incremental": round(later / times["incremental_refresh"]),
+        "trips_per_second_backfill": round(later / times["backfill_from_date"]),
         "cpus": int(CPUS),
         "memory": "12g",
     }))
