@@ -8,10 +8,12 @@ to either side of the anchor's far end.
 
 1. Anchors whose gram occurs once are dropped.
 2. Equal contexts are one class; a class of several members is repeated as a whole.
-3. Different contexts of one gram can share a string only if they agree in the nearer half of
-   the left or of the right side. Those that do form shards, whose suffix arrays are built by
-   induced sorting; runs of common prefixes of at least LENGTH show the repeated strings.
-4. Groups too large for one shard list the hashes of their strings instead, and count those.
+3. Different contexts of one gram form shards. A context is cut into regions, each the union of
+   STEP + 1 strings that follow each other; all of them hold the region's core. Equal regions are
+   repeated. Unequal regions with equal cores differ in a few bytes at their ends only: with the
+   core as one symbol they are short strings, whose suffix array is built by induced sorting. Runs
+   of common prefixes of full length show which strings are repeated.
+4. Grams with more contexts than a task should hold list the hashes of their strings instead.
 
 Cases: null text is empty; texts shorter than LENGTH bytes lose nothing. Null ids are ids. Repeated rows are
 documents of their own: they repeat each other. Further columns are ignored.
@@ -35,12 +37,12 @@ LENGTH = 400
 GRAM = 32
 #: Bytes to the left and right of an anchor's start that a string holding the anchor can reach.
 LEFT, RIGHT = LENGTH - GRAM, LENGTH
-#: If two strings with an anchor are equal, they agree in this many bytes on one side.
-HALF = (LENGTH - GRAM + 1) // 2
-#: Groups of more contexts than this are decided by hashes of their strings.
-MOST_CONTEXTS = 4096
-#: Contexts that one suffix array holds, about.
-SHARD_BYTES = 2 << 20
+#: Strings of a region, less one.
+STEP = 45
+#: Grams with more contexts than this are decided by hashes of their strings.
+MOST_CONTEXTS = 8192
+#: Contexts that are solved together, about.
+SHARD_BYTES = 4 << 20
 #: Documents are winnowed in blocks of this many bytes.
 BLOCK = 1 << 23
 _TABLE = mix(np.arange(256, dtype=HASH), 5)
@@ -80,45 +82,79 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     return at, np.concatenate(hashes)[first]
 
 
-def repeated_starts(contexts: list[bytes], where: list[tuple[int, int]], length: int = LENGTH) -> list[np.ndarray]:
-    """For each context the offsets at which a string of ``length`` bytes starts that also starts
-    elsewhere in the corpus. ``where``: document and position of each context; contexts may
-    overlap in the corpus, and the same place is not elsewhere."""
-    sizes = np.array([len(c) for c in contexts])
+def repeated_starts(rows: list[np.ndarray], documents: np.ndarray, places: np.ndarray, length: int, size: int) -> list[np.ndarray]:
+    """For each row of symbols (2 to size - 1) the offsets at which a string of ``length`` symbols
+    starts that also starts elsewhere. ``documents`` and ``places``: where the rows lie in the
+    corpus; rows may overlap there, and the same place is not elsewhere."""
+    sizes = np.array([len(r) for r in rows])
     begin = np.cumsum(sizes + 1) - sizes - 1
-    text = np.zeros(int(sizes.sum()) + len(contexts) + 1, np.uint16)  # 0: end, 1: between contexts
-    for at, context in zip(begin.tolist(), contexts, strict=True):
-        text[at:at + len(context)] = np.frombuffer(context, np.uint8)
-        text[at:at + len(context)] += 2
-        text[at + len(context)] = 1
-    order = suffix_array(text, 258)
-    common = common_prefixes(text, order)
-    owner = np.repeat(np.arange(len(contexts)), sizes + 1)
+    owner = np.repeat(np.arange(len(rows)), sizes + 1)
     offset = np.arange(len(owner)) - begin[owner]
+    text = np.zeros(len(owner) + 1, np.int32)  # 0: end, 1: between rows
+    text[:-1] = 1
+    text[np.flatnonzero(offset < sizes[owner])] = np.concatenate(rows)
+    order = suffix_array(text, size)
+    common = common_prefixes(text, order)
     fits = offset + length <= sizes[owner]
     ranked = order[order < len(owner)]
-    ranked = ranked[fits[ranked]]  # in suffix order; none of another kind lies within a run
-    # a common prefix of two suffixes is the least one between them; those of full length within
-    # a context have none that is shorter between them unless they differ
-    linked = np.minimum(common[ranked], sizes[owner[ranked]] - offset[ranked]) >= length
-    run = np.cumsum(~linked)
-    documents, place = np.array([w[0] for w in where], np.int64), np.array([w[1] for w in where], np.int64)
-    d, p = documents[owner[ranked]], place[owner[ranked]] + offset[ranked]
-    out = [np.zeros(0, np.int64)] * len(contexts)
+    # suffixes that are too short never lie between two with a common prefix of full length
+    ranked = ranked[fits[ranked]]
+    out = [np.zeros(0, np.int64)] * len(rows)
     if not len(ranked):
         return out
+    run = np.cumsum(common[ranked] < length)
+    d, p = documents[owner[ranked]], places[owner[ranked]] + offset[ranked]
     starts = np.flatnonzero(np.diff(run, prepend=run[0] - 1))
-    size = np.diff(np.append(starts, len(run)))
-    group = np.repeat(np.arange(len(starts)), size)
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(run))))
     other = (d != d[starts][group]) | (p != p[starts][group])
-    hit = ranked[np.logical_or.reduceat(other, starts)[group]]
-    hit = np.sort(hit)
-    cuts = np.searchsorted(owner[hit], np.arange(len(contexts) + 1))
+    hit = np.sort(ranked[np.logical_or.reduceat(other, starts)[group]])
+    cuts = np.searchsorted(owner[hit], np.arange(len(rows) + 1))
     for k in np.flatnonzero(np.diff(cuts)):
         out[k] = offset[hit[cuts[k]:cuts[k + 1]]]
     return out
 
 
+def solve(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int]]:
+    """Spans (key, start, stop) of strings repeated among contexts (key, anchor position, bytes to
+    the left of it, bytes), each place given once."""
+    regions: dict[tuple, list[int]] = {}
+    cores: dict[tuple[int, bytes], list[tuple]] = {}
+    for at, (_, _, left, data) in enumerate(contexts):
+        right = len(data) - left
+        for low in range(0, LEFT + 1, STEP + 1):  # strings that start low to high bytes before the anchor
+            high = min(low + STEP, LEFT)
+            least, most = max(low, LENGTH - right), min(high, left)
+            if least > most:
+                continue
+            region = (low, most, data[left - most:left - least + LENGTH])
+            if region in regions:
+                regions[region].append(at)
+            else:
+                regions[region] = [at]
+                cores.setdefault((low, data[left - low:left - high + LENGTH]), []).append(region)
+    spans = []
+    for (_, most, data), members in regions.items():
+        if len(members) > 1:
+            spans += [(contexts[m][0], contexts[m][1] - most, contexts[m][1] - most + len(data)) for m in members]
+    rows, documents, places = [], [], []
+    for symbol, ((low, core), own) in enumerate(((c, r) for c, r in cores.items() if len(r) > 1), 258):
+        for region in own:
+            _, most, data = region
+            key, pos, _, _ = contexts[regions[region][0]]
+            ahead = most - low  # bytes before the core
+            ends = np.frombuffer(data[:ahead] + data[ahead + len(core):], np.uint8).astype(np.int32) + 2
+            rows.append(np.concatenate([ends[:ahead], [symbol], ends[ahead:]]))
+            documents.append(key)
+            places.append(pos - most)
+    if rows:
+        # a string is its core, one symbol, and STEP bytes at the ends
+        found = repeated_starts(rows, np.array(documents), np.array(places), STEP + 1, 258 + len(cores))
+        for key, place, starts in zip(documents, places, found, strict=True):
+            if len(starts):
+                spans += [(key, place + int(x), place + int(y)) for x, y in zip(*_runs(starts, LENGTH), strict=True)]
+    return spans
+
+
 def _runs(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Merged spans [from, to) of the strings at sorted starts."""
     cut = np.flatnonzero(np.diff(starts) > length) + 1
@@ -131,31 +167,27 @@ def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return own.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text", *carry)
 
 
-_ANCHORS = "key bigint, pos int, gram bigint, c1 bigint, c2 bigint, lh bigint, rh bigint, l smallint, r smallint"
+_ANCHORS = "key bigint, pos int, gram bigint, c1 bigint, c2 bigint, l smallint, r smallint"
 
 
 def _anchors(keyed: DataFrame) -> DataFrame:
-    """One row per anchor: key of its document, position, hashes of gram, context and half
-    contexts (null where the document ends before), bytes of context to the left and right."""
+    """One row per anchor: key of its document, position, hashes of gram and context, bytes of
+    context to the left and right."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            columns: list[list] = [[] for _ in range(9)]
+            columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(7)]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = text.encode()
                 if len(data) < LENGTH:
                     continue
                 at, hashes = anchors(data)
                 left, right = np.minimum(at, LEFT), np.minimum(len(data) - at, RIGHT)
-                pairs = list(zip(at.tolist(), left.tolist(), right.tolist(), strict=True))
-                whole = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[p - a:p + b], seed=a) for p, a, b in pairs), np.int64)
-                sides = [[xxhash.xxh3_64_intdigest(data[p - HALF:p]) if a >= HALF else None for p, a, _ in pairs],
-                         [xxhash.xxh3_64_intdigest(data[p + GRAM:p + GRAM + HALF], seed=1) if b >= GRAM + HALF else None for p, _, b in pairs]]
-                for column, values in zip(columns, ([key] * len(at), at, hashes.view(np.int64), whole[0::2], whole[1::2], sides[0], sides[1], left, right), strict=True):
-                    column.extend(values)
-            signed = [[None if v is None else v - (1 << 64) if v >> 63 else v for v in columns[k]] for k in (5, 6)]
-            columns[5:7] = signed
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "pos", "gram", "c1", "c2", "lh", "rh", "l", "r"])
+                whole = np.frombuffer(b"".join(
+                    [xxhash.xxh3_128_digest(data[p - a:p + b], seed=a) for p, a, b in zip(at.tolist(), left.tolist(), right.tolist(), strict=True)]), np.int64)
+                for column, values in zip(columns, (np.full(len(at), key), at, hashes.view(np.int64), whole[0::2], whole[1::2], left, right), strict=True):
+                    column.append(values)
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(k) for c, k in zip(columns, kinds, strict=True)], names=["key", "pos", "gram", "c1", "c2", "l", "r"])
 
     return keyed.select("key", "text").mapInArrow(work, _ANCHORS)
 
@@ -179,28 +211,25 @@ def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sharded(contexts: DataFrame, shards: int) -> DataFrame:
-    """Spans (key, start, stop) found by suffix arrays; groups stay together."""
+    """Spans (key, start, stop) found in shards; the contexts of a gram stay together."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+        held: dict[tuple, bytes] = {}
+        size, last = 0, None
 
-        def solve() -> pa.RecordBatch:
-            # a place may stand in several groups: once is enough
-            unique = list({(k, p, a): c for k, p, a, _, c in held}.items())
-            found = repeated_starts([c for _, c in unique], [(k, p - a) for (k, p, a), _ in unique])
-            rows = [(k, p - a + int(x), p - a + int(y)) for ((k, p, a), _), starts in zip(unique, found, strict=True) if len(starts) for x, y in zip(*_runs(starts, LENGTH), strict=True)]
-            columns = zip(*rows, strict=True) if rows else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "start", "stop"])
+        def solved() -> pa.RecordBatch:
+            spans = solve([(*place, data) for place, data in held.items()])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*spans, strict=True) if spans else ([], [], []))], names=["key", "start", "stop"])
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if size >= SHARD_BYTES and row[3] != held[-1][3]:
-                    yield solve()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4])
+            for key, pos, left, group, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if size >= SHARD_BYTES and group != last:
+                    yield solved()
+                    held, size = {}, 0
+                held[key, pos, left] = data
+                size += len(data)
+                last = group
         if held:
-            yield solve()
+            yield solved()
 
     dealt = contexts.repartition(shards, "group").sortWithinPartitions("group")
     return dealt.mapInArrow(work, "key bigint, start bigint, stop bigint")
@@ -229,17 +258,14 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     shared = stored(all_anchors.join(again, "gram", "left_semi"), "shared")
 
     classes = shared.groupBy("gram", "c1", "c2").agg(
-        F.count("*").alias("times"), F.min(F.struct("key", "pos", "l", "r", "lh", "rh")).alias("first"))
+        F.count("*").alias("times"), F.min(F.struct("key", "pos", "l", "r")).alias("first"))
     classes = stored(classes.select("gram", "c1", "c2", "times", "first.*"), "classes")
     whole = classes.where("times > 1").select("gram", "c1", "c2")
     copies = shared.join(whole, ["gram", "c1", "c2"], "left_semi").select(
         "key", (F.col("pos") - F.col("l")).cast("long").alias("start"), (F.col("pos") + F.col("r")).cast("long").alias("stop"))
 
-    # a class takes part in a group for its left and one for its right half
-    sides = F.array(F.when(F.col("lh").isNotNull(), F.xxhash64("gram", "lh", F.lit(0))), F.when(F.col("rh").isNotNull(), F.xxhash64("gram", "rh", F.lit(1))))
-    member = classes.select("key", "pos", "l", "r", F.explode(sides).alias("group")).where("group is not null")
-    sizes = member.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
-    wanted = stored(member.join(sizes, "group"), "wanted")
+    sizes = classes.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
+    wanted = stored(classes.select("key", "pos", "l", "r", F.col("gram").alias("group")).join(sizes.withColumnRenamed("gram", "group"), "group"), "wanted")
     small = wanted.where(F.col("members") <= MOST_CONTEXTS)
     large = wanted.where(F.col("members") > MOST_CONTEXTS)
     shards = max(1, small.count() * (LEFT + RIGHT) // (2 * SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
