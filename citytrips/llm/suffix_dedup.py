@@ -40,9 +40,9 @@ LEFT, RIGHT = LENGTH - GRAM, LENGTH
 #: Strings of a region, less one.
 STEP = 45
 #: Grams with more contexts than this are decided by hashes of their strings.
-MOST_CONTEXTS = 8192
-#: Contexts that are solved together, about.
-SHARD_BYTES = 4 << 20
+MOST_CONTEXTS = 4096
+#: Contexts that are solved together, about, and rows of one suffix array, about.
+SHARD_BYTES, ARRAY_ROWS = 2 << 20, 4096
 #: Documents are winnowed in blocks of this many bytes.
 BLOCK = 1 << 23
 _TABLE = mix(np.arange(256, dtype=HASH), 5)
@@ -136,8 +136,21 @@ def solve(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, i
     for (_, most, data), members in regions.items():
         if len(members) > 1:
             spans += [(contexts[m][0], contexts[m][1] - most, contexts[m][1] - most + len(data)) for m in members]
-    rows, documents, places = [], [], []
-    for symbol, ((low, core), own) in enumerate(((c, r) for c, r in cores.items() if len(r) > 1), 258):
+    rows, documents, places, symbol = [], [], [], 258
+
+    def close() -> None:
+        nonlocal rows, documents, places, symbol
+        if rows:
+            # a string is its core, one symbol, and STEP bytes at the ends
+            found = repeated_starts(rows, np.array(documents), np.array(places), STEP + 1, symbol)
+            for key, place, starts in zip(documents, places, found, strict=True):
+                if len(starts):
+                    spans.extend((key, place + int(x), place + int(y)) for x, y in zip(*_runs(starts, LENGTH), strict=True))
+        rows, documents, places, symbol = [], [], [], 258
+
+    for (low, core), own in cores.items():
+        if len(own) < 2:
+            continue
         for region in own:
             _, most, data = region
             key, pos, _, _ = contexts[regions[region][0]]
@@ -146,12 +159,10 @@ def solve(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, i
             rows.append(np.concatenate([ends[:ahead], [symbol], ends[ahead:]]))
             documents.append(key)
             places.append(pos - most)
-    if rows:
-        # a string is its core, one symbol, and STEP bytes at the ends
-        found = repeated_starts(rows, np.array(documents), np.array(places), STEP + 1, 258 + len(cores))
-        for key, place, starts in zip(documents, places, found, strict=True):
-            if len(starts):
-                spans += [(key, place + int(x), place + int(y)) for x, y in zip(*_runs(starts, LENGTH), strict=True)]
+        symbol += 1
+        if len(rows) >= ARRAY_ROWS:  # strings of different cores never match
+            close()
+    close()
     return spans
 
 
