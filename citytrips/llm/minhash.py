@@ -264,13 +264,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     full = own.where(F.col("doc_id").isNotNull() & (F.length("text") > 0))
     sketches = stored(_sketches(full), "sketches")
-    firsts = sketches.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    member = sketches.select("doc_id", "digest").join(firsts, "digest").select("doc_id", "first")
-
-    copies = sketches.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    # aggregates are written before they are joined: with two plain sides a hot key is split
+    copies = stored(sketches.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "copies")
+    member = sketches.select("doc_id", "digest").join(copies, "digest", "left").select("doc_id", F.coalesce("first", "doc_id").alias("first"))
     single = sketches.join(copies, "digest", "left").where("first is null or first = doc_id")
     banded = single.select(F.col("doc_id").alias("id"), "n", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").drop("last")
+    buckets = stored(banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").drop("last"), "hubs")
     # (key, id, n, hub) of every document that shares a band with another one
     shared = stored(banded.join(buckets, "key"), "buckets")
     cells = stored(_cells(full, shared.select(F.col("id").alias("doc_id")).distinct()), "cells")

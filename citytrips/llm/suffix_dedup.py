@@ -265,7 +265,8 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     """Spans (key, start, stop) of bytes covered by repeated strings; they may overlap."""
     spark = keyed.sparkSession
     all_anchors = stored(_anchors(keyed), "anchors")
-    again = all_anchors.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram")
+    # written, so that the join has two plain sides and a gram with very many anchors is split
+    again = stored(all_anchors.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram"), "grams")
     shared = stored(all_anchors.join(again, "gram", "left_semi"), "shared")
 
     classes = shared.groupBy("gram", "c1", "c2").agg(
