@@ -178,6 +178,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the store."""
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
 def materialize(df: DataFrame, mode: str, name: str, path: str | None = None) -> DataFrame:
     """Materialise as ``view``, ``table`` or ``ephemeral`` (inlined); returns the relation.
 
