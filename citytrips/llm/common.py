@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from citytrips.session import shared_folder
+from citytrips.sources.tables import remove
 
 HASH = np.uint64
 
@@ -35,6 +36,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables made by ``stored`` that no later step reads: what was built from them must be
+    written itself, else a lost executor could not be made good."""
+    for df in frames:
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            remove(df.sparkSession, folder)
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of an id as text, modulo the divisor; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
@@ -96,7 +105,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         left = move.select(F.col("u"), F.col("to").alias("x"))
         right = move.select(F.col("u").alias("v"), F.col("to").alias("y"))
         moved = current.join(left, "u").join(right, "v").where("x <> y")
-        current = stored(moved.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct(), "edges")
+        before, current = current, stored(moved.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct(), "edges")
+        discard(before)
     if not moves:
         return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     final = moves[-1].select(F.col("u").alias("node"), F.col("to").alias("root"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citytrips.llm.common import HASH, mix, slices, stored, with_carried
+from citytrips.llm.common import HASH, discard, mix, slices, stored, with_carried
 from citytrips.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 400
@@ -268,6 +268,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     # written, so that the join has two plain sides and a gram with very many anchors is split
     again = stored(all_anchors.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram"), "grams")
     shared = stored(all_anchors.join(again, "gram", "left_semi"), "shared")
+    discard(all_anchors, again)
 
     classes = shared.groupBy("gram", "c1", "c2").agg(
         F.count("*").alias("times"), F.min(F.struct("key", "pos", "l", "r")).alias("first"))
@@ -284,7 +285,9 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     spans = copies.union(_sharded(_contexts(keyed, small), shards))
     if not large.isEmpty():
         spans = spans.union(_hashed(_contexts(keyed, large)))
-    return stored(spans, "spans")
+    found = stored(spans, "spans")
+    discard(shared, classes, wanted)
+    return found
 
 
 def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
