@@ -572,7 +572,7 @@ def dq_stored_failures(w: Workspace) -> DataFrame:
     path = w.scratch("failures")
     quality.run_suite(w.fct, suites.DECLARED["fct_trips"],
                       {"dim_date": w.dates, "dim_time": w.hours}, store_failures=path)
-    kept = w.spark.read.parquet(f"{path}/not_null_dropoff_datetime")
+    kept = w.spark.read.parquet(f"{path}/rows").filter("rule = 'not_null_dropoff_datetime'")
     return kept.groupBy("trip_type").agg(F.count(F.lit(1)).alias("rows"))
 
 

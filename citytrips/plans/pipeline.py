@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,7 @@ from citytrips.operators.staging import (
 )
 from citytrips.plans.quality import duplicates
 from citytrips.sources.ingest import DEFAULT_SOURCES, ingest, raw_table
+from citytrips.sources.months import month_bounds
 from citytrips.sources.tables import (
     MONTH, exists, merge_into, months_present, read_table, stage, write_table,
 )
@@ -278,10 +279,9 @@ def _backfill_together(store: Store, landing: str, year: int, months: Sequence[i
     if full_refresh and ranges:
         refresh(store, full_refresh=True, zones=zones)
     else:
-        for first, *rest in ranges:
-            after = (rest[-1] if rest else first) + 1
-            refresh(store, start=f"{year}-{first:02d}-01", zones=zones,
-                    end=f"{year + after // 13}-{(after - 1) % 12 + 1:02d}-01")
+        for span in ranges:
+            start, last = month_bounds(year, span[0])[0], month_bounds(year, span[-1])[1]
+            refresh(store, start=str(start), zones=zones, end=str(last + timedelta(days=1)))
     return {
         "successful": loaded, "failed": [m for m in months if m in errors], "errors": errors,
         "total": len(months),

@@ -144,8 +144,9 @@ def run_suite(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFr
 
     Row-level rules share one pass. Uniqueness and relationships need a shuffle each; their
     failing count is the number of repeated values or of rows without a parent, and
-    ``total_rows`` is null. With ``store_failures`` the failing rows of every rule that has
-    any are written to ``<path>/<kind>_<column>``.
+    ``total_rows`` is null. With ``store_failures`` the rows that fail row-level rules are written
+    to ``<path>/rows``, by ``rule`` (``<kind>_<column>``) and in one scan, and the failing groups
+    of the other rules to ``<path>/<kind>_<column>``.
     """
     row_level = [r for r in rules if r.kind not in ("unique", "relationship")]
     parts = [_one_pass(df, row_level)] if row_level else []
@@ -167,16 +168,20 @@ def _store(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame
            result: DataFrame, path: str) -> None:
     failed = {(r["kind"], r["column_name"])
               for r in result.filter("failing_rows > 0").collect()}  # one row per rule
+    broken = []
     for rule in rules:
+        name = f"{rule.kind}_{rule.column}"
         if (rule.kind, rule.column) not in failed or rule.kind == "row_count":
             continue
-        if rule.kind == "unique":
-            rows = duplicates(df, rule.column)
-        elif rule.kind == "relationship":
-            rows = orphans(df, parents[rule.values[0]], rule.column)
+        if rule.kind in ("unique", "relationship"):
+            groups = (duplicates(df, rule.column) if rule.kind == "unique"
+                      else orphans(df, parents[rule.values[0]], rule.column))
+            groups.write.mode("overwrite").parquet(f"{path}/{name}")
         else:
-            rows = failing_rows(df, rule)
-        rows.write.mode("overwrite").parquet(f"{path}/{rule.kind}_{rule.column}")
+            broken.append(F.when(_fails(rule), F.lit(name)))
+    if broken:
+        rows = df.withColumn("rule", F.explode(F.array_distinct(F.array_compact(F.array(*broken)))))
+        rows.write.mode("overwrite").partitionBy("rule").parquet(f"{path}/rows")
 
 
 # --- checks of their own --------------------------------------------------------------------

@@ -23,9 +23,3 @@ def validate_months(months: Iterable[int] | str) -> list[int]:
 def month_bounds(year: int, month: int) -> tuple[date, date]:
     """First and last date of a month."""
     return date(year, month, 1), date(year, month, monthrange(year, month)[1])
-
-
-def previous_and_next(year: int, month: int) -> tuple[int, int]:
-    """Keys (yyyymm) of the months before and after."""
-    index = year * 12 + month - 1
-    return tuple((i // 12) * 100 + i % 12 + 1 for i in (index - 1, index + 1))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytrips import schemas
-from citytrips.sources.columns import conform, union_months
+from citytrips.sources.columns import conform
 from citytrips.sources.months import validate_months
 from citytrips.sources.report import Entry
+from citytrips.sources.tables import exists
 
 WEATHER_FILE = "weather_{year}-{month:02d}.json"
 
@@ -52,21 +52,24 @@ def parse_payload(text: DataFrame, column: str = "value") -> DataFrame:
 def load_weather(spark: SparkSession, root: str, year: int,
                  months: Sequence[int]) -> tuple[DataFrame | None, list[Entry]]:
     """Weather months; a file without ``hourly`` or with an empty ``time`` fails its month."""
-    frames, entries = [], []
-    for month in validate_months(months):
-        path = f"{root.rstrip('/')}/{WEATHER_FILE.format(year=year, month=month)}"
-        try:
-            text = spark.read.option("wholetext", "true").text(path)
-        except AnalysisException as error:
-            entries.append(Entry(year, month, "hourly_weather", "failed", error.getCondition()))
-            continue
-        rows = conform(parse_payload(text), schemas.RAW_WEATHER)
-        if rows.isEmpty():
-            entries.append(Entry(year, month, "hourly_weather", "failed", "no hourly data"))
-            continue
-        frames.append(rows)
-        entries.append(Entry(year, month, "hourly_weather", "success", None))
-    return (union_months(frames) if frames else None), entries
+    names = {m: WEATHER_FILE.format(year=year, month=m) for m in validate_months(months)}
+    paths = {m: f"{root.rstrip('/')}/{name}" for m, name in names.items()}
+    problems = {m: "PATH_NOT_FOUND" for m, path in paths.items() if not exists(spark, path)}
+    landed = {m: path for m, path in paths.items() if m not in problems}
+    if landed:
+        # one pass tells which documents hold hours; a row per file reaches the driver
+        text = spark.read.option("wholetext", "true").text(list(landed.values()))
+        hours = F.size(F.from_json("value", PAYLOAD_SCHEMA)["hourly"]["time"])
+        files = text.select(F.input_file_name().alias("file"), hours.alias("hours")).filter("hours > 0")
+        full = [row["file"] for row in files.select("file").distinct().collect()]
+        problems |= {m: "no hourly data" for m in landed if not any(f"/{names[m]}" in f for f in full)}
+    good = [path for m, path in landed.items() if m not in problems]
+    entries = [Entry(year, m, "hourly_weather", "failed" if m in problems else "success", problems.get(m))
+               for m in paths]
+    if not good:
+        return None, entries
+    text = spark.read.option("wholetext", "true").text(good)
+    return conform(parse_payload(text), schemas.RAW_WEATHER), entries
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:

@@ -46,7 +46,7 @@ def test_suite_counts_failures_in_one_pass(spark, tmp_path):
         ("accepted", "c", False): 1, ("between", "n", False): 1, ("between", "n", True): 1,
         ("row_count", "*", False): 1, ("holds", "positive", True): 0,
         ("relationship", "k", False): 1}
-    stored = spark.read.parquet(str(tmp_path / "accepted_c"))
+    stored = spark.read.parquet(str(tmp_path / "rows")).filter("rule = 'accepted_c'")
     assert values(stored, "k", "c") == [(None, "z")]
     row_level = [r for r in rules if r.kind not in ("unique", "relationship")]
     plan = quality.run_suite(df, row_level)._jdf.queryExecution().optimizedPlan().toString()
