@@ -35,6 +35,8 @@ QUERY_TERMS = 24
 #: Neighbours tried for a window before one is cut.
 TRIED = 64
 K1, B = 1.2, 0.75
+#: Ids below this one are ranks of frequent tokens, which say little about a text.
+COMMON = 2_000
 #: Ids that the counts of a vocabulary have room for at first.
 SMALL = 1 << 16
 
@@ -48,7 +50,8 @@ def load_encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 def tokenised(docs: DataFrame, path: str, pattern: str, window: int = WINDOW) -> DataFrame:
-    """doc_id, doc_tokens, crcs (of the whole sequences), tail (the ids left over, as bytes)."""
+    """doc_id, doc_tokens, crcs (of the whole sequences), tail (the ids left over, as bytes) and
+    near, the smallest hash of the tail's rarer ids: similar tails tend to share it."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(path, pattern)
         for batch in slices(batches):
@@ -56,12 +59,15 @@ def tokenised(docs: DataFrame, path: str, pattern: str, window: int = WINDOW) ->
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array([*(encoding.encode_ordinary(text) if text else ()), END], "<u4")
                 whole = len(ids) // window * window
-                rows.append((doc_id, len(ids), [zlib.crc32(ids[k:k + window].tobytes()) for k in range(0, whole, window)], ids[whole:].tobytes()))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "doc_tokens", "crcs", "tail"])
+                tail = ids[whole:]
+                rare = tail[tail >= COMMON]
+                near = int(mix(rare if len(rare) else tail, 3).min() >> np.uint64(1)) if len(tail) else 0
+                rows.append((doc_id, len(ids), [zlib.crc32(ids[k:k + window].tobytes()) for k in range(0, whole, window)], tail.tobytes(), near))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "doc_tokens", "crcs", "tail", "near"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id bigint, doc_tokens bigint, crcs array<bigint>, tail binary")
+        work, "doc_id bigint, doc_tokens bigint, crcs array<bigint>, tail binary, near bigint")
 
 
 def _ids(tail: bytes) -> np.ndarray:
@@ -203,24 +209,12 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, window: int = WINDO
         "doc_id", (F.col("k") * window).cast("long").alias("start"), F.lit(window).cast("long").alias("length"), "ids_crc32", "doc_tokens",
         (F.col("at") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
-    units = rows.where(F.length("tail") > 0).select("doc_id", "doc_tokens", "tail")
+    units = rows.where(F.length("tail") > 0).select("doc_id", "doc_tokens", "tail", "near")
     frequency, count, mean = _frequencies(units)
     idf = np.log(1 + (count - frequency + 0.5) / (frequency + 0.5))
     shared = spark.sparkContext.broadcast((idf.astype(np.float32), mean))
     shards = max(1, -(-count // SHARD_UNITS))
 
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value[0]
-        rare = float(np.log(1 + 9.5))  # in less than about a tenth of the units
-        for batch in batches:
-            keys = []
-            for tail in batch.column(2).to_pylist():
-                terms = np.unique(_ids(tail))
-                some = terms[weights[terms] > rare]
-                hashes = mix(some if len(some) else terms, 3)
-                keys.append(int(hashes.min() >> np.uint64(1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["doc_id", "doc_tokens", "tail", "near"])
-
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -240,9 +234,8 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, window: int = WINDO
                 made += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    keyed = units.mapInArrow(key, "doc_id bigint, doc_tokens bigint, tail binary, near bigint")
     # a key that many units share is split by the second column
-    dealt = keyed.repartitionByRange(shards, "near", F.xxhash64("tail", "doc_id")).sortWithinPartitions("near", F.xxhash64("tail", "doc_id"))
+    dealt = units.repartitionByRange(shards, "near", F.xxhash64("tail", "doc_id")).sortWithinPartitions("near", F.xxhash64("tail", "doc_id"))
     packed = dealt.select("doc_id", "doc_tokens", "tail").mapInArrow(
         fill, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
     return whole.union(packed)
