@@ -32,7 +32,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again: cuts the lineage,
     and survives the loss of executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -197,19 +198,28 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]  # rows of one id may be split
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash")]  # rows of one id may be split
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = _OUT + ", part int, first string, last string"
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches):
+            data = pa.array([compressor.compress(t.encode()) for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), data, batch.column(2)], names=["doc_id", "data", "hash"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        decompressor = zstandard.ZstdDecompressor()
+
         part = TaskContext.get().partitionId()
         kinds = [*_KINDS, pa.int32(), pa.string(), pa.string()]
         before: tuple | None = None  # id, text, fingerprint, text if it is the first
-        for batch in slices(batches):
+        for batch in slices(batches, most_bytes=2 << 20):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                text = decompressor.decompress(data).decode() if data else ""
                 own_ = fingerprint(text)
                 if before is not None:
                     rows.append((*_row(before[0], before[1], before[2], text, own_), part, before[3], None))
@@ -218,7 +228,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         if before is not None:
             yield _batch([(before[0], *[None] * 6, part, before[3], before[1])], schema, kinds)
 
-    made = stored(own.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(work, schema), "ordered")
+    # texts are shuffled compressed
+    packed = own.select("doc_id", "text", F.xxhash64("text").alias("hash")).mapInArrow(pack, "doc_id bigint, data binary, hash bigint")
+    made = stored(packed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(work, schema), "ordered")
 
     # a row per partition: the partition that follows among those with rows, the first after the last
     present = [r["part"] for r in made.where("last is not null").select("part").collect()]
