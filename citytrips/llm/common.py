@@ -72,6 +72,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most_bytes: int = 4
         starts = np.flatnonzero(np.diff(cut, prepend=-1))
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:

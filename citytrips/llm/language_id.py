@@ -39,7 +39,7 @@ LEAST_SHARE = 0.005
 PENALTY = 2.0
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
-CACHE = 200_000
+CACHE = 100_000
 
 
 def ngram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -41,7 +41,7 @@ COORDINATES = BANDS * ROWS
 #: Pairs of a bucket of up to FEW documents are listed; a task compares two BLOCKs of a larger one.
 FEW, BLOCK = 16, 1024
 WORDS = re.compile(r"\w+")
-CACHE = 300_000
+CACHE = 100_000
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64 | 1 for k in range(WORDS_PER_SHINGLE)], dtype=HASH)
 
 

@@ -33,7 +33,7 @@ EPOCHS, RATE, SEED = 6, 0.3, 17
 WORDS = re.compile(r"\w+|[^\w\s]+")
 #: Buckets of the marks, after those of words and n-grams.
 REPEATED, SEEN, LINE, MARKS = 0, 1, 2, 3
-CACHE = 300_000
+CACHE = 100_000
 
 
 def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -41,7 +41,7 @@ TOKENS = re.compile(r"\w+")
 #: Beginnings of words are units of their own: they catch inflected forms that are rare as words.
 STEMS = (4, 5, 6)
 #: Weights of words are kept for this many words at most.
-CACHE = 300_000
+CACHE = 100_000
 EULER = 0.5772156649015329
 
 
