@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import base64
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ K1, B = 1.2, 0.75
 COMMON = 2_000
 #: Ids that the counts of a vocabulary have room for at first.
 SMALL = 1 << 16
+#: Characters up to which tiktoken splits a text: its stack holds fewer than a million white spaces.
+SPLIT = 1 << 18
 
 
 @lru_cache(maxsize=4)
@@ -49,6 +53,16 @@ def load_encoding(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Ids of a text of any length."""
+    if len(text) <= SPLIT:
+        return np.array(encoding.encode_ordinary(text), "<u4")
+    out = array("I")
+    for piece in regex.finditer(encoding._pat_str, text):
+        out.extend(encoding._encode_single_piece(piece.group()))
+    return np.array(out, "<u4")
+
+
 def tokenised(docs: DataFrame, path: str, pattern: str, window: int = WINDOW) -> DataFrame:
     """doc_id, doc_tokens, crcs (of the whole sequences), tail (the ids left over, as bytes) and
     near, the smallest hash of the tail's rarer ids: similar tails tend to share it."""
@@ -57,7 +71,7 @@ def tokenised(docs: DataFrame, path: str, pattern: str, window: int = WINDOW) ->
         for batch in slices(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.array([*(encoding.encode_ordinary(text) if text else ()), END], "<u4")
+                ids = np.append(encode(encoding, text or ""), np.array([END], "<u4"))
                 whole = len(ids) // window * window
                 tail = ids[whole:]
                 rare = tail[tail >= COMMON]

@@ -198,6 +198,21 @@ def test_packing_covers_every_id_once(documents):
     assert packing.pack_documents(documents((1, "a")).limit(0), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_packing_of_very_long_white_space(documents):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(5)
+    mixed = "".join(r.choices(["house", " river", "'s", "  ", "\n", "\t\n ", "é", " 漢字", "12", "!!", "\u00a0", "\u2028"], k=120_000))
+    texts = [" " * 1_000_000 + "a", "\n" * 1_000_000, mixed]
+    assert min(map(len, texts)) > packing.SPLIT
+    found = packing.pack_documents(documents(*enumerate(texts)), path, public_tokenizers.PATTERN).toPandas()
+    for doc_id, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        own = found[found["doc_id"] == doc_id].sort_values("start")
+        assert own["length"].sum() == len(ids) and (own["doc_tokens"] == len(ids)).all()
+        assert all(p.ids_crc32 == zlib.crc32(ids[int(p.start):int(p.start + p.length)].tobytes()) for p in own.itertuples())
+
+
 def test_packing_joins_what_resembles():
     r = np.random.default_rng(1)
     units = [r.choice(np.arange(50) + 100 * (k % 2), 300).astype(np.int64) for k in range(40)]
