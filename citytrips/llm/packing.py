@@ -41,6 +41,8 @@ K1, B = 1.2, 0.75
 COMMON = 2_000
 #: Ids that the counts of a vocabulary have room for at first.
 SMALL = 1 << 16
+#: Added tokens of byte_bpe_50k.json, which the file of ranks leaves out.
+ADDED = {"<|endoftext|>": 50_256}
 #: Characters up to which tiktoken splits a text: its stack holds fewer than a million white spaces.
 SPLIT = 1 << 18
 
@@ -50,16 +52,21 @@ def load_encoding(path: str, pattern: str) -> tiktoken.Encoding:
     """A byte-level vocabulary given as ranks; the file is small and read by each worker once."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=ADDED)
 
 
 def encode(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
-    """Ids of a text of any length."""
+    """Ids of a text of any length; added tokens in it are one id each."""
     if len(text) <= SPLIT:
-        return np.array(encoding.encode_ordinary(text), "<u4")
-    out = array("I")
-    for piece in regex.finditer(encoding._pat_str, text):
-        out.extend(encoding._encode_single_piece(piece.group()))
+        return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4")
+    out, start = array("I"), 0
+    for token in [*regex.finditer("|".join(map(regex.escape, ADDED)), text), None]:
+        # a piece never reaches over an added token, nor looks behind one
+        for piece in regex.finditer(encoding._pat_str, text[start:token.start() if token else None]):
+            out.extend(encoding._encode_single_piece(piece.group()))
+        if token:
+            out.append(ADDED[token.group()])
+            start = token.end()
     return np.array(out, "<u4")
 
 

@@ -213,6 +213,21 @@ def test_packing_of_very_long_white_space(documents):
         assert all(p.ids_crc32 == zlib.crc32(ids[int(p.start):int(p.start + p.length)].tobytes()) for p in own.itertuples())
 
 
+def test_packing_knows_the_added_token(documents):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {t.content: k for k, t in library.get_added_tokens_decoder().items()} == packing.ADDED
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"  {end}  {end}\n", f"<|{end}|>", "<|endoftext", "<|ENDOFTEXT|>", f"é{end}漢 's{end}'s", f"{end} \n x", *(f"{end} a  {end}\n\n" * n for n in (200, 20_000))]
+    assert len(texts[-1]) > packing.SPLIT
+    found = packing.pack_documents(documents(*enumerate(texts)), path, public_tokenizers.PATTERN).toPandas()
+    for doc_id, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        own = found[found["doc_id"] == doc_id].sort_values("start")
+        assert own["length"].sum() == len(ids) and (own["doc_tokens"] == len(ids)).all()
+        assert all(p.ids_crc32 == zlib.crc32(ids[int(p.start):int(p.start + p.length)].tobytes()) for p in own.itertuples())
+
+
 def test_packing_joins_what_resembles():
     r = np.random.default_rng(1)
     units = [r.choice(np.arange(50) + 100 * (k % 2), 300).astype(np.int64) for k in range(40)]
