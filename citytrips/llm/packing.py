@@ -32,10 +32,10 @@ WINDOW = 1024
 END = 0
 #: Units that one index holds.
 SHARD_UNITS = 2048
-#: Terms of a seed that are looked up, those of most weight.
-QUERY_TERMS = 24
-#: Neighbours tried for a window before one is cut.
+#: Neighbours tried for a window before the best one left of them is cut; if none is left, the next ones follow.
 TRIED = 64
+#: Terms of more units than this are scored by rows of a matrix.
+OFTEN = 128
 K1, B = 1.2, 0.75
 #: Ids below this one are ranks of frequent tokens, which say little about a text.
 COMMON = 2_000
@@ -124,25 +124,30 @@ class Index:
         terms, tf = np.concatenate([t for t, _ in counted]).astype(np.int64), np.concatenate([c for _, c in counted])
         unit = np.repeat(np.arange(len(units)), many)
         length = np.array([len(u) for u in units])[unit]
-        weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
-        self.queries = []
-        for end, n in zip(np.cumsum(many).tolist(), many.tolist(), strict=True):
-            own = slice(end - n, end)
-            best = np.argsort(-weight[own], kind="stable")[:QUERY_TERMS]
-            self.queries.append(terms[own][best])
+        weight = (idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))).astype(np.float32)
         order = np.argsort(terms, kind="stable")
-        self.terms, self.first = np.unique(terms[order], return_index=True)
-        self.last = np.append(self.first[1:], len(terms))
+        term = np.unique(terms, return_inverse=True)[1]
+        uses = np.bincount(term)
         self.units, self.weights = unit[order], weight[order]
+        self.first = np.cumsum(uses) - uses
+        often = uses > OFTEN
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.rows = np.zeros((int(often.sum()), len(units)), np.float32)
+        in_rows = often[term]
+        self.rows[self.row[term[in_rows]], unit[in_rows]] = weight[in_rows]
+        self.uses = uses
+        self.queries = np.split(term, np.cumsum(many)[:-1])
         self.size = len(units)
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every unit for the heaviest terms of a seed."""
-        out = np.zeros(self.size)
-        for k in np.searchsorted(self.terms, self.queries[seed]).tolist():
-            own = slice(self.first[k], self.last[k])
-            out[self.units[own]] += self.weights[own]
-        return out
+        """BM25 of every unit for all terms of a seed."""
+        terms = self.queries[seed]
+        row = self.row[terms]
+        out = self.rows[row[row >= 0]].sum(0)
+        terms = terms[row < 0]
+        uses = self.uses[terms]
+        at = np.arange(uses.sum()) + np.repeat(self.first[terms] - (np.cumsum(uses) - uses), uses)
+        return out + np.bincount(self.units[at], self.weights[at], self.size)
 
 
 def pack(lengths: np.ndarray, index: Index, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
@@ -166,39 +171,37 @@ def pack(lengths: np.ndarray, index: Index, window: int = WINDOW) -> list[list[t
         pieces = [(seed, start, int(lengths[seed]) - start)]
         room = window - pieces[0][2]
         if room:
-            score = np.where(used, -1.0, index.scores(seed))
-            tried = np.argsort(-score, kind="stable")[:TRIED] if len(score) <= TRIED else _best(score)
-            tried = [int(u) for u in tried if score[u] >= 0]
-            for u in tried:
-                if lengths[u] <= room:
-                    pieces.append((u, 0, int(lengths[u])))
+            for tried in _ranked(np.where(used, -1.0, index.scores(seed))):
+                for u in tried:
+                    if lengths[u] <= room:
+                        pieces.append((u, 0, int(lengths[u])))
+                        used[u] = True
+                        room -= int(lengths[u])
+                        if not room:
+                            break
+                u = next((u for u in tried if not used[u]), None)
+                if room and u is not None:
                     used[u] = True
-                    room -= int(lengths[u])
-                    if not room:
-                        break
-            open_ = iter([u for u in tried if not used[u]])
-            while room:
-                u = next(open_, None)
-                if u is None:  # the neighbours are used up: any unit goes on
-                    left = np.flatnonzero(~used)
-                    if not len(left):
-                        break
-                    u = int(left[0])
-                used[u] = True
-                take = min(room, int(lengths[u]))
-                pieces.append((u, 0, take))
-                room -= take
-                if take < lengths[u]:
-                    rest = (u, take)
+                    pieces.append((u, 0, room))
+                    rest = (u, room)
+                    room = 0
+                if not room:
+                    break
         sequences.append(pieces)
         if room:
             sequences[-1:] = _powers(pieces)
     return sequences
 
 
-def _best(score: np.ndarray) -> np.ndarray:
-    top = np.sort(np.argpartition(-score, TRIED)[:TRIED])
-    return top[np.argsort(-score[top], kind="stable")]
+def _ranked(score: np.ndarray) -> Iterator[list[int]]:
+    """The units with a score of 0 or more, the best first, TRIED at a time."""
+    left = int((score >= 0).sum())
+    if left > TRIED:  # most often the first ones do
+        top = np.flatnonzero(score >= np.partition(score, -TRIED)[-TRIED])
+        yield top[np.argsort(-score[top], kind="stable")][:TRIED].tolist()
+    order = np.argsort(-score, kind="stable")[:left]
+    for k in range(TRIED if left > TRIED else 0, left, TRIED):
+        yield order[k:k + TRIED].tolist()
 
 
 def _powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:

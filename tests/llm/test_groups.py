@@ -236,6 +236,33 @@ def test_packing_joins_what_resembles():
     assert mixed <= 2
 
 
+def test_packing_scores_all_terms(monkeypatch):
+    r = np.random.default_rng(2)
+    units = [r.zipf(1.3, 150) % 400 for _ in range(60)] + [np.array([7]), np.array([7])]
+    idf = r.random(400)
+    for often in (2, 1000):
+        monkeypatch.setattr(packing, "OFTEN", often, raising=False)
+        index = packing.Index(units, idf, 100.0)
+        for seed in (0, 31, 60):
+            want = [sum(idf[t] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(u) / 100)) for t, c in Counter(u.tolist()).items() if t in units[seed]) for u in units]
+            assert np.allclose(index.scores(seed), want, rtol=1e-4)
+
+
+def test_packing_goes_on_by_rank_past_the_first_neighbours():
+    r = np.random.default_rng(1)
+    units = [r.choice(np.arange(6) + 100 * (k % 2), 4, replace=False) for k in range(256)]  # those of a kind share two terms at least
+    sequences = packing.pack(np.full(256, 4), packing.Index(units, np.ones(200), 4.0), 512)
+    assert sorted(u for seq in sequences for u, _, _ in seq) == list(range(256))
+    assert all(len({u % 2 for u, _, _ in seq}) == 1 for seq in sequences)
+
+
+def test_packing_takes_equal_scores_in_order():
+    score = np.array([1.0, 2.0] * 200)
+    score[[3, 4]] = -1
+    ranked = [u for block in packing._ranked(score) for u in block]
+    assert ranked == sorted(set(range(400)) - {3, 4}, key=lambda u: (-score[u], u))
+
+
 def test_embeddings_match_brute_force(vectors):
     r = np.random.default_rng(7)
     rows, k = [], 0
