@@ -8,9 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from citytrips.session import shared_folder
 from citytrips.sources.tables import remove
@@ -118,3 +118,51 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     final = stored(final, "roots")
     names = final.groupBy("root").agg(F.min("node").alias("component"))
     return final.join(names, "root").select("node", "component")
+
+
+def running_sums(df: DataFrame, key: str, order: list[str], values: list[str], name: str) -> DataFrame:
+    """The rows with ``<value>_before`` for each value (longs, not null): its sum over the rows of the
+    same key (a long, not null) that come earlier in the order.
+
+    Rows are sorted in ranges, so a key of any size spreads over tasks. Each task adds up its own
+    rows; a key that continues from one range to the next, at most one for each pair of
+    neighbours, gets the sums of the earlier ranges added, which are as few as the ranges.
+    """
+    names = [f"{v}_before" for v in values]
+    schema = StructType([*df.schema.fields])
+    for column in names:
+        schema = schema.add(column, LongType())
+    schema = schema.add("_part", IntegerType())
+    at, own = df.columns.index(key), [df.columns.index(v) for v in values]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, last, carried = TaskContext.get().partitionId(), None, [0] * len(own)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = np.asarray(batch.column(at))
+            starts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+            run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+            first = run == 0 if keys[0] == last else np.zeros(n, bool)
+            sums = []
+            for j, k in enumerate(own):
+                x = np.asarray(batch.column(k)).astype(np.int64)
+                before = np.cumsum(x) - x
+                before = before - before[starts][run] + first * carried[j]
+                carried[j] = int(before[-1] + x[-1])
+                sums.append(pa.array(before))
+            last = keys[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *sums, pa.array(np.full(n, part, np.int32))], names=[*batch.schema.names, *names, "_part"])
+
+    ranged = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    local = stored(ranged.mapInArrow(work, schema), name)
+    ends = local.groupBy("_part").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    across = ends.select("_part", F.explode(F.array_distinct(F.array("low", "high"))).alias(key)).groupBy(key).count().where("count > 1").select(key)
+    parts = local.join(F.broadcast(across), key).groupBy(key, "_part").agg(*[F.sum(v).alias(v) for v in values])
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(key, "_part", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_{v}") for v in values])
+    joined = local.join(F.broadcast(offsets), [key, "_part"], "left")
+    return joined.select(*df.columns, *[(F.col(n) + F.coalesce(f"_{v}", F.lit(0))).alias(n) for n, v in zip(names, values, strict=True)])
