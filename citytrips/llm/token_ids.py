@@ -1,7 +1,7 @@
 """Raw token ids in shards, with a minimal perfect hash index over the document keys.
 
-A shard holds the ids of documents in ascending key order as little-endian unsigned 32-bit
-integers, followed by the bounds of its documents. The index is dealt into buckets by a hash of
+A shard holds the ids of documents in ascending key order as little-endian unsigned integers, of
+16 bits if all its ids fit and else of 32, followed by the bounds of its documents. The index is dealt into buckets by a hash of
 the key. A bucket's minimal perfect hash gives every key of the bucket a slot of its own: a level
 of bits keeps the keys that hash to a place alone and passes the others on to the next level, and
 the number of bits before a key's bit is its slot. A slot holds a fingerprint of the key, which
@@ -157,7 +157,7 @@ class Shard:
     def __init__(self, file: pa.NativeFile):
         self.file = file
         size = file.size()
-        self.count, self.ids, magic = struct.unpack("<QQ8s", file.read_at(24, size - 24))
+        self.count, self.width, magic = struct.unpack("<QQ8s", file.read_at(24, size - 24))
         if magic != MAGIC:
             raise ValueError("not a shard of token ids")
         self.bounds = np.frombuffer(file.read_at(8 * (self.count + 1), size - 24 - 8 * (self.count + 1)), "<i8")
@@ -168,7 +168,7 @@ class Shard:
         while at < last:
             stop = max(at + 1, min(last, int(np.searchsorted(self.bounds, self.bounds[at] + READ_IDS, "right")) - 1))
             a, b = int(self.bounds[at]), int(self.bounds[stop])
-            block = np.frombuffer(self.file.read_at(4 * (b - a), 8 + 4 * a), "<u4")
+            block = np.frombuffer(self.file.read_at(self.width * (b - a), 8 + self.width * a), f"<u{self.width}").astype("<u4")
             for k in range(at, stop):
                 yield int(self.bounds[k]), block[self.bounds[k] - a:self.bounds[k + 1] - a]
             at = stop
@@ -187,30 +187,34 @@ def write_shards(docs: DataFrame, folder: str, ids_of: Callable[[str], np.ndarra
         fs, base = open_file_system(folder)
         fs.create_dir(base, recursive=True)
         part, seq = TaskContext.get().partitionId(), 0
-        out, name, bounds = None, "", [0]
+        bounds, width = [0], 2
+        held: list[np.ndarray] = []
         entries: list[list] = []
 
         def finish() -> pa.RecordBatch:
-            nonlocal out, bounds, entries, seq
-            out.write(np.array(bounds, "<i8").tobytes() + struct.pack("<QQ8s", len(bounds) - 1, bounds[-1], MAGIC))
-            out.close()
+            nonlocal bounds, width, entries, seq
+            name = f"{uuid.uuid4().hex}.ids"
+            with fs.open_output_stream(f"{base}/{name}", compression=None) as out:
+                out.write(MAGIC)
+                for ids in held:
+                    out.write(ids.astype(f"<u{width}").tobytes())
+                out.write(np.array(bounds, "<i8").tobytes() + struct.pack("<QQ8s", len(bounds) - 1, width, MAGIC))
             kinds = [pa.int64()] * 4
             n = len(entries)
             columns = [pa.array(c, k) for c, k in zip(zip(*entries, strict=True), kinds, strict=True)]
             batch = pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array([name] * n), *columns],
                                                names=["part", "seq", "shard", "key", "document", "documents", "ids"])
-            out, bounds, entries = None, [0], []
+            held.clear()
+            bounds, width, entries = [0], 2, []
             seq += 1
             return batch
 
         for batch in slices(batches):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(ids_of(text), np.array([end], "<u4")).astype("<u4")
-                if out is None:
-                    name = f"{uuid.uuid4().hex}.ids"
-                    out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                    out.write(MAGIC)
-                out.write(ids.tobytes())
+                if ids.max() >= 1 << 16:
+                    width = 4
+                held.append(ids.astype(f"<u{width}"))
                 if entries and entries[-1][0] == key:
                     entries[-1][2] += 1
                     entries[-1][3] += len(ids)
@@ -219,7 +223,7 @@ def write_shards(docs: DataFrame, folder: str, ids_of: Callable[[str], np.ndarra
                 bounds.append(bounds[-1] + len(ids))
                 if bounds[-1] >= SHARD_IDS:
                     yield finish()
-        if out is not None:
+        if held:
             yield finish()
 
     own = docs.select(F.col("doc_id").cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"))

@@ -208,6 +208,13 @@ def test_archives_of_ids_round_trip(documents, monkeypatch, shard, read, keys):
     assert sorted((repr(k), n, c) for k, n, c in zip(order, found["n_tokens"], found["ids_crc32"], strict=True)) == want
 
 
+def test_shards_of_large_ids(documents):
+    rows = [(k, "x" * k) for k in range(30)]
+    found = token_ids.round_trip(documents(*rows), lambda text: np.arange(len(text)) + (70_000 if len(text) == 20 else 0)).collect()
+    want = {k: np.array([*(np.arange(k) + (70_000 if k == 20 else 0)), 2], "<u4") for k, _ in rows}
+    assert {x["doc_id"]: (x["n_tokens"], x["ids_crc32"]) for x in found} == {k: (len(v), zlib.crc32(v.tobytes())) for k, v in want.items()}
+
+
 def test_keyed_access(spark, documents):
     folder = shared_path(spark, "ids-test")
     texts = {k: f"text number {k}" for k in range(50)}
