@@ -296,9 +296,10 @@ def lookup(keys: DataFrame, index: DataFrame, folder: str) -> DataFrame:
         work, "key bigint, shard string, document bigint, documents bigint")
 
 
-def read_documents(places: DataFrame, folder: str) -> DataFrame:
+def read_documents(places: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
     """key, shard, at (ids before it in its shard), ids (little-endian unsigned 32-bit) of the
-    documents at places found by ``lookup``. Every shard is opened by one task."""
+    documents at places found by ``lookup``. Every shard is opened by one of ``tasks`` tasks, which
+    are not merged by the size of the places: the ids are what they read."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_file_system(folder)
         name, shard = None, None
@@ -320,7 +321,8 @@ def read_documents(places: DataFrame, folder: str) -> DataFrame:
         if shard is not None:
             shard.file.close()
 
-    return places.repartition("shard").sortWithinPartitions("shard", "document").select("shard", "key", "document", "documents").mapInArrow(
+    tasks = tasks or int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return places.repartition(tasks, "shard").sortWithinPartitions("shard", "document").select("shard", "key", "document", "documents").mapInArrow(
         work, "key bigint, shard string, at bigint, ids binary")
 
 
@@ -353,7 +355,9 @@ def round_trip(docs: DataFrame, ids_of: Callable[[str], np.ndarray], end: int =
     spark: SparkSession = docs.sparkSession
     folder = shared_path(spark, "token-ids")
     entries, index = archive(docs, folder, ids_of, end)
-    found = read_documents(lookup(docs.select(F.col("doc_id").alias("key")), index, folder), folder)
+    ids = entries.agg(F.sum("ids")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ids // (2 * SHARD_IDS))
+    found = read_documents(lookup(docs.select(F.col("doc_id").alias("key")), index, folder), folder, tasks)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

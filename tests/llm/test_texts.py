@@ -197,6 +197,40 @@ def test_bpe_agrees_with_the_library(spark, documents, vocabulary):
     assert bpe.digests(docs.limit(0), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_of_any_ranks_merges_one_pair_after_the_other():
+    def plain(ranks, data):
+        parts = [data[k:k + 1] for k in range(len(data))]
+        while True:
+            best = min(((ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks), default=None)
+            if best is None:
+                return [ranks[p] for p in parts]
+            k = best[1]
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+
+    r = random.Random(11)
+    for _ in range(60):
+        tokens = {bytes([k]) for k in range(256)} | {bytes(r.choices(b"abc", k=r.randint(2, 6))) for _ in range(40)}
+        order = sorted(tokens, key=lambda t: (len(t) > 1, r.random()))  # a token may rank before its parts
+        encoder = bpe.Encoder({t: k for k, t in enumerate(order)}, r"\S+")
+        pieces = ["".join(r.choices("abc", k=r.randint(1, 30))) for _ in range(40)] + ["a" * 60, "ab" * 31]
+        ids, stops = encoder.merge_all([p.encode() for p in pieces])
+        for piece, own in zip(pieces, np.split(ids, stops[:-1]), strict=True):
+            want = plain(encoder.ranks, piece.encode())
+            assert own.tolist() == want == (encoder.merge(piece.encode()) if piece.encode() not in encoder.ranks else want)
+
+
+def test_bpe_keeps_two_generations_of_pre_tokens(vocabulary, monkeypatch):
+    path, encoding = vocabulary
+    monkeypatch.setattr(bpe, "CACHE", 50)
+    r = random.Random(3)
+    with open(path, "rb") as lines:
+        encoder = bpe.Encoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}, public_tokenizers.PATTERN)
+    for _ in range(40):
+        texts = [" ".join(f"word{r.randint(0, 90)}x{r.randint(0, 3)}" for _ in range(30)), None, ""]
+        assert encoder.encode_all(texts) == [np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes() for t in texts]
+        assert len(encoder.known) <= 50 + 61
+
+
 def test_rank_queue_orders_by_rank_and_position():
     r = random.Random(2)
     queue, want = bpe.RankQueue(300_000), []
