@@ -14,6 +14,8 @@ from citytrips.llm.common import remainder, table
 
 TOXIC = 0.7
 GOOD = 0.5
+#: Bytes of a passage of a little over 50 words, in languages whose words and spaces have six bytes on average.
+PASSAGE = 300
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +41,8 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes or more that occur again, removed from every document."""
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    """Passages of 400 bytes or more that occur again, removed from every document; shorter ones are counted."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), passage=PASSAGE).drop("kept")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,28 +1,31 @@
 """Removal of passages that occur more than once, byte-exact, over all documents.
 
-A byte goes if a string of LENGTH bytes that covers it also starts anywhere else. To bring the
+A byte goes if a string of ``length`` bytes that covers it also starts anywhere else. To bring the
 starts of equal strings together without comparing all, every document is winnowed: of each
-LENGTH bytes the gram with the smallest hash is an anchor, so equal strings hold the same anchor
-at the same place. What can decide about a string with a given anchor is its context, LENGTH bytes
-to either side of the anchor's far end.
+``length`` bytes the gram with the smallest hash is an anchor, so equal strings hold the same anchor
+at the same place. What can decide about a string with a given anchor is its context, ``length`` bytes
+to either side of the anchor's far end. Strings of a shorter length can be judged at the same time:
+its anchors, one for each string's first bytes, serve both.
 
-1. Anchors whose gram occurs once are dropped.
+1. Neighbouring anchors of equal contexts, as in runs of a character, are one. Anchors whose gram occurs once are dropped.
 2. Equal contexts are one class; a class of several members is repeated as a whole.
 3. Different contexts of one gram form shards. A context is cut into regions, each the union of
    STEP + 1 strings that follow each other; all of them hold the region's core. Equal regions are
-   repeated. Unequal regions with equal cores differ in a few bytes at their ends only: with the
-   core as one symbol they are short strings, whose suffix array is built by induced sorting. Runs
+   repeated. Unequal regions with equal cores differ in a few bytes at their ends only: with a
+   number for the core they are short strings, whose suffix array is built by induced sorting. Runs
    of common prefixes of full length show which strings are repeated.
-4. Grams with more contexts than a task should hold list the hashes of their strings instead.
+4. Grams with more contexts than a task should hold are dealt out by the cores of their regions:
+   regions whose core is unique are dropped, the others are solved in the same way. A core with very many
+   different regions is dealt out once more, by the bytes beside the core in each of its strings.
 
-Cases: null text is empty; texts shorter than LENGTH bytes lose nothing. Null ids are ids. Repeated rows are
+Cases: null text is empty; texts shorter than ``length`` bytes lose nothing. Null ids are ids. Repeated rows are
 documents of their own: they repeat each other. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +38,12 @@ from citytrips.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 400
 GRAM = 32
-#: Bytes to the left and right of an anchor's start that a string holding the anchor can reach.
-LEFT, RIGHT = LENGTH - GRAM, LENGTH
 #: Strings of a region, less one.
 STEP = 45
-#: Grams with more contexts than this are decided by hashes of their strings.
-MOST_CONTEXTS = 4096
+#: Grams with more contexts than this, and cores with more regions, are dealt out further.
+MOST_CONTEXTS = 16384
 #: Contexts that are solved together, about, and rows of one suffix array, about.
-SHARD_BYTES, ARRAY_ROWS = 2 << 20, 4096
+SHARD_BYTES, ARRAY_ROWS = 4 << 20, 8192
 #: Documents are winnowed in blocks of this many bytes.
 BLOCK = 1 << 23
 _TABLE = mix(np.arange(256, dtype=HASH), 5)
@@ -114,55 +115,74 @@ def repeated_starts(rows: list[np.ndarray], documents: np.ndarray, places: np.nd
     return out
 
 
-def solve(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int]]:
-    """Spans (key, start, stop) of strings repeated among contexts (key, anchor position, bytes to
-    the left of it, bytes), each place given once."""
-    regions: dict[tuple, list[int]] = {}
-    cores: dict[tuple[int, bytes], list[tuple]] = {}
+def regions(left: int, data: bytes, length: int, reach: int) -> Iterator[tuple[int, int, int, bytes, bytes, bytes]]:
+    """(low, width, most, ahead, core, behind) of a context with ``left`` bytes before its anchor: each region
+    is the union of strings that start up to ``most`` bytes before the anchor. All ``width`` strings that
+    start from ``low`` bytes before it on hold the core, which lies between the bytes ahead and behind."""
+    right = len(data) - left
+    for low in range(0, reach + 1, STEP + 1):
+        high = min(low + STEP, reach)
+        least, most = max(low, length - right), min(high, left)
+        if least <= most:
+            yield low, high - low + 1, most, data[left - most:left - low], data[left - low:left - high + length], data[left - high + length:left - least + length]
+
+
+def solve_cores(groups: Iterable[Iterable[tuple[int, int, int, bytes, bytes]]], width: int, length: int) -> Iterator[tuple[int, int, int]]:
+    """Spans (row, start, stop) of the strings repeated among regions with equal cores: groups of (row,
+    key, place, bytes ahead of the core, bytes behind it) with different bytes. Of a string of
+    ``length`` bytes all but ``width - 1`` are the core, which two symbols beyond all bytes stand for."""
+    numbers: list[int] = []
+    keys: list[int] = []
+    places: list[int] = []
+    rows: list[np.ndarray] = []
+    core = 0
+
+    def closed() -> Iterator[tuple[int, int, int]]:
+        if rows:
+            found = repeated_starts(rows, np.array(keys), np.array(places), width + 1, 514)
+            for number, place, starts in zip(numbers, places, found, strict=True):
+                if len(starts):
+                    yield from ((number, place + int(x), place + int(y)) for x, y in zip(*_runs(starts, length), strict=True))
+
+    for group in groups:
+        for number, key, place, ahead, behind in group:
+            row = np.empty(len(ahead) + len(behind) + 2, np.int32)
+            row[:len(ahead)] = np.frombuffer(ahead, np.uint8)
+            row[len(ahead):len(ahead) + 2] = 256 + (core >> 8), 256 + (core & 255)
+            row[len(ahead) + 2:] = np.frombuffer(behind, np.uint8)
+            rows.append(row + 2)
+            numbers.append(number)
+            keys.append(key)
+            places.append(place)
+        core += 1
+        if len(rows) >= ARRAY_ROWS:  # strings of different cores never match
+            yield from closed()
+            numbers, keys, places, rows, core = [], [], [], [], 0
+    yield from closed()
+
+
+def solve(contexts: list[tuple[int, int, int, bytes]], length: int = LENGTH, reach: int = LENGTH - GRAM) -> list[tuple[int, int, int]]:
+    """Spans (number of the context, start, stop) of strings repeated among contexts (key, anchor
+    position, bytes to the left of it, bytes), each place given once. ``reach``: how far before its
+    anchor a string starts at most."""
+    found: dict[tuple, list[int]] = {}
+    cores: dict[int, dict[tuple, list[tuple]]] = {}
     for at, (_, _, left, data) in enumerate(contexts):
-        right = len(data) - left
-        for low in range(0, LEFT + 1, STEP + 1):  # strings that start low to high bytes before the anchor
-            high = min(low + STEP, LEFT)
-            least, most = max(low, LENGTH - right), min(high, left)
-            if least > most:
-                continue
-            region = (low, most, data[left - most:left - least + LENGTH])
-            if region in regions:
-                regions[region].append(at)
+        for low, width, most, ahead, core, behind in regions(left, data, length, reach):
+            region = (low, most, ahead, core, behind)
+            if region in found:
+                found[region].append(at)
             else:
-                regions[region] = [at]
-                cores.setdefault((low, data[left - low:left - high + LENGTH]), []).append(region)
+                found[region] = [at]
+                cores.setdefault(width, {}).setdefault((low, core), []).append(region)
     spans = []
-    for (_, most, data), members in regions.items():
+    for (_, most, ahead, core, behind), members in found.items():
         if len(members) > 1:
-            spans += [(contexts[m][0], contexts[m][1] - most, contexts[m][1] - most + len(data)) for m in members]
-    rows, documents, places, symbol = [], [], [], 258
-
-    def close() -> None:
-        nonlocal rows, documents, places, symbol
-        if rows:
-            # a string is its core, one symbol, and STEP bytes at the ends
-            found = repeated_starts(rows, np.array(documents), np.array(places), STEP + 1, symbol)
-            for key, place, starts in zip(documents, places, found, strict=True):
-                if len(starts):
-                    spans.extend((key, place + int(x), place + int(y)) for x, y in zip(*_runs(starts, LENGTH), strict=True))
-        rows, documents, places, symbol = [], [], [], 258
-
-    for (low, core), own in cores.items():
-        if len(own) < 2:
-            continue
-        for region in own:
-            _, most, data = region
-            key, pos, _, _ = contexts[regions[region][0]]
-            ahead = most - low  # bytes before the core
-            ends = np.frombuffer(data[:ahead] + data[ahead + len(core):], np.uint8).astype(np.int32) + 2
-            rows.append(np.concatenate([ends[:ahead], [symbol], ends[ahead:]]))
-            documents.append(key)
-            places.append(pos - most)
-        symbol += 1
-        if len(rows) >= ARRAY_ROWS:  # strings of different cores never match
-            close()
-    close()
+            size = len(ahead) + len(core) + len(behind)
+            spans += [(m, contexts[m][1] - most, contexts[m][1] - most + size) for m in members]
+    for width, own in cores.items():
+        groups = ([(found[r][0], contexts[found[r][0]][0], contexts[found[r][0]][1] - r[1], r[2], r[4]) for r in group] for group in own.values() if len(group) > 1)
+        spans += solve_cores(groups, width, length)
     return spans
 
 
@@ -178,33 +198,38 @@ def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return own.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text", *carry)
 
 
-_ANCHORS = "key bigint, pos int, gram bigint, c1 bigint, c2 bigint, l smallint, r smallint"
+_ANCHORS = "key bigint, pos int, gram bigint, c1 bigint, c2 bigint, l smallint, r smallint, more int"
+_SPANS = "key bigint, length int, start bigint, stop bigint"
 
 
-def _anchors(keyed: DataFrame) -> DataFrame:
+def _anchors(keyed: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
     """One row per anchor: key of its document, position, hashes of gram and context, bytes of
-    context to the left and right."""
+    context to the left and right, and how far the last one of neighbours with equal contexts lies behind the first."""
+    short, right_most = lengths[0], lengths[-1]
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.int32()]
         for batch in slices(batches):
-            columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(7)]
+            columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in kinds]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = text.encode()
-                if len(data) < LENGTH:
+                if len(data) < short:
                     continue
-                at, hashes = anchors(data)
-                left, right = np.minimum(at, LEFT), np.minimum(len(data) - at, RIGHT)
+                at, hashes = anchors(data, short)
+                left, right = np.minimum(at, short - GRAM), np.minimum(len(data) - at, right_most)
                 whole = np.frombuffer(b"".join(
-                    [xxhash.xxh3_128_digest(data[p - a:p + b], seed=a) for p, a, b in zip(at.tolist(), left.tolist(), right.tolist(), strict=True)]), np.int64)
-                for column, values in zip(columns, (np.full(len(at), key), at, hashes.view(np.int64), whole[0::2], whole[1::2], left, right), strict=True):
+                    [xxhash.xxh3_128_digest(data[p - a:p + b], seed=a) for p, a, b in zip(at.tolist(), left.tolist(), right.tolist(), strict=True)]), np.int64).reshape(-1, 2)
+                first = np.flatnonzero(np.append(True, (whole[1:] != whole[:-1]).any(1)))
+                more = at[np.append(first[1:], len(at)) - 1] - at[first]
+                for column, values in zip(columns, (np.full(len(first), key), at[first], hashes[first].view(np.int64), whole[first, 0], whole[first, 1], left[first], right[first], more), strict=True):
                     column.append(values)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(k) for c, k in zip(columns, kinds, strict=True)], names=["key", "pos", "gram", "c1", "c2", "l", "r"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(k) for c, k in zip(columns, kinds, strict=True)], names=["key", "pos", "gram", "c1", "c2", "l", "r", "more"])
 
     return keyed.select("key", "text").mapInArrow(work, _ANCHORS)
 
 
 def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, pos, l, r, group) with the bytes of the context, cut from the documents."""
+    """(key, pos, l, group) with the bytes of the context, cut from the documents."""
     places = wanted.groupBy("key").agg(F.collect_list(F.struct("pos", "l", "r", "group")).alias("places"))  # bounded by the document
     joined = keyed.select("key", "text").join(places, "key")
 
@@ -221,15 +246,33 @@ def _contexts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.mapInArrow(work, "key bigint, pos int, l smallint, group bigint, context binary")
 
 
-def _sharded(contexts: DataFrame, shards: int) -> DataFrame:
-    """Spans (key, start, stop) found in shards; the contexts of a gram stay together."""
+def _span_batch(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    """The spans (key, length, start, stop), those that meet merged."""
+    spans: list[list[int]] = []
+    for key, length, start, stop in sorted(found):
+        if spans and spans[-1][:2] == [key, length] and start <= spans[-1][3]:
+            spans[-1][3] = max(spans[-1][3], stop)
+        else:
+            spans.append([key, length, start, stop])
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*spans, strict=True) if spans else [[]] * 4, kinds, strict=True)], names=["key", "length", "start", "stop"])
+
+
+def _sharded(contexts: DataFrame, shards: int, lengths: tuple[int, ...]) -> DataFrame:
+    """Spans found in shards; the contexts of a gram stay together."""
+    reach = lengths[0] - GRAM
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, bytes] = {}
         size, last = 0, None
 
         def solved() -> pa.RecordBatch:
-            spans = solve([(*place, data) for place, data in held.items()])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*spans, strict=True) if spans else ([], [], []))], names=["key", "start", "stop"])
+            own, spans = [(*place, data) for place, data in held.items()], []
+            for length in lengths:  # a string is repeated only if its first bytes are
+                found = solve(own, length, reach)
+                spans += [(own[k][0], length, start, stop) for k, start, stop in found]
+                own = [own[k] for k in sorted({k for k, _, _ in found})]
+            return _span_batch(spans)
 
         for batch in batches:
             for key, pos, left, group, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -243,79 +286,138 @@ def _sharded(contexts: DataFrame, shards: int) -> DataFrame:
             yield solved()
 
     dealt = contexts.repartition(shards, "group").sortWithinPartitions("group")
-    return dealt.mapInArrow(work, "key bigint, start bigint, stop bigint")
-
+    return dealt.mapInArrow(work, _SPANS)
 
-def _hashed(contexts: DataFrame) -> DataFrame:
-    """Spans of groups of any size: strings by hash, counted with a combine in the map tasks."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, pos, left, group, data in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                digest = [xxhash.xxh3_128_digest(data[k:k + LENGTH]) for k in range(len(data) - LENGTH + 1)]
-                n = len(digest)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array(range(pos - left, pos - left + n), pa.int64()), pa.array(digest, pa.binary())], names=["key", "start", "digest"])
 
-    strings = contexts.mapInArrow(work, "key bigint, start bigint, digest binary")
-    place = F.struct("key", "start")
-    again = strings.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("digest")
-    return strings.join(again, "digest", "left_semi").select("key", "start", (F.col("start") + LENGTH).alias("stop"))
+def _dealt(contexts: DataFrame, lengths: tuple[int, ...]) -> tuple[DataFrame, list[DataFrame]]:
+    """Spans of groups of any size, dealt out by the cores of their regions; and the tables to delete
+    once the spans are written."""
+    reach = lengths[0] - GRAM
+    names = ["length", "width", "core", "key", "place", "ahead", "behind"]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(length, width, xxhash.xxh3_128_digest(core, seed=low), key, pos - most, ahead, behind)
+                    for key, pos, left, data in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2, 4)), strict=True)
+                    for length in lengths for low, width, most, ahead, core, behind in regions(left, data, length, reach)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], names=names)
+
+    def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[tuple]] = {}
+        count, last = 0, None
+
+        def done() -> pa.RecordBatch:
+            spans = []
+            for length, width in {k[:2] for k in held}:
+                groups = (own for k, own in held.items() if k[:2] == (length, width))
+                spans += [(key, length, start, stop) for key, start, stop in solve_cores(groups, width, length)]
+            return _span_batch(spans)
 
-def repeated_spans(keyed: DataFrame) -> DataFrame:
-    """Spans (key, start, stop) of bytes covered by repeated strings; they may overlap."""
+        for batch in batches:
+            for length, width, core, key, place, ahead, behind in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if count >= ARRAY_ROWS and core != last:
+                    yield done()
+                    held, count = {}, 0
+                held.setdefault((length, width, core), []).append((key, key, place, ahead, behind))
+                count, last = count + 1, core
+        if held:
+            yield done()
+
+    core = ["length", "core"]
+    rows = stored(contexts.mapInArrow(cut, "length int, width int, core binary, key bigint, place bigint, ahead binary, behind binary"), "cores")
+    again = stored(rows.groupBy(*core).agg(F.count("*").alias("times")).where("times > 1").select(*core), "shared-cores")
+    kept = stored(rows.join(again, core, "left_semi"), "regions")
+    region = [*core, "ahead", "behind"]
+    same = kept.groupBy(*region).agg(F.count("*").alias("times"), F.min(F.struct("key", "place", "width")).alias("first"))
+    same = stored(same.select(*region, "times", "first.*"), "same-regions")
+    size = F.length("ahead") + F.length("behind") + F.col("length") - F.col("width") + 1
+    whole = kept.join(same.where("times > 1").select(*region), region, "left_semi").select("key", "length", F.col("place").alias("start"), (F.col("place") + size).alias("stop"))
+
+    members = same.groupBy(*core).agg(F.count("*").alias("members")).where("members > 1")
+    shared = stored(same.join(members, core).select(*names, "members"), "members")
+    few = shared.where(F.col("members") <= MOST_CONTEXTS).select(*names).repartition("core").sortWithinPartitions("core").mapInArrow(solved, _SPANS)
+    # of a core with very many regions: the strings of each, told apart by the bytes beside the core
+    a, b, last = F.length("ahead"), F.length("behind"), F.col("width") - 1
+    strings = shared.where(F.col("members") > MOST_CONTEXTS).withColumn("x", F.explode(F.sequence(F.greatest(F.lit(0), last - b), F.least(a, last))))
+    strings = strings.select(*core, "x", "key", (F.col("place") + a - F.col("x")).alias("start"),
+                             F.concat(F.substring("ahead", a - F.col("x") + 1, F.col("x")), F.substring("behind", F.lit(1), last - F.col("x"))).alias("beside"))
+    string = [*core, "x", "beside"]
+    twice = strings.groupBy(*string).agg(F.min(F.struct("key", "start")).alias("a"), F.max(F.struct("key", "start")).alias("b")).where("a <> b").select(*string)
+    many = strings.join(twice, string, "left_semi").select("key", "length", "start", (F.col("start") + F.col("length")).alias("stop"))
+    return whole.union(few).union(many), [rows, again, kept, same, shared]
+
+
+def repeated_spans(keyed: DataFrame, lengths: tuple[int, ...] = (LENGTH,)) -> DataFrame:
+    """Spans (key, length, start, stop) of bytes covered by repeated strings of each length (ascending); they may overlap."""
     spark = keyed.sparkSession
-    all_anchors = stored(_anchors(keyed), "anchors")
+    all_anchors = stored(_anchors(keyed, lengths), "anchors")
     # written, so that the join has two plain sides and a gram with very many anchors is split
-    again = stored(all_anchors.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram"), "grams")
+    times = F.sum(F.when(F.col("more") > 0, 2).otherwise(1))
+    again = stored(all_anchors.groupBy("gram").agg(times.alias("times")).where("times > 1").select("gram"), "grams")
     shared = stored(all_anchors.join(again, "gram", "left_semi"), "shared")
     discard(all_anchors, again)
 
-    classes = shared.groupBy("gram", "c1", "c2").agg(
-        F.count("*").alias("times"), F.min(F.struct("key", "pos", "l", "r")).alias("first"))
+    classes = shared.groupBy("gram", "c1", "c2").agg(times.alias("times"), F.min(F.struct("key", "pos", "l", "r")).alias("first"))
     classes = stored(classes.select("gram", "c1", "c2", "times", "first.*"), "classes")
     whole = classes.where("times > 1").select("gram", "c1", "c2")
-    copies = shared.join(whole, ["gram", "c1", "c2"], "left_semi").select(
-        "key", (F.col("pos") - F.col("l")).cast("long").alias("start"), (F.col("pos") + F.col("r")).cast("long").alias("stop"))
+    longest = F.lit(lengths[-1]) if len(lengths) == 1 else F.when(F.col("l") + F.col("r") >= lengths[-1], lengths[-1]).otherwise(lengths[0])  # it counts for the shorter one, too
+    copies = shared.join(whole, ["gram", "c1", "c2"], "left_semi").select("key", longest.alias("length"), "pos", "l", "r", "more").where("l + r >= length").select(
+        "key", "length", (F.col("pos") - F.col("l")).cast("long").alias("start"), (F.col("pos") + F.col("more") + F.col("r")).cast("long").alias("stop"))
 
     sizes = classes.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
     wanted = stored(classes.select("key", "pos", "l", "r", F.col("gram").alias("group")).join(sizes.withColumnRenamed("gram", "group"), "group"), "wanted")
     small = wanted.where(F.col("members") <= MOST_CONTEXTS)
     large = wanted.where(F.col("members") > MOST_CONTEXTS)
-    shards = max(1, small.count() * (LEFT + RIGHT) // (2 * SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spans = copies.union(_sharded(_contexts(keyed, small), shards))
+    shards = max(1, small.count() * (lengths[0] + lengths[-1]) // (2 * SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spans = copies.union(_sharded(_contexts(keyed, small), shards, lengths))
+    done = [shared, classes, wanted]
     if not large.isEmpty():
-        spans = spans.union(_hashed(_contexts(keyed, large)))
+        dealt, tables = _dealt(_contexts(keyed, large), lengths)
+        spans = spans.union(dealt)
+        done += tables
     found = stored(spans, "spans")
-    discard(shared, classes, wanted)
+    discard(*done)
     return found
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    runs: list[list[int]] = []
+    for start, stop in sorted(spans):
+        if runs and start <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], stop)
+        else:
+            runs.append([start, stop])
+    return runs
+
+
+def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), length: int = LENGTH, passage: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and ``kept``: the
-    remaining bytes as text, without code points of which a part is gone. Columns named in
-    ``carry`` are passed through."""
-    spans = repeated_spans(_keyed(docs)).groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))  # bounded by the document
+    remaining bytes as text, without code points of which a part is gone. With a ``passage``, a length
+    below ``length``, also n_passage_bytes and n_passages: what strings of that length would have removed.
+    Columns named in ``carry`` are passed through."""
+    lengths = (length,) if passage is None else (passage, length)
+    if lengths[0] < GRAM or list(lengths) != sorted(set(lengths)):
+        raise ValueError(f"lengths from {GRAM} bytes on, the passage shorter than the other")
+    spans = repeated_spans(_keyed(docs), lengths).groupBy("key").agg(F.collect_set(F.struct("length", "start", "stop")).alias("spans"))  # bounded by the document
+    fields = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string" + (", n_passage_bytes bigint, n_passages bigint" if passage else "")
+    names = [*(f.split()[0] for f in fields.split(", ")), *carry]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            columns: list[list] = [[], [], [], [], []]
+            rows: list[tuple] = []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = text.encode()
-                runs: list[list[int]] = []
-                for start, stop in sorted((s["start"], s["stop"]) for s in found or ()):
-                    if runs and start <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], stop)
-                    else:
-                        runs.append([start, stop])
+                runs = _merged([(s["start"], s["stop"]) for s in found or () if s["length"] == length])
                 edges = [0, *(x for run in runs for x in run), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if runs else data
                 row = (len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if runs else text)
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *batch.columns[3:]],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry])
+                if passage:
+                    also = _merged([(s["start"], s["stop"]) for s in found or ()])  # a longer string has shorter ones all along
+                    row += (sum(b - a for a, b in also), len(also))
+                rows.append(row)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=False)), *batch.columns[3:]], names=names)
 
     joined = _keyed(docs, carry).join(spans, "key", "left").select("doc_id", "text", "spans", *carry)
-    return joined.mapInArrow(work, with_carried("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string", docs, carry))
+    return joined.mapInArrow(work, with_carried(fields, docs, carry))

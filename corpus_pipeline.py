@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from citytrips.llm import language_id, minhash, packing, suffix_dedup, toxicity
 from citytrips.llm.common import stored, table
-from citytrips.llm.queries import TOXIC
+from citytrips.llm.queries import PASSAGE, TOXIC
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 CARRIED = COLUMNS[1:]
@@ -42,8 +42,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the passages that occur more than once."""
-    found = suffix_dedup.remove_repeats(docs, ("lang", "source"))
+    """The documents without the passages of PASSAGE bytes or more that occur more than once."""
+    found = suffix_dedup.remove_repeats(docs, ("lang", "source"), PASSAGE)
     return found.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 

@@ -63,14 +63,15 @@ def _distinct(rows, scores):
 
 
 def _passages(rows, scores):
+    n = corpus_pipeline.PASSAGE
     data = [(r[1] or "").encode() for r in rows]
-    counts = Counter(hash(d[k:k + 400]) for d in data for k in range(len(d) - 399))
+    counts = Counter(hash(d[k:k + n]) for d in data for k in range(len(d) - n + 1))
     out = []
     for r, d in zip(rows, data, strict=True):
         gone = np.zeros(len(d), bool)
-        for k in range(len(d) - 399):
-            if counts[hash(d[k:k + 400])] > 1:
-                gone[k:k + 400] = True
+        for k in range(len(d) - n + 1):
+            if counts[hash(d[k:k + n])] > 1:
+                gone[k:k + n] = True
         text = bytes(np.frombuffer(d, np.uint8)[~gone]).decode("utf-8", "ignore")  # a null text is empty
         out.append((r[0], text, r[2], r[3], len(text)))
     return out

@@ -122,23 +122,23 @@ def test_suffix_arrays(monkeypatch):
             assert common[b] == n
 
 
-def _removed(texts):
+def _removed(texts, n=400):
     data = [(t or "").encode() for t in texts]
-    counts = Counter(d[k:k + 400] for d in data for k in range(len(d) - 399))
+    counts = Counter(d[k:k + n] for d in data for k in range(len(d) - n + 1))
     out = []
     for d in data:
         gone = np.zeros(len(d) + 1, int)
-        for k in range(len(d) - 399):
-            if counts[d[k:k + 400]] > 1:
+        for k in range(len(d) - n + 1):
+            if counts[d[k:k + n]] > 1:
                 gone[k] += 1
-                gone[k + 400] -= 1
+                gone[k + n] -= 1
         gone = np.cumsum(gone)[:-1] > 0 if len(d) else np.zeros(0, bool)
         kept = bytes(b for b, g in zip(d, gone, strict=True) if not g)
         out.append((len(d), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
     return out
 
 
-@pytest.mark.parametrize("most", [8192, 1])
+@pytest.mark.parametrize("most", [8192, 3, 1])
 def test_repeats_match_brute_force(documents, monkeypatch, most):
     monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", most)
     r = random.Random(6)
@@ -157,6 +157,35 @@ def test_repeats_match_brute_force(documents, monkeypatch, most):
     assert all(x["lang"] == "en" for x in found)
 
 
+@pytest.mark.parametrize(("most", "length", "passage"), [(8192, 400, 300), (3, 400, 300), (1, 400, 300), (2, 120, 50), (1, 90, None), (5, 64, 40)])
+def test_repeats_of_two_lengths_match_brute_force(documents, monkeypatch, most, length, passage):
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", most)
+    r = random.Random(16)
+    noise = lambda n: "".join(r.choices("abcdefgé ", k=n))
+    passages = [noise(n) for n in (38, 60, 119, 290, 310, 330, 398, 430)]
+    texts = [None, "", noise(1500), "The " * 200, "x" * 1200, " " * 5000 + noise(50), "ab" * 900, noise(length)]
+    texts += ["".join([noise(r.randint(0, 90)), r.choice(passages), noise(r.randint(0, 60)), r.choice(passages)[r.randint(0, 40):], noise(r.randint(0, 20))]) for _ in range(40)]
+    texts += [noise(2) + passages[5] + noise(2), passages[7], texts[12], texts[13][:-3] + "#", "#" + texts[13][5:]]
+    found = suffix_dedup.remove_repeats(documents(*enumerate(texts)), (), length, passage).collect()
+    want = _removed(texts, length)
+    assert [tuple(x)[1:5] for x in sorted(found, key=lambda x: x["doc_id"])] == [tuple(w) for w in want]
+    if passage:
+        assert [(x["n_passage_bytes"], x["n_passages"]) for x in sorted(found, key=lambda x: x["doc_id"])] == [w[1:3] for w in _removed(texts, passage)]
+
+
+def test_runs_of_a_character_have_few_anchors(documents):
+    keyed = suffix_dedup._keyed(documents((1, " " * 200_000), (2, "ab" * 100_000), (3, "x" + " " * 3000)))
+    assert suffix_dedup._anchors(keyed, (300, 400)).count() < 5000
+    found = {x["doc_id"]: x for x in suffix_dedup.remove_repeats(documents((1, " " * 200_000), (2, "y" + "ab" * 100_000))).collect()}
+    assert (found[1]["n_removed"], found[1]["n_spans"]) == (200_000, 1) and found[2]["n_removed"] == 200_000
+
+
+def test_lengths_have_an_order(documents):
+    for length, passage in ((400, 400), (300, 400), (20, None)):
+        with pytest.raises(ValueError):
+            suffix_dedup.remove_repeats(documents((1, "a")), (), length, passage)
+
+
 def test_repeats_of_nothing(documents):
     assert suffix_dedup.remove_repeats(documents((1, "a")).limit(0)).count() == 0
 
