@@ -89,6 +89,14 @@ def fct_trips(trips: DataFrame, weather: DataFrame) -> DataFrame:
     )
 
 
+def with_weather(fct: DataFrame, weather: DataFrame) -> DataFrame:
+    """Rows of the trip fact with the weather attributes of the given weather instead of theirs."""
+    attributes = weather.select(
+        "timestamp", *[F.col(old).alias(new) for new, old in TRIP_WEATHER.items()]
+    )
+    return join_weather(fct.drop(*TRIP_WEATHER), attributes).select(*fct.columns)
+
+
 def _count_if(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from citytrips import rules
 from citytrips.operators.dims import dim_date, dim_location, dim_time, dim_weather, time_spine
-from citytrips.operators.facts import fct_hourly, fct_trips
+from citytrips.functions import floor_hour, month_key
+from citytrips.operators.facts import fct_hourly, fct_trips, with_weather
 from citytrips.operators.gaps import days_present
 from citytrips.operators.merge import latest, new_hours, new_trips, sync_schema
 from citytrips.operators.staging import (
@@ -23,7 +24,7 @@ from citytrips.plans.quality import duplicates
 from citytrips.sources.ingest import DEFAULT_SOURCES, ingest, raw_table
 from citytrips.sources.months import month_bounds
 from citytrips.sources.tables import (
-    MONTH, exists, merge_into, months_present, read_table, stage, write_table,
+    MONTH, ensure_index, exists, merge_into, months_present, read_table, stage, write_table,
 )
 
 
@@ -81,6 +82,50 @@ def write_weather(store: Store) -> DataFrame:
     return weather
 
 
+DIGESTS = "weather_digests"
+
+
+def weather_digests(weather: DataFrame) -> DataFrame:
+    """One digest per hour over all the columns of the weather dimension."""
+    # a hash skips nulls, so where they are is hashed along
+    return weather.select(floor_hour(F.col("timestamp")).alias("hour"), F.xxhash64(
+        *weather.columns, *[F.col(c).isNull() for c in weather.columns]).alias("digest"))
+
+
+def changed_hours(weather: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Hours whose weather differs from the digests of an earlier load, is new, or is gone."""
+    now = weather_digests(weather)
+    if known is None:
+        return now.select("hour")
+    before = known.withColumnRenamed("digest", "_before")
+    differs = ~F.col("digest").eqNullSafe(F.col("_before"))
+    return now.join(before, "hour", "full").filter(differs).select("hour")
+
+
+def repair_weather(store: Store, weather: DataFrame) -> None:
+    """Bring trips and hours of the facts up to the present weather, only where it changed.
+
+    The digests of the weather the facts were last brought up to are kept beside them and
+    written last, so an interrupted repair is done again. Months without a changed hour are
+    neither read nor written.
+    """
+    spark = store.spark
+    changed = stage(changed_hours(weather, store.table(DIGESTS)), f"{store.root}/staging/hours")
+    months = {r[0] for r in changed.select(month_key(F.col("hour"))).distinct().collect()}
+    present = months & months_present(spark, store.path("fct_trips"))
+    if present:
+        hour = floor_hour(F.col("pickup_datetime"))
+        fct = store.table("fct_trips").filter(F.col(MONTH).isin(sorted(present)))
+        stale = fct.withColumn("hour", hour).join(changed, "hour", "left_semi").drop("hour")
+        # Landed, as the merge reads the rows several times and replaces them meanwhile.
+        fresh = stage(with_weather(stale, weather), f"{store.root}/staging/repaired")
+        merge_into(spark, store.path("fct_trips"), fresh, ["trip_key"], None, TRIP_ORDER)
+        hours = stage(fct_hourly(fresh), f"{store.root}/staging/repaired_hours")
+        merge_into(spark, store.path("fct_hourly_mobility"), hours, ["hour_timestamp"], None, HOUR_ORDER)
+    if not changed.isEmpty() or store.table(DIGESTS) is None:
+        write_table(weather_digests(weather), store.path(DIGESTS))
+
+
 def write_dimensions(store: Store, trips: DataFrame, zones: DataFrame | None = None,
                      renew: bool = True) -> None:
     """Write the calendar, hour, zone and spine dimensions.
@@ -105,6 +150,8 @@ def write_dimensions(store: Store, trips: DataFrame, zones: DataFrame | None = N
 
 
 TRIP_ORDER, HOUR_ORDER = ("pickup_datetime",), ("hour_timestamp",)
+#: A ride id says nothing about its month, so a ride may come again in another one.
+MOVABLE = ("trip_type", rules.BIKE)
 
 
 def write_trips(store: Store, weather: DataFrame) -> None:
@@ -121,12 +168,14 @@ def build(store: Store, zones: DataFrame | None = None) -> None:
     weather = write_weather(store)
     write_trips(store, weather)
     fct = store.table("fct_trips")
-    # Both read the fact only; run together, one fills the cluster while the other winds up.
-    with ThreadPoolExecutor(2) as pool:
+    # All read the fact only; run together, one fills the cluster while the others wind up.
+    with ThreadPoolExecutor(4) as pool:
+        index = pool.submit(ensure_index, store.spark, store.path("fct_trips"), ["trip_key"], MOVABLE)
+        digests = pool.submit(write_table, weather_digests(weather), store.path(DIGESTS))
         hourly = pool.submit(write_table, fct_hourly(fct), store.path("fct_hourly_mobility"),
                              MONTH, HOUR_ORDER)
         dimensions = pool.submit(write_dimensions, store, fct, zones)
-        hourly.result(), dimensions.result()
+        hourly.result(), dimensions.result(), index.result(), digests.result()
 
 
 def replace(store: Store, name: str, batch: DataFrame, key: str,
@@ -162,13 +211,15 @@ def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
 
     By default trips later than the latest loaded pickup are added, with ``start`` all trips
     from that date on (up to, not including, ``end``) are rebuilt, and a full refresh rebuilds
-    everything. Missing or empty facts always mean a full refresh.
+    everything. Missing or empty facts always mean a full refresh. Weather that has changed
+    since the last refresh is brought into the hours it belongs to, whenever they were loaded.
     """
     fct = None if full_refresh else store.table("fct_trips")
     if fct is None or fct.isEmpty():
         build(store, zones)
         return
     weather = write_weather(store)
+    repair_weather(store, weather)
     recent = _recent(store, "fct_trips")
     # The mark prunes the raw tables to months; the strict comparison follows on the rows.
     since = latest(recent, "pickup_datetime") if start is None else date.fromisoformat(start[:10])
@@ -178,9 +229,7 @@ def refresh(store: Store, full_refresh: bool = False, start: str | None = None,
     batch = new_trips(trips, recent, start)
     if end is not None:
         batch = batch.filter(F.col("pickup_datetime") < F.lit(end).cast("timestamp_ntz"))
-    # A ride id says nothing about its month, so older versions of rides are looked up.
-    landed = replace(store, "fct_trips", fct_trips(batch, weather), "trip_key",
-                     ("trip_type", rules.BIKE), TRIP_ORDER)
+    landed = replace(store, "fct_trips", fct_trips(batch, weather), "trip_key", MOVABLE, TRIP_ORDER)
     fct = store.table("fct_trips", store.table("fct_trips").schema)
     hours = new_hours(fct, _recent(store, "fct_hourly_mobility"), start)
     if end is not None:

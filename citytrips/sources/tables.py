@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citytrips.operators.merge import without_keys_of
+from citytrips.sources import keyindex
 
 MONTH = "pickup_month"
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the default of the CSV writer cuts microseconds
@@ -23,6 +24,7 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None,
     A write that fails leaves the old table whole.
     """
     fresh = f"{path}.{uuid.uuid4().hex}.new"
+    remove(df.sparkSession, keyindex.folder(path))  # an index without some keys would be worse than none
     if partition_by:
         _write_months(df, fresh, partition_by, order_by, "static")
     else:
@@ -122,14 +124,16 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
     Keys are unique within the batch. Only the months the batch touches are read and written
     again. Where a key does not contain the time, an older version of a row may lie in
     another month: ``movable`` is ``()`` when that can be any row, or ``(column, value)`` for
-    rows with that value. Their months are looked up by these few columns and rewritten too.
+    rows with that value. The key index names their months, which are rewritten too; other months
+    are not read at all.
     """
     if not exists(spark, path):
         write_table(batch, path, MONTH, order_by)
         return
     months, moved_from = _months_of(batch), set()
     if movable is not None:
-        moved_from = _months_of(_older_versions(spark, path, batch, keys, movable, months))
+        ensure_index(spark, path, keys, movable)
+        moved_from = keyindex.months_and_note(spark, path, _movable_rows(batch, movable), keys) - months
     target = _read_months(spark, path, months | moved_from)
     if target is None:
         overwrite_months(batch, path, order_by)
@@ -142,19 +146,17 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
         _file_system(spark, path).delete(_hadoop_path(spark, _folder(path, month)), True)
 
 
-def _older_versions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                    movable: tuple[str, ...], months: set) -> DataFrame:
-    """Rows of other months with the key of a movable row of the batch."""
-    needed = list(dict.fromkeys([*keys, *movable[:1], MONTH]))
-    known = read_table(spark, path, T.StructType([batch.schema[c] for c in needed]))
-    listed = F.col(MONTH).isin([m for m in months if m is not None])
-    known = known.filter(~F.coalesce(listed, F.lit(None in months)))
-    if movable:
-        column, value = movable
-        known, batch = known.filter(F.col(column) == value), batch.filter(F.col(column) == value)
-    found = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return known.join(found, same, "left_semi")
+def _movable_rows(df: DataFrame, movable: tuple[str, ...]) -> DataFrame:
+    return df.filter(F.col(movable[0]) == movable[1]) if movable else df
+
+
+def ensure_index(spark: SparkSession, path: str, keys: Sequence[str],
+                 movable: tuple[str, ...] = ()) -> None:
+    """Build the key index of a table from its key columns unless it is there."""
+    if exists(spark, f"{keyindex.folder(path)}/filters/_SUCCESS"):
+        return
+    known = read_table(spark, path)
+    keyindex.build(spark, path, _movable_rows(known, movable), keys)
 
 
 def _folder(path: str, month) -> str:

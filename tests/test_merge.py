@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from citytrips.operators import merge
 from citytrips.operators.dedup import keep_first
-from citytrips.sources import tables
+from citytrips.sources import keyindex, tables
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -109,6 +109,69 @@ def test_table_merge_moves_only_rows_that_may(table):
     assert values(moved, "k", "t") == [("a", A), ("b", B), ("c", A)]
 
 
+def test_key_index_names_the_months_of_known_keys_only(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyindex, "BUCKET_KEYS", 20)
+    monkeypatch.setattr(keyindex, "BITMAP", 64)
+    many = [(f"k{i}", A if i % 3 else B, i) for i in range(200)]
+    table(*many, movable=())
+    tables.ensure_index(spark, table.path, ["k"])
+    buckets, blocks = keyindex._shape(spark, table.path)
+    assert buckets == 10 and blocks > 1
+    batch = rows(spark, *many[::7], ("new", A, 1), (None, B, 2)).withColumn(tables.MONTH, F.lit(202512))
+    hashes = keyindex._dealt(keyindex.hashed(batch, ["k"]), buckets)
+    found = keyindex.held(spark, table.path, hashes, blocks)
+    want = {k: 202501 if i % 3 else 202502 for i, (k, _, _) in list(enumerate(many))[::7]}
+    named = hashes.drop(tables.MONTH).join(found, "h").join(
+        keyindex.hashed(batch.select("k", tables.MONTH), ["k"]).drop(tables.MONTH), "h")
+    assert named.count() == len(want)
+    keys = batch.select("k", F.xxhash64("k", F.col("k").isNull()).alias("h")).join(found, "h")
+    assert {r["k"]: r[tables.MONTH] for r in keys.collect()} == want
+
+
+def test_new_keys_read_no_key_of_other_months(spark, table, tmp_path):
+    table(*[(f"k{i}", A, i) for i in range(50)], movable=())
+    table(("x", B, 1), movable=())  # builds the index
+    buckets, blocks = keyindex._shape(spark, table.path)
+    batch = rows(spark, ("y", B, 1), ("z", B, 2)).withColumn(tables.MONTH, F.lit(202502))
+    hashes = keyindex._dealt(keyindex.hashed(batch, ["k"]), buckets)
+    assert keyindex.possible(spark, table.path, hashes, blocks).isEmpty()
+    january = tmp_path / "table" / "pickup_month=202501"
+    for file in january.glob("*.parquet"):
+        file.write_bytes(b"unreadable")  # no row of January may be opened
+    for file in january.glob(".*.crc"):
+        file.unlink()
+    table_merge = tables.stage(batch, str(tmp_path / "more"))
+    tables.merge_into(spark, table.path, table_merge, ["k"], ())
+    assert values(spark.read.parquet(f"{table.path}/pickup_month=202502"), "k") == [("x",), ("y",), ("z",)]
+
+
+def test_merges_by_index_equal_a_scan_of_all_keys(spark, table):
+    import random
+
+    r, want = random.Random(4), {}
+    times = [A, B, at("2025-03-05 00:00:00"), at("2025-06-01 00:00:00")]
+    for _ in range(6):
+        batch = {f"k{r.randint(0, 25)}" if r.random() < 0.9 else None: (r.choice(times), r.randint(0, 9)) for _ in range(12)}
+        want.update(batch)
+        got = table(*[(k, *v) for k, v in batch.items()], movable=())
+        assert values(got, "k", "t", "v") == sorted(((k, *v) for k, v in want.items()), key=repr)
+    again = keyindex._filters(spark, table.path).count()
+    table(*[(k, *v) for k, v in batch.items()], movable=())
+    hashes = spark.read.parquet(f"{keyindex.folder(table.path)}/hashes")
+    assert hashes.count() == hashes.select("h", tables.MONTH).distinct().count()
+    assert keyindex._filters(spark, table.path).count() == again  # nothing new to note
+
+
+def test_replacing_a_table_removes_its_index(spark, table):
+    table(("a", A, 1), movable=())
+    table(("a", B, 1), movable=())
+    assert tables.exists(spark, keyindex.folder(table.path))
+    fresh = rows(spark, ("b", A, 5)).withColumn(tables.MONTH, F.lit(202501))
+    tables.write_table(fresh, table.path, tables.MONTH)
+    assert not tables.exists(spark, keyindex.folder(table.path))
+    assert values(table(("b", B, 6), movable=()), "k", "t", "v") == [("b", B, 6)]
+
+
 def test_table_merge_accepts_new_columns(table):
     table(("a", A, 1), ("b", B, 2))
     grown = table(("c", B, 3), extra="new")
