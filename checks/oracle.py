@@ -378,6 +378,21 @@ from (
   d_olocation_id desc nulls last"""
 for _name in ("inc_merge_by_key", "inc_merge_twice", "inc_merge_table"):
     oracle(_name, f"select * exclude (age) from ({_MERGED})")
+oracle("inc_key_index", """
+select * replace (if(substr(ride_id, 2)::bigint % 4 = 0, started_at + interval 45 day, started_at) as started_at,
+  if(substr(ride_id, 2)::bigint % 4 = 0, ended_at + interval 45 day, ended_at) as ended_at)
+from raw_bike""")
+_MEDIANS = ", ".join(f"round(median({c}), 8) as {c}" for c in (
+    "trip_duration_minutes", "trip_distance", "avg_speed_mph", "revenue"))
+oracle("agg_exact_medians", f"""
+select trip_type, {_MEDIANS} from fct group by 1 union all select 'all', {_MEDIANS} from fct""")
+_DISTINCT = """count(distinct pickup_datetime::date) as n_days,
+  count(distinct date_trunc('hour', pickup_datetime)) as n_hours"""
+oracle("agg_distinct_states", f"""
+select strftime(pickup_datetime, '%Y%m')::int as pickup_month, {_DISTINCT} from fct group by 1""")
+oracle("agg_distinct_range", f"""
+select trip_type, {_DISTINCT} from inside group by 1 union all select 'all', {_DISTINCT} from inside""",
+       inside="select * from fct where pickup_datetime::date between date '1996-03-10' and date '1998-07-20'")
 oracle("inc_dedup_by_key", """
 select distinct on (l_orderkey, l_linenumber) * from lineitem
 order by l_extendedprice desc nulls last, l_partkey desc, l_suppkey desc, l_quantity desc,
@@ -455,6 +470,7 @@ _HOURLY_DOUBLES = (
     "rush_hour_pct")
 oracle("fct_hourly_mobility", settled("select * from hourly", *_HOURLY_DOUBLES))
 oracle("fct_hourly_table", settled("select * from hourly", *_HOURLY_DOUBLES))
+oracle("inc_weather_changes", settled("select * from hourly", *_HOURLY_DOUBLES))
 oracle("trip_time_flags", """
 select trip_id, trip_duration_minutes, avg_speed_mph, pickup_hour, day_of_week, is_weekend,
   day_part, is_rush_hour, is_business_hours, is_late_night from fct""")

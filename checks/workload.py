@@ -13,7 +13,7 @@ from checks import landing
 from checks.workspace import Workspace, workspace
 from citytrips import functions as fn
 from citytrips import rules, schemas
-from citytrips.operators import facts, gaps, merge, staging
+from citytrips.operators import distinct, facts, gaps, merge, selection, staging
 from citytrips.operators.dedup import keep_first
 from citytrips.operators.dims import dim_time
 from citytrips.plans import metrics, pipeline, quality, reports, semantic, suites
@@ -192,6 +192,30 @@ def inc_merge_table(w: Workspace) -> DataFrame:
     return ingest.raw_table(w.spark, root, "fhv_taxi").drop(tables.MONTH)
 
 
+@registered
+def inc_key_index(w: Workspace) -> DataFrame:
+    """Rides that come again 45 days later: the key index finds the months of their older versions."""
+    root, rides = w.scratch("index"), w.raw("trips")
+    later = F.expr("interval 45 days")
+    moved = rides.filter(F.substring("ride_id", 2, 20).cast("long") % 4 == 0).withColumns({
+        "started_at": F.col("started_at") + later, "ended_at": F.col("ended_at") + later})
+    ingest.merge_raw(w.spark, root, "trips", rides)
+    for _ in range(2):
+        ingest.merge_raw(w.spark, root, "trips", moved)
+    return ingest.raw_table(w.spark, root, "trips").drop(tables.MONTH)
+
+
+@registered
+def inc_weather_changes(w: Workspace) -> DataFrame:
+    """Weather that changes after the facts were built: a plain refresh repairs its hours."""
+    store = _UpTo(w, w.scratch("changes"))
+    store.warmer = True
+    pipeline.refresh(store)
+    store.warmer = False
+    pipeline.refresh(store)
+    return settle(store.table("fct_hourly_mobility"))
+
+
 @registered
 def inc_dedup_by_key(w: Workspace) -> DataFrame:
     items = w.spark.read.parquet(f"{w.folder}/lineitem.parquet")
@@ -537,6 +561,36 @@ def sem_metric_values(w: Workspace) -> DataFrame:
     return settle(names.join(values, ["model", "metric"], "left"), "value")
 
 
+@registered
+def agg_exact_medians(w: Workspace) -> DataFrame:
+    """Medians over all trips and by mode, each by searching the range with the middle."""
+    values = {n: F.col(n) for n in ("trip_duration_minutes", "trip_distance", "avg_speed_mph", "revenue")}
+    whole = selection.exact_medians(w.fct, [], values).withColumn("trip_type", F.lit("all"))
+    return settle(selection.exact_medians(w.fct, ["trip_type"], values).unionByName(whole))
+
+
+def _states(w: Workspace) -> DataFrame:
+    """Written states of months and modes, made from two parts that share trips."""
+    early = w.fct.filter(F.col("pickup_datetime") < ntz(CUT))
+    late = w.fct.filter(F.col("pickup_datetime") >= ntz("1996-01-01"))
+    both = distinct.merge_states(distinct.distinct_states(early), distinct.distinct_states(late))
+    return tables.stage(both, w.scratch("states"))
+
+
+@registered
+def agg_distinct_states(w: Workspace) -> DataFrame:
+    """Different days and hours of every month, added up over the modes."""
+    return distinct.distinct_counts(_states(w), ["pickup_month"])
+
+
+@registered
+def agg_distinct_range(w: Workspace) -> DataFrame:
+    """Different days and hours of each mode and of all, in a range within months."""
+    states, span = _states(w), ("1996-03-10", "1998-07-20")
+    whole = distinct.distinct_counts(states, (), *span).withColumn("trip_type", F.lit("all"))
+    return distinct.distinct_counts(states, ["trip_type"], *span).unionByName(whole)
+
+
 # --- data quality -------------------------------------------------------------------------------------
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytrips.functions import divide, floor_hour, floor_month
+from citytrips.operators.selection import exact_medians
 
 _AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "count": F.count,
@@ -142,32 +143,6 @@ class _Plan:
         return metric.formula(*[self.value(i) for i in metric.inputs])
 
 
-def exact_medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """Exact medians of several values by keys.
-
-    Equal values are counted in the map tasks, and the middle is found by a running count over
-    the sorted distinct values. Both steps spill to disk, unlike the state of a percentile
-    aggregate, however few the groups are.
-    """
-    entries = F.array(*[F.struct(F.lit(n).alias("_name"), v.cast("double").alias("_value"))
-                        for n, v in values.items()])
-    counted = df.select(*keys, F.inline(entries)).filter("_value is not null").groupBy(
-        *keys, "_name", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*keys, "_name")
-    before = F.sum("_n").over(group.orderBy("_value")) - F.col("_n")
-    ranked = counted.withColumns({"_before": before, "_last": F.sum("_n").over(group) - 1})
-
-    def at(place: Column) -> Column:
-        here = (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
-        return F.max(F.when(here, F.col("_value")))
-
-    half = F.col("_last") / 2
-    middle = ranked.groupBy(*keys, "_name").agg(
-        (at(F.floor(half)) * 0.5 + at(F.ceil(half)) * 0.5).alias("_median"))
-    return middle.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_name") == n, F.col("_median"))).alias(n) for n in values])
-
-
 def _join_entities(base: DataFrame, model: SemanticModel, tables: Mapping[str, DataFrame],
                    names: Sequence[str]) -> DataFrame:
     """Left-join the dimension tables behind names of the form ``entity__column``.

@@ -9,7 +9,9 @@ import pytest
 from citytrips.plans import pipeline
 from citytrips.plans.pipeline import Store
 from citytrips.sources import tables
+from citytrips.sources.ingest import merge_raw
 from conftest import values
+from pyspark.sql import functions as F
 
 DAYS = {1: 3, 2: 4, 3: 2}  # month → days with trips
 
@@ -90,6 +92,42 @@ def test_incremental_equals_full(spark, landing, tmp_path):
         assert a.exceptAll(b.select(a.columns)).isEmpty() and a.count() == b.count(), name
 
 
+def test_a_plain_refresh_repairs_changed_weather_only(spark, landing, tmp_path):
+    store, full = (Store(spark, str(tmp_path / n)) for n in ("store", "full"))
+    for month in (1, 2):
+        pipeline.run_month(store, landing, 2025, month)
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "store" / "core" / "fct_trips").glob("*/*.parquet")}
+    pipeline.refresh(store)
+    assert files == {f: f.stat().st_mtime_ns for f in (tmp_path / "store" / "core" / "fct_trips").glob("*/*.parquet")}
+
+    raw = store.raw("hourly_weather")
+    hour = raw.filter("pickup_month = 202502").agg(F.max("timestamp")).first()[0]
+    busy = store.table("fct_trips").filter("pickup_month = 202502").select(F.date_trunc("hour", "pickup_datetime").cast("timestamp_ntz")).first()[0]
+    late = raw.filter(F.col("timestamp").isin(hour, busy)).withColumn("temp", F.lit(40.0))
+    merge_raw(spark, store.root, "hourly_weather", late.drop("pickup_month"))
+    merge_raw(spark, full.root, "hourly_weather", store.raw("hourly_weather").drop("pickup_month"))
+    for name in ("yellow_taxi", "fhv_taxi", "trips"):
+        merge_raw(spark, full.root, name, store.raw(name).drop("pickup_month"))
+    pipeline.refresh(store)
+    pipeline.refresh(full, full_refresh=True)
+    assert not store.table("fct_trips").filter("temperature_celsius = 40").isEmpty()
+    for name in ("fct_trips", "fct_hourly_mobility", "dim_weather", pipeline.DIGESTS):
+        a, b = store.table(name), full.table(name)
+        assert a.exceptAll(b.select(a.columns)).isEmpty() and a.count() == b.count(), name
+    kept = {f: t for f, t in files.items() if "202501" in str(f)}
+    assert kept and all(f.stat().st_mtime_ns == t for f, t in kept.items())
+
+
+def test_hours_that_differ(spark):
+    def weather(*rows):
+        return spark.createDataFrame([(datetime(2025, 1, 1, h), a, b) for h, a, b in rows], "timestamp timestamp_ntz, a double, b double")
+
+    before = pipeline.weather_digests(weather((1, 1.0, None), (2, 2.0, 2.0), (3, None, 3.0), (4, 4.0, 4.0)))
+    now = weather((1, None, 1.0), (2, 2.0, 2.0), (3, None, 3.5), (5, None, None))
+    assert sorted(r[0].hour for r in pipeline.changed_hours(now, before).collect()) == [1, 3, 4, 5]
+    assert pipeline.changed_hours(now, None).count() == 4 and pipeline.changed_hours(now, pipeline.weather_digests(now)).isEmpty()
+
+
 def test_backfill_stops_or_goes_on(spark, tmp_path):
     class Result:
         def __init__(self, status):
