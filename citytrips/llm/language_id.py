@@ -2,23 +2,23 @@
 
 Every language has a distribution over hashed character n-grams of words. A document is a
 mixture of languages; expectation-maximisation estimates its proportions from the likelihoods
-of its words, and a penalised likelihood selects how many languages it holds. The prediction is
-the selected language with the largest proportion.
+of its words, and a penalised likelihood selects how many languages it holds, for every document.
+The prediction is the selected language with the largest proportion.
 
-Cases: null text and text without letters give ``und`` with score 0. Ties go to the first
+Cases: null text and text without letters (Unicode category L) give ``und`` with score 0. Ties go to the first
 language in alphabetical order. Without any usable training row every text gives ``und``. Repeated rows are predicted
 each; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +31,12 @@ SMOOTHING = 0.5
 #: n-grams of a word overlap, so their joint evidence is tempered.
 TEMPER = 0.5
 ROUNDS = 12
-#: Documents whose largest proportion exceeds SETTLED after the first rounds hold one language.
-FIRST_ROUNDS, SETTLED = 4, 0.99
-#: A language with less than this proportion is no candidate for the set.
-LEAST_SHARE = 0.005
+#: After so many rounds, documents go on only if a larger set can still win by the bound of the likelihood.
+FIRST_ROUNDS = 4
 #: Penalty for each further language, in units of half the logarithm of the word count.
 PENALTY = 2.0
 UNKNOWN = "und"
-WORDS = re.compile(r"[^\W\d_]+")
+WORDS = regex.compile(r"\p{L}+")
 CACHE = 100_000
 
 
@@ -121,20 +119,40 @@ class _Scorer:
         return np.ascontiguousarray(self.rows[np.array(ids)].T)
 
 
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums over the words of each document, in double precision."""
+    return np.add.reduceat(values, np.cumsum(lengths) - lengths, axis=-1, dtype=np.float64)
+
+
+def _total(like: np.ndarray, lengths: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Likelihood of each word in the mixture of its document."""
+    return np.maximum((like * np.repeat(share.astype(np.float32), lengths, axis=1)).sum(0), 1e-37)
+
+
 def _em(like: np.ndarray, lengths: np.ndarray, share: np.ndarray, rounds: int) -> np.ndarray:
     """Proportions [languages, docs] after some rounds."""
-    starts = np.cumsum(lengths) - lengths
     for _ in range(rounds):
-        part = like * np.repeat(share, lengths, axis=1)
-        part /= part.sum(0)
-        share = np.add.reduceat(part, starts, axis=1) / lengths.astype(np.float32)
+        part = like * np.repeat(share.astype(np.float32), lengths, axis=1)
+        part /= np.maximum(part.sum(0), 1e-37)
+        share = _sums(part, lengths) / lengths
     return share
 
 
 def _fit_of(like: np.ndarray, lengths: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Log-likelihood of each document."""
-    total = (like * np.repeat(share, lengths, axis=1)).sum(0)
-    return np.add.reduceat(np.log(np.maximum(total, 1e-37)), np.cumsum(lengths) - lengths)
+    return _sums(np.log(_total(like, lengths, share)), lengths)
+
+
+def _bound(like: np.ndarray, lengths: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """No mixture gives a document a larger log-likelihood: it is concave in the proportions, so it
+    stays below its tangent at ``share``, which is largest in one of the corners."""
+    total = _total(like, lengths, share)
+    slopes = _sums(like / total, lengths)
+    return _sums(np.log(total), lengths) + slopes.max(0) - lengths
+
+
+def _penalty(size: int, lengths: np.ndarray) -> np.ndarray:
+    return (size - 1) * PENALTY * 0.5 * np.log(lengths + 1.0)
 
 
 def _words_of(docs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -148,34 +166,32 @@ def mixture(like: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Proportions [languages, docs] of the language set that the penalised likelihood selects,
     for documents whose words' likelihoods follow each other.
 
-    Most documents settle on one language in the first rounds; the others go on.
+    The sets are each document's most likely language alone, and its two, three, … languages with the
+    largest proportions. A document is left out of further rounds only where no larger set can win.
     """
     n_lang = len(like)
-    share = _em(like, lengths, np.full((n_lang, len(lengths)), 1 / n_lang, np.float32), FIRST_ROUNDS)
-    mixed = np.flatnonzero(share.max(0) < SETTLED)
-    order = np.argsort(-share, axis=0, kind="stable")
-    chosen = np.zeros_like(share)
-    chosen[order[0], np.arange(len(lengths))] = 1
-    if not len(mixed):
+    alone = _sums(np.log(like), lengths)
+    chosen, best = np.zeros_like(alone), alone.max(0)
+    chosen[alone.argmax(0), np.arange(len(lengths))] = 1
+    share = _em(like, lengths, np.full_like(alone, 1 / n_lang), FIRST_ROUNDS)
+    open_ = np.flatnonzero(_bound(like, lengths, share) - _penalty(2, lengths) > best)
+    if not len(open_) or n_lang < 2:
         return chosen
-    like, lengths = like[:, _words_of(mixed, lengths)], lengths[mixed]
-    share = _em(like, lengths, share[:, mixed], ROUNDS - FIRST_ROUNDS)
-    order = np.argsort(-share, axis=0, kind="stable")
-    rank = np.argsort(order, axis=0, kind="stable")
-    own = (rank == 0).astype(np.float32)
-    best = _fit_of(like, lengths, own)
+    like, lengths, best = like[:, _words_of(open_, lengths)], lengths[open_], best[open_]
+    share = _em(like, lengths, share[:, open_], ROUNDS - FIRST_ROUNDS)
+    bound = _bound(like, lengths, share)
+    rank = np.argsort(np.argsort(-share, axis=0, kind="stable"), axis=0, kind="stable")
     for size in range(2, n_lang + 1):
-        some = np.flatnonzero(np.take_along_axis(share, order, 0)[size - 1] > LEAST_SHARE)
+        some = np.flatnonzero(bound - _penalty(size, lengths) > best)
         if not len(some):
             break
         at = _words_of(some, lengths)
-        first = np.where(rank[:, some] < size, share[:, some] + 1e-6, 0).astype(np.float32)
+        first = np.where(rank[:, some] < size, share[:, some] + 1e-6, 0)
         got = _em(like[:, at], lengths[some], first / first.sum(0), ROUNDS // 2)
-        gain = _fit_of(like[:, at], lengths[some], got) - (size - 1) * PENALTY * 0.5 * np.log(lengths[some] + 1.0)
+        gain = _fit_of(like[:, at], lengths[some], got) - _penalty(size, lengths[some])
         better = gain > best[some]
         best[some[better]] = gain[better]
-        own[:, some[better]] = got[:, better]
-    chosen[:, mixed] = own
+        chosen[:, open_[some[better]]] = got[:, better]
     return chosen
 
 
