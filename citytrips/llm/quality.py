@@ -7,7 +7,7 @@ vectors are learned by stochastic gradient descent. As the layer is linear, a do
 needs one number per bucket, and each word's sum is kept.
 
 Cases: null text and text without words have a score from the bias alone. Several labels of a
-document count by their rounded mean, halves up. Without labels of both kinds every score is 0.5.
+document, and those of equal texts, count by their rounded mean, halves up. Without labels of both kinds every score is 0.5.
 Repeated rows are scored each; further columns are ignored.
 """
 
@@ -120,8 +120,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS, divisor: int
     rated = rated.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.floor(F.avg("quality") + 0.5).cast("int").alias("y"))
     rated = bounded_sample(rated, "doc_id", rows)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull()).join(F.broadcast(rated), "doc_id")
-    # one of equal texts: copies are no further evidence
-    frame = sample.dropDuplicates(["text"]).toPandas().sort_values("doc_id")  # bounded by the sample
+    # one row of equal texts with their mean label, halves up: copies are no further evidence
+    sample = sample.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.floor(F.avg("y") + 0.5).cast("int").alias("y"))
+    frame = sample.toPandas().sort_values(["doc_id", "text"])  # bounded by the sample
     return train(frame["text"].tolist(), frame["y"].to_numpy(np.int64))
 
 

@@ -7,7 +7,7 @@ follow an extreme-value law in ordinary text, whose two parameters are fitted; w
 has beyond that law is aggregated and mapped to a probability.
 
 Cases: null and empty text have no segments and get the score of that. Ties between segments
-keep the first. Several labels of a document count as toxic if one is. Without labels of both
+keep the first. Several labels of a document, or of equal texts, count as toxic if one is. Without labels of both
 kinds every score is 0. Repeated rows are scored each; further columns are ignored.
 """
 
@@ -152,9 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS, divisor: int
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", divisor) != held))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("y"))
     marks = bounded_sample(marks, "doc_id", rows)
-    # one row of equal texts: copies are no further evidence
+    # one row of equal texts, toxic if one of them is: copies are no further evidence
     sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
-              .join(F.broadcast(marks), "doc_id")
+              .join(F.broadcast(marks), "doc_id").groupBy("text").agg(F.max("y").alias("y"))
               .withColumn("part", F.pmod(F.xxhash64("text"), F.lit(2))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS, divisor: int
         if rows_:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows_, strict=True)], names=["token", "other", "toxic", "docs"])
 
-    tokens = (sample.where("part = 0").dropDuplicates(["text"]).select("text", "y")
+    tokens = (sample.where("part = 0").select("text", "y")
               .mapInArrow(count, "token string, other bigint, toxic bigint, docs bigint")
               .groupBy("token").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs")))
     # bounded by the sample: two totals, and the tokens that occur in several of its documents
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_DOCS, divisor: int
                  pa.array([[e - a for a, e, _ in segs] for segs, _ in found], pa.list_(pa.int64()))],
                 names=["y", "n", "scores", "lengths"])
 
-    seen = (sample.where("part = 1").dropDuplicates(["text"]).select("text", F.col("y").cast("int").alias("y"))
+    seen = (sample.where("part = 1").select("text", F.col("y").cast("int").alias("y"))
             .mapInArrow(measure, "y int, n bigint, scores array<double>, lengths array<bigint>").toPandas())  # bounded by the sample
     if seen.empty or seen["y"].nunique() < 2:
         return ToxicityModel()
