@@ -14,7 +14,7 @@ import tiktoken
 from citytrips.llm import bpe, fingerprints, language_id, quality, queries, toxicity
 
 WORDS = {"en": "the and of with house river stone water", "de": "der und mit haus fluss stein wasser über"}
-ODD = ["", " ", "\n\t", "1234 !!", "a", "é" * 5000, "word " * 20000]
+ODD = ["", " ", "\n\t", "1234 !!", "½ ² ① Ⅷ", "a", "é" * 5000, "word " * 20000]
 
 
 def _text(lang, seed, n=60):
@@ -50,7 +50,7 @@ def test_language_of_mixed_and_odd_texts(spark, documents):
     known = found[found["doc_id"] < 1000]
     assert (known["lang_pred"] == known["lang"]).mean() > 0.98
     by_id = dict(zip(found["doc_id"], found["lang_pred"], strict=True))
-    assert [by_id[1000 + k] for k in range(5)] == ["und"] * 5  # null, empty, white space, no letters
+    assert [by_id[1000 + k] for k in range(6)] == ["und"] * 6  # null, empty, white space, no letters
     assert found["score"].between(0, 1).all()
     half = documents((1, _text("en", 1, 80) + " " + _text("de", 2, 40), "en"))
     mixed = language_id.predict(half, language_id.fit(docs)).first()
@@ -74,6 +74,50 @@ def test_em_raises_the_likelihood():
         before = after
 
 
+def test_language_set_is_the_best_of_all_subsets():
+    """Every document, also a long one with a small second language, gets the set that the penalised
+    likelihood prefers among all subsets, each fitted to convergence."""
+    r = np.random.default_rng(7)
+    n_lang, parts = 4, []
+    for share in [(60, 0, 0, 0), (0, 45, 15, 0), (12, 0, 0, 9), (3000, 0, 60, 0), (20, 15, 25, 0), (1, 0, 0, 0), (0, 2, 2, 0), (30, 30, 30, 30)]:
+        home = np.repeat(np.arange(n_lang), share)
+        like = r.random((n_lang, len(home))) * 0.3 + 0.01
+        like[home, np.arange(len(home))] = 1
+        parts.append(like)
+    lengths = np.array([p.shape[1] for p in parts])
+    got = language_id.mixture(np.concatenate(parts, axis=1).astype(np.float32), lengths)
+    assert np.allclose(got.sum(0), 1, atol=1e-4)
+    for d, like in enumerate(parts):
+        best = (-np.inf, ())
+        for mask in range(1, 1 << n_lang):
+            pick = [k for k in range(n_lang) if mask >> k & 1]
+            p = np.full(len(pick), 1 / len(pick))
+            for _ in range(400):
+                part = like[pick] * p[:, None]
+                p = (part / part.sum(0)).mean(1)
+            value = np.log((like[pick] * p[:, None]).sum(0)).sum() - (len(pick) - 1) * language_id.PENALTY * 0.5 * np.log(like.shape[1] + 1)
+            best = max(best, (value, tuple(pick)))
+        assert tuple(np.flatnonzero(got[:, d])) == best[1], d
+        bound = language_id._bound(like.astype(np.float32), lengths[d:d + 1], np.full((n_lang, 1), 1 / n_lang))
+        assert bound[0] >= best[0]
+
+
+def test_equal_texts_with_different_labels(spark, documents, labels):
+    """Labels are gathered by text: the model is the same whichever row comes first."""
+    rows, marks = _labelled()
+    copies = [(5000 + i, text) for i, text in rows[:40]]
+    other = [(5000 + i, 1 - q, 1 - t) for i, q, t in marks[:40]]
+    for module in (toxicity, quality):
+        models = []
+        for turn in (1, -1):
+            docs = documents(*[*rows, *copies][::turn]).repartition(3)
+            models.append(module.fit(docs, labels(*[*marks, *other][::turn])))
+        if module is toxicity:
+            assert models[0].weights == models[1].weights and np.allclose(models[0].coefficients, models[1].coefficients)
+        else:
+            assert np.array_equal(models[0].weights, models[1].weights) and models[0].bias == models[1].bias
+
+
 def _labelled(n=240):
     bad = ["idiot", "scum", "stupid"]
     rows, marks = [], []
@@ -208,15 +252,17 @@ def test_bpe_of_any_ranks_merges_one_pair_after_the_other():
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
 
     r = random.Random(11)
-    for _ in range(60):
+    for _ in range(150):
         tokens = {bytes([k]) for k in range(256)} | {bytes(r.choices(b"abc", k=r.randint(2, 6))) for _ in range(40)}
-        order = sorted(tokens, key=lambda t: (len(t) > 1, r.random()))  # a token may rank before its parts
+        order = sorted(sorted(tokens), key=lambda t: (len(t) > 1, r.random()))  # a token may rank before its parts
         encoder = bpe.Encoder({t: k for k, t in enumerate(order)}, r"\S+")
         pieces = ["".join(r.choices("abc", k=r.randint(1, 30))) for _ in range(40)] + ["a" * 60, "ab" * 31]
-        ids, stops = encoder.merge_all([p.encode() for p in pieces])
-        for piece, own in zip(pieces, np.split(ids, stops[:-1]), strict=True):
-            want = plain(encoder.ranks, piece.encode())
-            assert own.tolist() == want == (encoder.merge(piece.encode()) if piece.encode() not in encoder.ranks else want)
+        want = [[encoder.ranks[p.encode()]] if p.encode() in encoder.ranks else plain(encoder.ranks, p.encode()) for p in pieces]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(pieces)] == want
+        assert [encoder.merge(p.encode()) for p in pieces] == want
+        rest = [(p.encode(), w) for p, w in zip(pieces, want, strict=True) if p.encode() not in encoder.ranks]  # whole tokens are not merged
+        ids, stops = encoder.merge_all([p for p, _ in rest])
+        assert [own.tolist() for own in np.split(ids, stops[:-1])] == [w for _, w in rest]
 
 
 def test_bpe_keeps_two_generations_of_pre_tokens(vocabulary, monkeypatch):
