@@ -672,6 +672,20 @@ select d.is_weekend as date__is_weekend, l.borough as pickup_location__borough,
   {_list(METRIC_SQL, ("total_trips", "avg_fare", "median_trip_duration_minutes"))}
 from fct left join dates d using (date_key) left join hours h using (time_key)
 left join locations l on l.location_key = fct.pickup_location_key group by 1, 2, 3""")
+oracle("sem_states_all_metrics", settled(
+    f"""select date_trunc('quarter', pickup_datetime)::timestamp as metric_time, trip_type,
+  {_list(METRIC_SQL, [n for n in metrics.TRIPS.metrics if not n.startswith('median')])}
+from fct group by 1, 2""", "avg_trip_speed_mph"))
+oracle("sem_states_joined", f"""
+select d.is_weekend as date__is_weekend, h.time_period as time__time_period,
+  {_list({**METRIC_SQL, **_TRIP_MEASURES},
+         ('total_trips', 'total_revenue', 'max_trip_duration', 'avg_precipitation'), 8)}
+from fct left join dates d using (date_key) left join hours h using (time_key)
+where precipitation_type = 'rain' and d.week_of_year > 4 group by 1, 2""")
+oracle("sem_states_daily", f"""
+select date_trunc('day', pickup_datetime)::timestamp as metric_time,
+  {_list({**METRIC_SQL, **_TRIP_MEASURES}, ('total_revenue', 'total_passengers', 'weekend_trips'), 8)}
+from fct where is_weekend group by 1""")
 oracle("sem_filtered_query", f"""
 select trip_type, day_part,
   {_list(METRIC_SQL, ("total_trips", "avg_trip_duration_minutes", "rush_hour_trip_rate"))}

@@ -16,7 +16,7 @@ from citytrips import rules, schemas
 from citytrips.operators import distinct, facts, gaps, merge, selection, staging
 from citytrips.operators.dedup import keep_first
 from citytrips.operators.dims import dim_time
-from citytrips.plans import metrics, pipeline, quality, reports, semantic, suites
+from citytrips.plans import metrics, pipeline, quality, reports, rollups, semantic, suites
 from citytrips.plans.semantic import query
 from citytrips.sources import columns, ingest, inventory, report, tables, weather, zones
 from citytrips.sources import trips as trip_files
@@ -561,6 +561,38 @@ def sem_metric_values(w: Workspace) -> DataFrame:
     return settle(names.join(values, ["model", "metric"], "left"), "value")
 
 
+def _navigated(w: Workspace, expected, *arguments, **options) -> DataFrame:
+    """A query over kept states; it must not fall back to the fact."""
+    tables = w.semantic_tables()
+    assert rollups.choose(metrics.TRIPS, tables, w.rollups, *arguments, **options) == expected
+    return rollups.navigate(metrics.TRIPS, tables, w.rollups, *arguments, **options)
+
+
+@registered
+def sem_states_all_metrics(w: Workspace) -> DataFrame:
+    """All metrics but the median by mode and quarter, from monthly states."""
+    names = [n for n in metrics.TRIPS.metrics if not n.startswith("median")]
+    return settle(_navigated(w, rollups.TRIP_MONTHS, names, ["metric_time", "trip_type"], "quarter"),
+                  "avg_trip_speed_mph")
+
+
+@registered
+def sem_states_joined(w: Workspace) -> DataFrame:
+    """Measures by weekday and part of the day of joined tables in rain, from hourly states."""
+    names = ["total_trips", "total_revenue", "max_trip_duration", "avg_precipitation"]
+    return settle(_navigated(
+        w, rollups.TRIP_HOURS, names, ["date__is_weekend", "time__time_period"],
+        where="precipitation_type = 'rain' and date__week_of_year > 4", joined=["date__week_of_year"]))
+
+
+@registered
+def sem_states_daily(w: Workspace) -> DataFrame:
+    """Daily revenue and passengers of weekends, from daily states."""
+    return settle(_navigated(
+        w, rollups.MODE_DAYS, ["total_revenue", "total_passengers", "weekend_trips"],
+        ["metric_time"], where="is_weekend"))
+
+
 @registered
 def agg_exact_medians(w: Workspace) -> DataFrame:
     """Medians over all trips and by mode, each by searching the range with the middle."""

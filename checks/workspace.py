@@ -15,8 +15,9 @@ from citytrips.operators.dims import dim_date, dim_location, dim_time, dim_weath
 from citytrips.operators.staging import (
     stg_bike, stg_fhv, stg_weather, stg_yellow, trips_unioned,
 )
-from citytrips.plans import pipeline
+from citytrips.plans import metrics, pipeline, rollups
 from citytrips.session import shared_folder
+from citytrips.sources.tables import stage
 
 
 class Workspace:
@@ -105,6 +106,16 @@ class Workspace:
         first, last = self.dates.agg(F.min(day), F.max(day)).first()
         return time_spine(self.spark, str(first), str(last + timedelta(days=1)))
 
+    @cached_property
+    def rollups(self) -> dict[rollups.Rollup, DataFrame]:
+        """Kept states of the trips: hours from the fact, days and months from the hours."""
+        hours = stage(rollups.build(metrics.TRIPS, self.fct, rollups.TRIP_HOURS), self.scratch("hours"))
+        kept = {rollups.TRIP_HOURS: hours}
+        for coarse in (rollups.TRIP_MONTHS, rollups.MODE_DAYS):
+            kept[coarse] = stage(rollups.derive(
+                metrics.TRIPS, hours, rollups.TRIP_HOURS, coarse), self.scratch(coarse.grain))
+        return kept
+
     def semantic_tables(self) -> dict[str, DataFrame]:
         return {
             "fct_trips": self.fct, "fct_hourly_mobility": self.hourly, "date": self.dates,

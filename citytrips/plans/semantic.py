@@ -116,7 +116,7 @@ def _condition(where: Sequence[tuple[str, object]]) -> Column | None:
     return result
 
 
-class _Plan:
+class Plan:
     """Aggregates a set of metrics needs, each under a column name of its own."""
 
     def __init__(self, model: SemanticModel):
@@ -127,13 +127,16 @@ class _Plan:
     def _aggregate(self, measure: str, where: tuple = ()) -> Column:
         name = "_".join(["", measure, *[f"{k}={v}" for k, v in where]]).replace(".", "_")
         chosen = self.model.measure(measure)
-        value = chosen.value(_condition(where))
         if chosen.agg == "median":
-            self.medians[name] = value
+            self.medians[name] = chosen.value(_condition(where))
         elif name not in self.aggregates:
-            self.aggregates[name] = _AGGREGATES[chosen.agg](value).alias(name)
+            self.aggregates[name] = self.reduce(chosen, _condition(where)).alias(name)
         return F.col(f"`{name}`")
 
+    def reduce(self, measure: Measure, condition: Column | None) -> Column:
+        """The aggregate of a measure over the rows that meet a condition."""
+        return _AGGREGATES[measure.agg](measure.value(condition))
+
     def value(self, name: str) -> Column:
         metric = self.model.metric(name)
         if isinstance(metric, Simple):
@@ -143,7 +146,7 @@ class _Plan:
         return metric.formula(*[self.value(i) for i in metric.inputs])
 
 
-def _join_entities(base: DataFrame, model: SemanticModel, tables: Mapping[str, DataFrame],
+def join_entities(base: DataFrame, model: SemanticModel, tables: Mapping[str, DataFrame],
                    names: Sequence[str]) -> DataFrame:
     """Left-join the dimension tables behind names of the form ``entity__column``.
 
@@ -173,7 +176,8 @@ def _join_entities(base: DataFrame, model: SemanticModel, tables: Mapping[str, D
 def query(model: SemanticModel, tables: Mapping[str, DataFrame], metrics: Sequence[str],
           group_by: Sequence[str] = (), grain: str | None = None, where: str | None = None,
           joined: Sequence[str] = (), order_by: Sequence[str | Column] = (),
-          limit: int | None = None, fill: bool = False) -> DataFrame:
+          limit: int | None = None, fill: bool = False, source: DataFrame | None = None,
+          time: str | None = None, plan: Plan | None = None) -> DataFrame:
     """Evaluate metrics by dimensions.
 
     All metrics come from one ``groupBy().agg()``: a filtered metric aggregates a
@@ -181,23 +185,25 @@ def query(model: SemanticModel, tables: Mapping[str, DataFrame], metrics: Sequen
     aggregates. ``group_by`` takes dimensions of the model, ``metric_time`` (with ``grain``)
     and columns of joined tables as ``entity__column``; ``joined`` names further such
     columns that ``where`` uses. ``fill`` adds the periods of ``tables["spine"]`` without rows.
+    ``source`` with ``time`` and ``plan`` replaces the table of the model, its time column and the
+    way measures are aggregated; see ``rollups``.
     """
     known = {d.name for d in model.dimensions} | {"metric_time"}
     unknown = [g for g in group_by if g not in known and "__" not in g]
     if unknown:
         raise KeyError(f"{model.name} has no dimensions {unknown}")
-    base = _join_entities(tables[model.table], model, tables, [*group_by, *joined])
+    base = join_entities(tables[model.table] if source is None else source, model, tables, [*group_by, *joined])
+    time, plan = time or model.time, plan or Plan(model)
     if where is not None:
         base = base.filter(where)
     grains = {d.name: d.grain for d in model.dimensions}
     keys = []
     for name in group_by:
         if name == "metric_time" or grains.get(name):
-            source = model.time if name == "metric_time" else name
-            keys.append(at_grain(F.col(source), grain or grains[source]).alias(name))
+            named = model.time if name == "metric_time" else name
+            keys.append(at_grain(F.col(time if named == model.time else named), grain or grains[named]).alias(name))
         else:
             keys.append(F.col(name))
-    plan = _Plan(model)
     outputs = [plan.value(m).alias(m) for m in metrics]
     aggregates = list(plan.aggregates.values()) or [F.count(F.lit(1)).alias("_rows")]
     grouped = base.groupBy(*keys).agg(*aggregates)

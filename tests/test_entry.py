@@ -19,6 +19,7 @@ SOME = (
     "src_weather_json", "inc_merge_by_key", "inc_dedup_by_key", "stg_yellow_taxi", "trips_unioned",
     "dim_date", "dim_weather", "dim_location", "fct_trips", "fct_hourly_mobility", "join_star",
     "join_orphan_keys", "fn_numbers", "fn_time", "sem_metric_values", "sem_joined_dimensions",
+    "sem_states_all_metrics", "sem_states_joined", "sem_states_daily",
     "dq_month_status", "dq_date_gaps", "rpt_key_metrics", "rpt_calendar_heatmap",
     "rpt_weather_correlation", "rpt_top_zones", "rpt_raw_weather_ranges",
 )
