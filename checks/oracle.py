@@ -792,6 +792,7 @@ from ({rows})"""
 oracle("dq_declared_tests", _suite_sql(suites.DECLARED))
 oracle("dq_expectations", _suite_sql(suites.EXPECTATIONS))
 oracle("dq_business_rules", _suite_sql(suites.BUSINESS))
+oracle("dq_checked_writes", _suite_sql({t: suites.DECLARED[t] for t in suites.STAGED}))
 oracle("dq_failing_rows",
        "select trip_key, pickup_datetime from fct where dropoff_datetime is null")
 oracle("dq_stored_failures",

@@ -653,6 +653,16 @@ register("dq_duplicates", lambda w: quality.duplicates(
     w.raw("yellow_taxi").withColumn("start", fn.floor_day(F.col("tpep_pickup_datetime"))), "start"))
 
 
+@registered
+def dq_checked_writes(w: Workspace) -> DataFrame:
+    """The staged tables written anew, their rules counted by the tasks that write."""
+    found, results = _checked_tables(w), []
+    for name in suites.STAGED:
+        _, result = quality.write_checked(found[name], w.scratch(name), suites.DECLARED[name], found)
+        results.append(result.withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, results)
+
+
 @registered
 def dq_stored_failures(w: Workspace) -> DataFrame:
     path = w.scratch("failures")

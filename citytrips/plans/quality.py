@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from citytrips import rules as fixed
@@ -119,18 +119,26 @@ def _result(rule: Rule, failing: Column, total: Column) -> Column:
     )
 
 
-def _one_pass(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """All row-level rules of a table in a single aggregation over it."""
-    counts = [
+def _counts(rules: Sequence[Rule]) -> list[Column]:
+    """Rows, and failing rows of each row-level rule."""
+    return [F.count(F.lit(1)).alias("total"), *[
         F.count(F.when(_fails(r), 1)).alias(f"f{i}") if r.kind != "row_count"
-        else F.lit(0).cast("long").alias(f"f{i}")
+        else F.count(F.lit(None)).alias(f"f{i}")
         for i, r in enumerate(rules)
-    ]
-    wide = df.agg(F.count(F.lit(1)).alias("total"), *counts)
+    ]]
+
+
+def _summary(wide: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """A row for each rule, from the one row of all counts."""
     results = [_result(r, F.col(f"f{i}"), F.col("total")) for i, r in enumerate(rules)]
     return wide.select(F.inline(F.array(*results)))
 
 
+def _one_pass(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """All row-level rules of a table in a single aggregation over it."""
+    return _summary(df.agg(*_counts(rules)), rules)
+
+
 def _of_groups(groups: DataFrame, rule: Rule, total: Column) -> DataFrame:
     """Summary of a rule that has failing groups with their row counts in ``n``."""
     stats = groups.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows"))
@@ -138,6 +146,54 @@ def _of_groups(groups: DataFrame, rule: Rule, total: Column) -> DataFrame:
     return stats.select(F.inline(F.array(_result(rule, failing, total))))
 
 
+def _by_kind(rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
+    """Rules of single rows, and those that compare rows."""
+    grouped = [r for r in rules if r.kind in ("unique", "relationship")]
+    return [r for r in rules if r not in grouped], grouped
+
+
+def _combined(parts: list[DataFrame], df: DataFrame, grouped: Sequence[Rule],
+              parents: Mapping[str, DataFrame] | None) -> DataFrame:
+    """Summaries of row-level rules with those of uniqueness and relationships."""
+    unknown = F.lit(None).cast("long")
+    parts = list(parts)
+    for rule in grouped:
+        if rule.kind == "unique":
+            parts.append(_of_groups(duplicates(df, rule.column), rule._replace(mostly=1.0), unknown))
+        else:
+            groups = orphans(df, parents[rule.values[0]], rule.column)
+            parts.append(_of_groups(groups, rule, unknown))
+    return reduce(DataFrame.unionByName, parts).withColumn(
+        "passed", F.coalesce("passed", F.col("failing_rows") == 0))
+
+
+def write_checked(df: DataFrame, path: str, rules: Sequence[Rule],
+                  parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write a frame as Parquet and check it on the way: the written table, and what ``run_suite``
+    returns for it.
+
+    Row-level rules are counted by the tasks that write, so they need no scan of their own. A
+    stage that is repeated after a lost executor may count rows twice; where the observed
+    rows are not those of the files' footers, the rules run over the written table instead.
+    Uniqueness and relationships read their column of the written table.
+    """
+    spark = df.sparkSession
+    row_level, grouped = _by_kind(rules)
+    observed = Observation()
+    df.observe(observed, *_counts(row_level)).write.mode("overwrite").parquet(path)
+    written = spark.read.parquet(path)
+    parts = []
+    if row_level:
+        counts = observed.get
+        if counts["total"] == written.count():
+            names = ["total", *[f"f{i}" for i in range(len(row_level))]]
+            wide = spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+            parts.append(_summary(wide, row_level))
+        else:
+            parts.append(_one_pass(written, row_level))
+    return written, _combined(parts, written, grouped, parents)
+
+
 def run_suite(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None,
               store_failures: str | None = None) -> DataFrame:
     """Run all rules of a table: (kind, column_name, severity, failing_rows, total_rows, passed).
@@ -148,17 +204,8 @@ def run_suite(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFr
     to ``<path>/rows``, by ``rule`` (``<kind>_<column>``) and in one scan, and the failing groups
     of the other rules to ``<path>/<kind>_<column>``.
     """
-    row_level = [r for r in rules if r.kind not in ("unique", "relationship")]
-    parts = [_one_pass(df, row_level)] if row_level else []
-    unknown = F.lit(None).cast("long")
-    for rule in rules:
-        if rule.kind == "unique":
-            parts.append(_of_groups(duplicates(df, rule.column), rule._replace(mostly=1.0), unknown))
-        elif rule.kind == "relationship":
-            groups = orphans(df, parents[rule.values[0]], rule.column)
-            parts.append(_of_groups(groups, rule, unknown))
-    result = reduce(DataFrame.unionByName, parts).withColumn(
-        "passed", F.coalesce("passed", F.col("failing_rows") == 0))
+    row_level, grouped = _by_kind(rules)
+    result = _combined([_one_pass(df, row_level)] if row_level else [], df, grouped, parents)
     if store_failures:
         _store(df, rules, parents, result, store_failures)
     return result

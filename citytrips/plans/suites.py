@@ -7,6 +7,9 @@ from citytrips.plans.quality import (
     Rule, accepted, between, flags, holds, not_null, relationship, row_count, unique,
 )
 
+# Staged tables, whose rules can be checked while they are written.
+STAGED = ("stg_yellow", "stg_fhv", "stg_bike", "stg_weather")
+
 # Tests that run with every build of the models, by table.
 DECLARED: dict[str, list[Rule]] = {
     "stg_yellow": [

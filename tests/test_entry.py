@@ -20,7 +20,7 @@ SOME = (
     "dim_date", "dim_weather", "dim_location", "fct_trips", "fct_hourly_mobility", "join_star",
     "join_orphan_keys", "fn_numbers", "fn_time", "sem_metric_values", "sem_joined_dimensions",
     "sem_states_all_metrics", "sem_states_joined", "sem_states_daily",
-    "dq_month_status", "dq_date_gaps", "rpt_key_metrics", "rpt_calendar_heatmap",
+    "dq_checked_writes", "dq_month_status", "dq_date_gaps", "rpt_key_metrics", "rpt_calendar_heatmap",
     "rpt_weather_correlation", "rpt_top_zones", "rpt_raw_weather_ranges",
 )
 

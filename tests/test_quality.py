@@ -121,3 +121,35 @@ def test_key_health_and_retention(spark):
     assert tuple(quality.key_health(df).first()) == (4, 1, 2)
     assert tuple(quality.retention([df, df], df).first()) == (8, 4, 50.0)
     assert tuple(quality.row_count_between(df, 5, 9).first()) == (4, False)
+
+
+def test_rules_are_counted_while_writing(spark, tmp_path):
+    schema = "k string, n int, c string"
+    rows = [("a", 1, "x"), ("a", 5, None), (None, 50, "z"), ("b", None, "x")]
+    parents = {"p": spark.createDataFrame([("a",)], "k string")}
+    rules = [*not_null("k", "n"), *unique("k"), quality.accepted("c", ["x", "y"]),
+             between("n", 0, 10), between("n", 0, 10, mostly=0.5), row_count(1, 3), row_count(5),
+             holds("small", "n < 20"), relationship("k", "p")]
+    frames = (spark.createDataFrame(rows, schema).repartition(3), spark.createDataFrame([], schema),
+              spark.createDataFrame(rows * 50, schema).repartition("k"))
+    for i, df in enumerate(frames):
+        for j, some in enumerate((rules, rules[:2], [r for r in rules if r.kind in ("unique", "relationship")])):
+            written, result = quality.write_checked(df, f"{tmp_path}/{i}-{j}", some, parents)
+            expected = quality.run_suite(df, some, parents)
+            assert result.dtypes == expected.dtypes
+            assert values(result) == values(expected)
+            assert values(written) == values(df)
+
+
+def test_rows_counted_twice_are_counted_again(spark, tmp_path, monkeypatch):
+    class Doubled(quality.Observation):
+        """As if a stage had been repeated."""
+
+        @property
+        def get(self):
+            return {k: 2 * v for k, v in super().get.items()}
+
+    monkeypatch.setattr(quality, "Observation", Doubled)
+    df = spark.createDataFrame([(1,), (None,), (30,)], "n int")
+    rules = [*not_null("n"), between("n", 0, 10)]
+    assert values(quality.write_checked(df, f"{tmp_path}/t", rules)[1]) == values(quality.run_suite(df, rules))
