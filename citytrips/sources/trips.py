@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citytrips import schemas
@@ -199,14 +201,34 @@ def load_bike_zips(spark: SparkSession, root: str, year: int, months: Sequence[i
     return conform(frame, schemas.RAW_BIKE, extra=True), entries
 
 
+def breaks_within_quotes(lines: DataFrame) -> Column:
+    """Whether a text file may hold a line break within quotes, as an aggregate over its lines.
+
+    A field that goes on in the next line leaves its line with an odd number of quotes, as quotes
+    within quotes are doubled. A stray quote also counts, which costs speed but no rows.
+    """
+    quotes = F.length(lines["value"]) - F.length(F.replace(lines["value"], F.lit('"'), F.lit("")))
+    return F.max(quotes % 2 == 1)
+
+
 def load_bike_csv(spark: SparkSession, root: str, year: int, months: Sequence[int]) -> Loaded:
-    """Read unpacked monthly CSV; Spark splits such files over tasks, unlike archives."""
+    """Read unpacked monthly CSV. Spark splits a file over tasks, unlike archives, except where line
+    breaks stand within quotes: a split reader would take these for ends of rows, so such a month is
+    read by one task a file. One scan of the lines, split over tasks, finds these months.
+    """
+    paths = {m: _path(root, BIKE_CSV, year, m) for m in validate_months(months)}
+    lines = [spark.read.text(p).select("value", F.lit(m).alias("month"))
+             for m, p in paths.items() if exists(spark, p)]
+    broken: dict[int, bool] = {}
+    if lines:
+        found = reduce(DataFrame.unionAll, lines)
+        broken = dict(found.groupBy("month").agg(breaks_within_quotes(found)).collect())
     frames, entries = [], []
-    for month in validate_months(months):
+    for month, path in paths.items():
         try:
-            # A quote within quotes is doubled, and line breaks may stand within quotes.
-            frame = spark.read.options(header="true", escape='"', multiLine="true").csv(
-                _path(root, BIKE_CSV, year, month))
+            # A quote within quotes is doubled.
+            frame = spark.read.options(
+                header="true", escape='"', multiLine=bool(broken.get(month))).csv(path)
             frames.append(conform(normalize_columns(frame), schemas.RAW_BIKE, extra=True))
             entries.append(Entry(year, month, "trips", "success", None))
         except PySparkException as error:
