@@ -1,11 +1,13 @@
-"""Micro-batch merge of raw trips, and hourly counts by mode over an event-time window."""
+"""Micro-batch merge of raw trips, and hourly counts and exact medians by mode over event time."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from citytrips import schemas
 from citytrips.functions import month_key
@@ -44,7 +46,7 @@ HOURLY_KEYS = ("hour_timestamp", "trip_type")
 
 
 def hourly_counts(trips: DataFrame, late: str = "2 hours") -> DataFrame:
-    """Counts, sums and means per tumbling hour and mode; the exact median stays batch work.
+    """Counts, sums and means per tumbling hour and mode; exact medians are ``hourly_medians``.
 
     State is one row per open hour and mode; the watermark drops hours that have closed.
     A watermark needs a zoned column, so run this in a session with a zone without clock
@@ -73,10 +75,23 @@ def hourly_stream(spark: SparkSession, landing: str, path: str, checkpoint: str,
     Trips are combined in the map tasks, so few rows per hour and mode reach the state. It
     gets its own small number of partitions, which the first run of a checkpoint fixes.
     """
+    session = _state_session(spark, state_partitions)
+    counts = hourly_counts(read_stream(session, landing, schema, files_per_batch), late)
+    return _upsert_hours(spark, counts, "update", path, checkpoint)
+
+
+def _state_session(spark: SparkSession, partitions: int, **settings: str) -> SparkSession:
     session = spark.newSession()
-    for name, value in (("spark.sql.shuffle.partitions", state_partitions),
-                        ("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))):
+    for name, value in {"spark.sql.shuffle.partitions": str(partitions),
+                        "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
+                        **settings}.items():
         session.conf.set(name, value)
+    return session
+
+
+def _upsert_hours(spark: SparkSession, hours: DataFrame, mode: str, path: str,
+                  checkpoint: str) -> StreamingQuery:
+    """Keep a table of hours and modes; a batch repeated after a failure changes nothing."""
 
     def upsert(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
@@ -85,8 +100,94 @@ def hourly_stream(spark: SparkSession, landing: str, path: str, checkpoint: str,
         # Landed, as the merge reads it several times.
         merge_into(spark, path, stage(monthly, f"{checkpoint}-batch"), HOURLY_KEYS)
 
-    counts = hourly_counts(read_stream(session, landing, schema, files_per_batch), late)
     return (
-        counts.writeStream.outputMode("update").foreachBatch(upsert)
+        hours.writeStream.outputMode(mode).foreachBatch(upsert)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+class OpenHours(StatefulProcessor):
+    """Value counts of the open hours of each mode; an hour is given out once, when the watermark
+    has passed its end, and then forgotten.
+
+    The state of an hour is a list of (measure, value, rows), to which a batch appends its own counts
+    without reading the earlier ones. So the state grows with the different values of a batch.
+    """
+
+    def __init__(self, measures: Sequence[str]):
+        self.measures = list(measures)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getListState("counts", "measure string, value double, rows bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        from collections import Counter
+
+        seen: Counter = Counter()
+        for frame in rows:
+            seen["", 0.0] += len(frame)  # all trips, also those without a value
+            for measure in self.measures:
+                for value, n in frame[measure].value_counts().items():
+                    seen[measure, float(value) + 0.0] += int(n)
+        if not self.counts.exists():
+            self.handle.registerTimer(key[0] + 3_600_000)
+        self.counts.appendList([(m, v, n) for (m, v), n in seen.items()])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
+        import pandas as pd
+
+        held = pd.DataFrame(self.counts.get(), columns=["measure", "value", "rows"])
+        row = {"hour_ms": key[0], "trip_type": key[1],
+               "trip_count": int(held.loc[held["measure"] == "", "rows"].sum())}
+        for measure in self.measures:
+            counted = held[held["measure"] == measure].groupby("value")["rows"].sum().sort_index()
+            row[measure] = _middle(counted.index.to_numpy(), counted.cumsum().to_numpy())
+        self.counts.clear()
+        yield pd.DataFrame([row])
+
+    def close(self) -> None:
+        pass
+
+
+def _middle(values, upto) -> float | None:
+    """Median of sorted different values, given how many there are up to each."""
+    if not len(values):
+        return None
+    last = int(upto[-1]) - 1
+    low, high = (values[upto.searchsorted(place, "right")] for place in (last // 2, (last + 1) // 2))
+    return float(low) * 0.5 + float(high) * 0.5
+
+
+def hourly_medians(trips: DataFrame, measures: Sequence[str], late: str = "2 hours") -> DataFrame:
+    """Exact medians and counts of every closed hour and mode, each given out once.
+
+    A trip whose time lies behind the watermark is left out, one that is late by less counts in full.
+    Needs the RocksDB state store and, as ``hourly_counts``, a zone without clock changes.
+    """
+    values = [F.col(m).cast("double").alias(m) for m in measures]
+    zoned = trips.select(F.col("pickup_datetime").cast("timestamp").alias("event_time"), "trip_type", *values)
+    hour = F.unix_millis(F.date_trunc("hour", "event_time")).alias("hour_ms")
+    medians = ", ".join(f"`{m}` double" for m in measures)
+    closed = zoned.withWatermark("event_time", late).withColumn("hour_ms", hour).groupBy(
+        "hour_ms", "trip_type").transformWithStateInPandas(
+        OpenHours(measures), f"hour_ms bigint, trip_type string, trip_count bigint, {medians}",
+        "Append", "EventTime")
+    return closed.select(
+        F.timestamp_millis("hour_ms").cast("timestamp_ntz").alias("hour_timestamp"), "trip_type",
+        "trip_count", *[F.col(m).alias(f"median_{m}") for m in measures])
+
+
+def median_stream(spark: SparkSession, landing: str, path: str, checkpoint: str,
+                  schema: T.StructType, measures: Sequence[str], late: str = "2 hours",
+                  files_per_batch: int | None = None, state_partitions: int = 16) -> StreamingQuery:
+    """Keep a table of exact medians of closed hours from arriving files of unified trips.
+
+    The open hours are kept in the checkpoint, so a stream that is started again goes on with them.
+    """
+    session = _state_session(spark, state_partitions, **{
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
+    medians = hourly_medians(read_stream(session, landing, schema, files_per_batch), measures, late)
+    return _upsert_hours(spark, medians, "append", path, checkpoint)

@@ -54,3 +54,26 @@ def test_hourly_stream_updates_open_hours_and_drops_late_rows(spark, tmp_path):
     assert run(20, 60) == [(8, 3, 6.0), (9, 1, 2.0)]
     assert run(600) == [(18, 1, 2.0), (8, 3, 6.0), (9, 1, 2.0)]
     assert run(5) == [(18, 1, 2.0), (8, 3, 6.0), (9, 1, 2.0)]  # behind the watermark
+
+
+def test_medians_of_closed_hours_with_late_rows_and_restarts(spark, tmp_path):
+    landing, path, checkpoint = (str(tmp_path / n) for n in ("landing", "path", "checkpoint"))
+
+    def run(*trips):
+        """Each call is a restart with one more file."""
+        spark.createDataFrame(
+            [(mode, START + timedelta(minutes=m), 1.0, v) for mode, m, v in trips], TRIPS
+        ).coalesce(1).write.mode("append").parquet(landing)
+        stream.median_stream(spark, landing, path, checkpoint, spark.read.parquet(landing).schema,
+                             ["trip_distance"], state_partitions=2).awaitTermination()
+        found = read_table(spark, path)
+        return [] if found is None else values(
+            found, F.hour("hour_timestamp"), "trip_type", "trip_count", "median_trip_distance")
+
+    assert run(("fhv", 0, 1.0), ("fhv", 5, 9.0), ("bike", 1, None), ("bike", 2, None)) == []
+    assert run(("fhv", 60, 4.0), ("fhv", 10, 2.0), ("fhv", 11, 2.0)) == []  # late, the hour is open
+    first = [(8, "bike", 2, None), (8, "fhv", 4, 2.0)]
+    assert run(("fhv", 61, 5.0), ("bike", 180, -0.0), ("bike", 181, 0.5)) == first
+    assert run(("fhv", 20, 99.0)) == first  # behind the watermark
+    last = run(("fhv", 6000, 1.0))
+    assert last == sorted([*first, (9, "fhv", 2, 4.5), (11, "bike", 2, 0.25)], key=repr)
