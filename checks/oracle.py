@@ -333,6 +333,27 @@ def settled(body: str, *columns: str) -> str:
 oracle("src_yellow_months", "select * from raw_yellow")
 oracle("src_fhv_months", "select * from raw_fhv")
 oracle("src_bike_csv", "select * from raw_bike")
+oracle("src_bike_archives", "select * from raw_bike")
+oracle("src_archive_report", """
+select year(m)::int as year, month(m)::int as month, 'trips' as source,
+  if(n = 0, 'failed', 'success') as status, n as rows
+from (select date_trunc('month', started_at) as m, count(*) as n from raw_bike group by 1
+      union all select max(date_trunc('month', started_at)) + interval 1 month, 0 from raw_bike)""")
+oracle("src_refused_weather", """
+select y::int as year, m::int as month,
+  if(y * 100 + m in (select ym from held) and (y * 100 + m) % 5 > 1, 'success', 'failed') as status,
+  case when y * 100 + m not in (select ym from held) then 'PATH_NOT_FOUND'
+       when (y * 100 + m) % 5 < 2 then 'no hourly data' end as error
+from (select distinct ym // 100 as y from held) a cross join range(1, 13) b(m)""",
+       held="""select distinct year("timestamp") * 100 + month("timestamp") as ym from raw_weather""")
+oracle("src_known_files", settled("""
+select mb as size_mb, avg(mb) over () as avg_size_mb, min(mb) over () as min_size_mb,
+  max(mb) over () as max_size_mb, (mb - avg(mb) over ()) * 100 / avg(mb) over () as pct_from_avg,
+  abs((mb - avg(mb) over ()) * 100 / avg(mb) over ()) > 20 as is_deviating,
+  mb < 0.0012 as is_suspicious
+from (select sum(length(dispatching_base_num) + 1)::double / 1048576 as mb
+      from raw_fhv group by date_trunc('month', pickup_datetime))""",
+       "size_mb", "avg_size_mb", "min_size_mb", "max_size_mb", "pct_from_avg"))
 oracle("src_weather_json", "select * from raw_weather")
 oracle("src_zones_csv", "select * from raw_zones")
 oracle("src_schema_evolution", """
@@ -1105,6 +1126,23 @@ from trips group by 1""")
 # --- streams ------------------------------------------------------------------------------------------
 
 oracle("str_merge_bike", "select * from raw_bike")
+oracle("str_bike_archives", "select * from raw_bike")
+oracle("inc_monthly_runs", """
+select step, month::int as month,
+  case when step = 'older' then 'error_no_data' when step <> 'backfill' then 'validated'
+       when month in (2, 4) then 'successful' else 'kept' end as status,
+  if(step = 'older', 0, (select count(*) from trips
+    where year(pickup_datetime) = 1996 and month(pickup_datetime) = s.month
+      and trip_type <> 'citibike'))::bigint as trips
+from (values ('first', 3), ('again', 3), ('later', 5), ('older', 2), ('backfill', 2),
+             ('backfill', 3), ('backfill', 4), ('backfill', 5)) s(step, month)""")
+oracle("str_hourly_medians", """
+select date_trunc('hour', pickup_datetime) as hour_timestamp, trip_type, count(*) as trip_count,
+  median(revenue) as median_revenue, median(trip_distance) as median_trip_distance
+from trips
+where date_trunc('hour', pickup_datetime) + interval 1 hour
+  <= (select max(pickup_datetime) - interval 2 hour from trips)
+group by 1, 2""")
 oracle("str_hourly_counts", """
 select date_trunc('hour', pickup_datetime) as hour_timestamp, trip_type, count(*) as trip_count,
   sum(revenue) as total_revenue, avg(trip_distance) as avg_trip_distance_miles

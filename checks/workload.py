@@ -12,13 +12,13 @@ from pyspark.sql import types as T
 from checks import landing
 from checks.workspace import Workspace, workspace
 from citytrips import functions as fn
-from citytrips import rules, schemas
+from citytrips import fixtures, rules, schemas
 from citytrips.operators import distinct, facts, gaps, merge, selection, staging
 from citytrips.operators.dedup import keep_first
 from citytrips.operators.dims import dim_time
 from citytrips.plans import metrics, pipeline, quality, reports, rollups, semantic, suites
 from citytrips.plans.semantic import query
-from citytrips.sources import columns, ingest, inventory, report, tables, weather, zones
+from citytrips.sources import archives, columns, ingest, inventory, report, tables, weather, zones
 from citytrips.sources import trips as trip_files
 from citytrips.streaming import hourly as stream
 
@@ -125,6 +125,34 @@ def src_file_inventory(w: Workspace) -> DataFrame:
     return inventory.file_inventory(w.spark, landing.yellow(w), "*.parquet")
 
 
+@registered
+def src_known_files(w: Workspace) -> DataFrame:
+    """The inventory of files whose sizes follow from the trips of their months."""
+    found = inventory.file_inventory(w.spark, landing.month_files(w), "*.txt", 20.0, 0.0012)
+    return settle(found.drop("file_name", "last_modified"))
+
+
+@registered
+def src_bike_archives(w: Workspace) -> DataFrame:
+    return archives.trips_of(archives.read_archives(w.spark, landing.bike_archives(w)))
+
+
+@registered
+def src_archive_report(w: Workspace) -> DataFrame:
+    """Months of the archives, one of them cut short."""
+    rows = archives.read_archives(w.spark, landing.bike_archives(w, spoilt=True))
+    return archives.archive_report(w.spark, rows).select("year", "month", "source", "status", "rows")
+
+
+@registered
+def src_refused_weather(w: Workspace) -> DataFrame:
+    """All months of the years with weather; documents without hours are refused."""
+    folder, entries = landing.refused_weather(w), []
+    for year in landing.months(w, folder):
+        entries += weather.load_weather(w.spark, folder, year, ALL_MONTHS)[1]
+    return report.report_frame(w.spark, entries).select("year", "month", "status", "error")
+
+
 @registered
 def src_staging_zone(w: Workspace) -> DataFrame:
     staged = tables.stage(w.raw("fhv_taxi"), w.scratch("stage"))
@@ -216,6 +244,24 @@ def inc_weather_changes(w: Workspace) -> DataFrame:
     return settle(store.table("fct_hourly_mobility"))
 
 
+@registered
+def inc_monthly_runs(w: Workspace) -> DataFrame:
+    """Monthly runs on landed files: a month, the same again, a later one, an older one, which the
+    high-water mark passes over, and a backfill of that one and another."""
+    folder = landing.taxi_and_weather(w, 1996)
+    store = pipeline.Store(w.spark, w.scratch("runs"), fixtures.MIN_PICKUP)
+    rows, sources = [], ["taxi", "weather"]
+    for step, month in (("first", 3), ("again", 3), ("later", 5), ("older", 2)):
+        found = pipeline.run_month(store, folder, 1996, month, sources)
+        rows.append((step, month, found.status, found.total_trips))
+    summary = pipeline.backfill(store, folder, 1996, [2, 4], sources)
+    loaded = store.table("fct_trips").groupBy("pickup_month").count()
+    counts = {r["pickup_month"]: r["count"] for r in loaded.collect()}  # a row per month
+    status = {m: kind for kind in ("successful", "failed") for m in summary[kind]}
+    rows += [("backfill", m - 199600, status.get(m - 199600, "kept"), n) for m, n in counts.items()]
+    return w.spark.createDataFrame(rows, "step string, month int, status string, trips bigint")
+
+
 @registered
 def inc_dedup_by_key(w: Workspace) -> DataFrame:
     items = w.spark.read.parquet(f"{w.folder}/lineitem.parquet")
@@ -749,6 +795,36 @@ def str_merge_bike(w: Workspace) -> DataFrame:
     return ingest.raw_table(w.spark, root, "trips").drop(tables.MONTH)
 
 
+@registered
+def str_bike_archives(w: Workspace) -> DataFrame:
+    """Archives merged by a stream that is started again, the second time with a cut one."""
+    root, checkpoint = w.scratch("archived"), w.scratch("checkpoint")
+    for spoilt in (False, True):
+        archives.merge_archives(w.spark, landing.bike_archives(w, spoilt), root,
+                                checkpoint).awaitTermination()
+    return ingest.raw_table(w.spark, root, "trips").drop(tables.MONTH)
+
+
+@registered
+def str_hourly_medians(w: Workspace) -> DataFrame:
+    """Three batches, each a restart: half of the last hour before the first cut comes with the
+    second batch; trips before 1996 come again with the third, behind the watermark."""
+    folder, path, checkpoint = w.scratch("arriving"), w.scratch("medians"), w.scratch("checkpoint")
+    trips = w.trips().select("trip_type", "pickup_datetime", "revenue", "trip_distance")
+    at = F.col("pickup_datetime")
+    late = (at >= ntz("1996-12-31 23:00:00")) & (at < ntz("1997-01-01")) & (F.minute(at) % 2 == 1)
+    batches = (
+        trips.filter((at < ntz("1997-01-01")) & ~late),
+        trips.filter(late | ((at >= ntz("1997-01-01")) & (at < ntz(CUT)))),
+        trips.filter((at >= ntz(CUT)) | (at < ntz("1996-01-01"))),
+    )
+    for batch in batches:
+        batch.write.mode("append").parquet(folder)
+        stream.median_stream(w.spark, folder, path, checkpoint, batch.schema,
+                             ["revenue", "trip_distance"]).awaitTermination()
+    return tables.read_table(w.spark, path).drop(tables.MONTH)
+
+
 @registered
 def str_hourly_counts(w: Workspace) -> DataFrame:
     folder, path = w.scratch("arriving"), w.scratch("hourly")

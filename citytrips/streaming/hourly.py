@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,14 +123,11 @@ class OpenHours(StatefulProcessor):
         self.counts = handle.getListState("counts", "measure string, value double, rows bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        from collections import Counter
-
         seen: Counter = Counter()
         for frame in rows:
             seen["", 0.0] += len(frame)  # all trips, also those without a value
             for measure in self.measures:
-                for value, n in frame[measure].value_counts().items():
-                    seen[measure, float(value) + 0.0] += int(n)
+                seen.update((measure, v + 0.0) for v in frame[measure].tolist() if v == v and v is not None)
         if not self.counts.exists():
             self.handle.registerTimer(key[0] + 3_600_000)
         self.counts.appendList([(m, v, n) for (m, v), n in seen.items()])
@@ -138,12 +136,11 @@ class OpenHours(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
         import pandas as pd
 
-        held = pd.DataFrame(self.counts.get(), columns=["measure", "value", "rows"])
-        row = {"hour_ms": key[0], "trip_type": key[1],
-               "trip_count": int(held.loc[held["measure"] == "", "rows"].sum())}
-        for measure in self.measures:
-            counted = held[held["measure"] == measure].groupby("value")["rows"].sum().sort_index()
-            row[measure] = _middle(counted.index.to_numpy(), counted.cumsum().to_numpy())
+        held = {measure: Counter() for measure in ["", *self.measures]}
+        for measure, value, n in self.counts.get():
+            held[measure][value] += n
+        row = {"hour_ms": key[0], "trip_type": key[1], "trip_count": held[""].total()}
+        row |= {measure: _middle(held[measure]) for measure in self.measures}
         self.counts.clear()
         yield pd.DataFrame([row])
 
@@ -151,13 +148,15 @@ class OpenHours(StatefulProcessor):
         pass
 
 
-def _middle(values, upto) -> float | None:
-    """Median of sorted different values, given how many there are up to each."""
-    if not len(values):
-        return None
-    last = int(upto[-1]) - 1
-    low, high = (values[upto.searchsorted(place, "right")] for place in (last // 2, (last + 1) // 2))
-    return float(low) * 0.5 + float(high) * 0.5
+def _middle(counted: Counter) -> float | None:
+    """Median of counted values."""
+    last, upto, found = counted.total() - 1, 0, []
+    for value in sorted(counted):
+        upto += counted[value]
+        found += [value for place in (last // 2, (last + 1) // 2)[len(found):] if place < upto]
+        if len(found) == 2:
+            return found[0] * 0.5 + found[1] * 0.5
+    return None
 
 
 def hourly_medians(trips: DataFrame, measures: Sequence[str], late: str = "2 hours") -> DataFrame:

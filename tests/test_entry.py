@@ -16,7 +16,7 @@ from conftest import FOLDER
 
 WITHOUT_SQL = {"src_file_inventory"}
 SOME = (
-    "src_weather_json", "inc_merge_by_key", "inc_dedup_by_key", "stg_yellow_taxi", "trips_unioned",
+    "src_weather_json", "src_known_files", "src_archive_report", "inc_merge_by_key", "inc_dedup_by_key", "stg_yellow_taxi", "trips_unioned",
     "dim_date", "dim_weather", "dim_location", "fct_trips", "fct_hourly_mobility", "join_star",
     "join_orphan_keys", "fn_numbers", "fn_time", "sem_metric_values", "sem_joined_dimensions",
     "sem_states_all_metrics", "sem_states_joined", "sem_states_daily",
