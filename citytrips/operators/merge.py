@@ -14,9 +14,20 @@ from citytrips.functions import floor_hour
 from citytrips.operators.dedup import keep_first
 
 
-def without_keys_of(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of target whose key does not occur in batch; a null matches a null."""
+#: Keys of a batch that may be broadcast, some megabytes.
+FEW_KEYS = 100_000
+
+
+def without_keys_of(target: DataFrame, batch: DataFrame, keys: Sequence[str],
+                    few: bool = False) -> DataFrame:
+    """Rows of target whose key does not occur in batch; a null matches a null.
+
+    Keys are sent through the driver to all tasks only where the caller knows them to be
+    ``few``. Spark would judge by the files' size, and keys that compress well take ten
+    times that in memory.
+    """
     gone = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    gone = F.broadcast(gone) if few else gone.hint("merge")
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     return target.join(gone, same, "left_anti")
 

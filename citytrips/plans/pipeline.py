@@ -182,8 +182,8 @@ def replace(store: Store, name: str, batch: DataFrame, key: str,
             movable: tuple[str, ...] | None, order_by: Sequence[str]) -> DataFrame:
     """Delete+insert a batch by key; only the months concerned are rewritten. Returns the batch.
 
-    The batch is landed first: it is read several times, and its size on disk lets Spark
-    decide whether its keys can be broadcast to the target. A batch with other columns, or
+    The batch is landed first: it is read several times, and its footers tell whether its
+    keys are few enough to be broadcast to the target. A batch with other columns, or
     other types, than the table changes the table: all its months follow.
     """
     path = store.path(name)

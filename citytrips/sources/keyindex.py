@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citytrips.operators.merge import FEW_KEYS
+
 MONTH = "pickup_month"
 #: Keys of a bucket and buckets of an index, about, when it is built.
 BUCKET_KEYS, MOST_BUCKETS = 1 << 20, 4096
@@ -91,9 +93,12 @@ def possible(spark: SparkSession, path: str, hashes: DataFrame, blocks: int) ->
 def held(spark: SparkSession, path: str, hashes: DataFrame, blocks: int) -> DataFrame:
     """Hash and month that the index has for some of the hashes; other buckets are not read."""
     asked = possible(spark, path, hashes, blocks)
-    buckets = [r[0] for r in asked.select("bucket").distinct().collect()]  # at most MOST_BUCKETS
-    known = spark.read.schema(_HASHES).parquet(f"{folder(path)}/hashes").where(F.col("bucket").isin(buckets))
-    return known.join(asked.select("h"), "h", "left_semi").select("h", MONTH)
+    buckets = dict(asked.groupBy("bucket").count().collect())  # at most MOST_BUCKETS
+    known = spark.read.schema(_HASHES).parquet(f"{folder(path)}/hashes").where(F.col("bucket").isin(list(buckets)))
+    wanted = asked.select("h")
+    # a reload asks for as many hashes as the table has rows; only few may go through the driver
+    wanted = F.broadcast(wanted) if sum(buckets.values()) <= FEW_KEYS else wanted.hint("merge")
+    return known.join(wanted, "h", "left_semi").select("h", MONTH)
 
 
 def months_and_note(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]) -> set:
@@ -105,7 +110,8 @@ def months_and_note(spark: SparkSession, path: str, batch: DataFrame, keys: Sequ
     months = {r[0] for r in known.select(MONTH).distinct().collect()}  # one row a month
     fresh = hashes
     if months:
-        there = known.select(F.col("h").alias("_h"), F.col(MONTH).alias("_month"))
+        # as many as the batch has keys, so never broadcast
+        there = known.select(F.col("h").alias("_h"), F.col(MONTH).alias("_month")).hint("merge")
         fresh = hashes.join(there, (F.col("h") == F.col("_h")) & F.col(MONTH).eqNullSafe(F.col("_month")), "left_anti")
     _append(spark, path, fresh, buckets, blocks)
     return months

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citytrips.operators.merge import without_keys_of
+from citytrips.operators.merge import FEW_KEYS, without_keys_of
 from citytrips.sources import keyindex
 
 MONTH = "pickup_month"
@@ -138,7 +138,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
     if target is None:
         overwrite_months(batch, path, order_by)
         return
-    kept = without_keys_of(target, batch, keys)
+    kept = without_keys_of(target, batch, keys, few=batch.count() <= FEW_KEYS)
     # A month that loses all its rows is not part of the result, so the write leaves it alone.
     emptied = moved_from - _months_of(kept) if moved_from else set()
     overwrite_months(kept.unionByName(batch, allowMissingColumns=True), path, order_by)

@@ -188,3 +188,31 @@ def test_materialisation_modes(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.materialize(df, "other", "made")
     assert tables.read_table(spark, str(tmp_path / "nothing")) is None
+
+
+def test_keys_of_a_large_batch_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """A landed batch whose files are small enough for Spark to broadcast its keys."""
+    monkeypatch.setattr(tables, "FEW_KEYS", 1)
+    monkeypatch.setattr(keyindex, "FEW_KEYS", 1)
+    plans, plain = [], tables.without_keys_of
+
+    def seen(*arguments, **options):
+        plans.append(plain(*arguments, **options))
+        return plans[-1]
+
+    monkeypatch.setattr(tables, "without_keys_of", seen)
+    path = str(tmp_path / "t")
+    batch = tables.stage(rows(spark, ("a", A, 1), ("b", A, 2)).withColumn(tables.MONTH, F.lit(202501)),
+                         str(tmp_path / "batch"))
+    for _ in range(2):
+        tables.merge_into(spark, path, batch, ["k"], ())
+    assert values(spark.read.parquet(path), "k", "v") == [("a", 1), ("b", 2)]
+    hashes = keyindex._dealt(keyindex.hashed(batch, ["k"]), 1)
+    found = keyindex.held(spark, path, hashes, 1)
+    assert found.count() == 2
+    for plan in (plans[-1], found):
+        executed = plan._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin [k" not in executed and "BroadcastHashJoin [h" not in executed
+        assert "SortMergeJoin" in executed
+    few = plain(batch, batch, ["k"], few=True)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in few
