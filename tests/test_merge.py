@@ -216,3 +216,24 @@ def test_keys_of_a_large_batch_are_not_broadcast(spark, tmp_path, monkeypatch):
         assert "SortMergeJoin" in executed
     few = plain(batch, batch, ["k"], few=True)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in few
+
+
+def test_months_replaced_whole_shuffle_keys_only(spark, tmp_path, monkeypatch):
+    """All rows come again, one of them in another month: the table's rows are not joined."""
+    monkeypatch.setattr(tables, "FEW_KEYS", 0)
+    joined, plain = [], tables.without_keys_of
+
+    def seen(target, *arguments, **options):
+        joined.append(target.columns)
+        return plain(target, *arguments, **options)
+
+    monkeypatch.setattr(tables, "without_keys_of", seen)
+    path, month = str(tmp_path / "t"), F.month("t").cast("int") + 202500
+    first = rows(spark, ("a", A, 1), ("b", B, 2)).withColumn(tables.MONTH, month)
+    tables.merge_into(spark, path, tables.stage(first, str(tmp_path / "one")), ["k"], ())
+    again = rows(spark, ("a", A, 3), ("b", A, 4)).withColumn(tables.MONTH, month)
+    tables.merge_into(spark, path, tables.stage(again, str(tmp_path / "two")), ["k"], ())
+    assert joined == [["k"]]
+    spark.catalog.refreshByPath(path)
+    assert values(spark.read.parquet(path), "k", "v", tables.MONTH) == [("a", 3, 202501), ("b", 4, 202501)]
+    assert tables.months_present(spark, path) == {202501}

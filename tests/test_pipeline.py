@@ -201,3 +201,32 @@ def test_months_are_written_by_few_tasks_under_either_join(spark, landing, tmp_p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(list((tmp_path / "store/core/fct_trips").glob("*/part-*"))) == 3
+
+
+def test_trips_travel_narrow_and_unchanged(spark, folder):
+    """Digests, other ids and missing ones come through the rebalance as they were."""
+    from checks.workspace import Workspace
+
+    trips = Workspace(spark, folder).trips()
+    odd = spark.createDataFrame([(x, None) for x in ("R1", "AB", "abc", "", None, "0a")], "trip_id string, m string")
+    odd = odd.select("trip_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in trips.schema.fields[1:]])
+    both = trips.unionByName(odd)
+    dealt = pipeline.dealt_by_month(both)
+    assert dealt.columns == both.columns
+    assert both.exceptAll(dealt).isEmpty() and dealt.exceptAll(both).isEmpty()
+
+
+def test_build_shuffles_no_weather_of_trips(spark, folder, tmp_path, monkeypatch):
+    from citytrips.fixtures import ProjectedStore
+
+    store, written = ProjectedStore(spark, str(tmp_path), folder), []
+    monkeypatch.setattr(pipeline, "write_table", lambda df, *a, **k: written.append((df, k)))
+    weather = store.weather()
+    for limit in (10 ** 6, 0):
+        monkeypatch.setattr(pipeline, "FEW_HOURS", limit)
+        pipeline.write_trips(store, weather)
+    assert [k["dealt"] for _, k in written] == [True, False]
+    plan = written[0][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "temp_category" not in plan[plan.index("RebalancePartitions"):plan.index("Union")]
+    few, many = (df.drop("pickup_month") for df, _ in written)
+    assert few.exceptAll(many).isEmpty() and few.count() == many.count()
