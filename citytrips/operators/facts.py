@@ -89,12 +89,21 @@ def fct_trips(trips: DataFrame, weather: DataFrame) -> DataFrame:
     )
 
 
-def with_weather(fct: DataFrame, weather: DataFrame) -> DataFrame:
-    """Rows of the trip fact with the weather attributes of the given weather instead of theirs."""
-    attributes = weather.select(
-        "timestamp", *[F.col(old).alias(new) for new, old in TRIP_WEATHER.items()]
-    )
-    return join_weather(fct.drop(*TRIP_WEATHER), attributes).select(*fct.columns)
+def with_weather(fct: DataFrame, weather: DataFrame, changed: DataFrame, few: bool) -> DataFrame:
+    """The trip fact with the attributes of the given weather in the ``hour`` values of changed.
+
+    Other trips keep theirs; a changed hour the weather lacks has none. ``few`` hours are
+    broadcast, so that the trips stay where they are.
+    """
+    attributes = weather.select(floor_hour(F.col("timestamp")).alias("_hour"), *[
+        F.col(old).alias(f"_{new}") for new, old in TRIP_WEATHER.items()])
+    hours = changed.select(F.col("hour").alias("_hour")).distinct()
+    present = hours.join(attributes, "_hour", "left").withColumn("_changed", F.lit(True))
+    joined = fct.withColumn("_hour", floor_hour(F.col("pickup_datetime"))).join(
+        F.broadcast(present) if few else present, "_hour", "left")
+    return joined.select(*[
+        F.when(F.col("_changed"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+        if c in TRIP_WEATHER else c for c in fct.columns])
 
 
 def _count_if(condition: Column) -> Column:

@@ -24,7 +24,8 @@ from citytrips.plans.quality import duplicates
 from citytrips.sources.ingest import DEFAULT_SOURCES, ingest, raw_table
 from citytrips.sources.months import month_bounds
 from citytrips.sources.tables import (
-    MONTH, ensure_index, exists, merge_into, months_present, read_table, stage, write_table,
+    MONTH, ensure_index, exists, merge_into, months_of, months_present, overwrite_months, read_table,
+    stage, write_table,
 )
 
 
@@ -106,22 +107,30 @@ def repair_weather(store: Store, weather: DataFrame) -> None:
     """Bring trips and hours of the facts up to the present weather, only where it changed.
 
     The digests of the weather the facts were last brought up to are kept beside them and
-    written last, so an interrupted repair is done again. Months without a changed hour are
-    neither read nor written.
+    written last, so an interrupted repair is done again. Months without a trip in a changed hour
+    are not written. The other months are written anew as they are read, trip by trip: no key is
+    compared and no trip is shuffled.
     """
     spark = store.spark
     changed = stage(changed_hours(weather, store.table(DIGESTS)), f"{store.root}/staging/hours")
     months = {r[0] for r in changed.select(month_key(F.col("hour"))).distinct().collect()}
     present = months & months_present(spark, store.path("fct_trips"))
     if present:
-        hour = floor_hour(F.col("pickup_datetime"))
-        fct = store.table("fct_trips").filter(F.col(MONTH).isin(sorted(present)))
-        stale = fct.withColumn("hour", hour).join(changed, "hour", "left_semi").drop("hour")
-        # Landed, as the merge reads the rows several times and replaces them meanwhile.
-        fresh = stage(with_weather(stale, weather), f"{store.root}/staging/repaired")
-        merge_into(spark, store.path("fct_trips"), fresh, ["trip_key"], None, TRIP_ORDER)
-        hours = stage(fct_hourly(fresh), f"{store.root}/staging/repaired_hours")
-        merge_into(spark, store.path("fct_hourly_mobility"), hours, ["hour_timestamp"], None, HOUR_ORDER)
+        few = changed.count() <= FEW_HOURS
+
+        def stale(months: set) -> DataFrame:
+            fct = store.table("fct_trips").filter(F.col(MONTH).isin(sorted(months)))
+            hours = F.broadcast(changed) if few else changed
+            return fct.withColumn("hour", floor_hour(F.col("pickup_datetime"))).join(
+                hours, "hour", "left_semi").drop("hour")
+
+        touched = months_of(stale(present))
+        if touched:
+            fct = store.table("fct_trips").filter(F.col(MONTH).isin(sorted(touched)))
+            overwrite_months(with_weather(fct, weather, changed, few), store.path("fct_trips"),
+                             TRIP_ORDER, dealt=few)
+            hours = stage(fct_hourly(stale(touched)), f"{store.root}/staging/repaired_hours")
+            merge_into(spark, store.path("fct_hourly_mobility"), hours, ["hour_timestamp"], None, HOUR_ORDER)
     if not changed.isEmpty() or store.table(DIGESTS) is None:
         write_table(weather_digests(weather), store.path(DIGESTS))
 

@@ -64,9 +64,9 @@ def _write_months(df: DataFrame, path: str, column: str, order_by: Sequence[str]
        .partitionBy(column).parquet(path, compression=CODEC))
 
 
-def overwrite_months(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+def overwrite_months(df: DataFrame, path: str, order_by: Sequence[str] = (), dealt: bool = False) -> None:
     """Replace only the months that occur in df; it may read the same table."""
-    _write_months(df, path, MONTH, order_by, "dynamic")
+    _write_months(df, path, MONTH, order_by, "dynamic", dealt)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -103,7 +103,7 @@ def months_present(spark: SparkSession, path: str) -> set:
     return out
 
 
-def _months_of(df: DataFrame) -> set:
+def months_of(df: DataFrame) -> set:
     """Distinct months; one small value per calendar month reaches the driver."""
     return {row[0] for row in df.select(MONTH).distinct().collect()}
 
@@ -134,7 +134,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
     if not exists(spark, path):
         write_table(batch, path, MONTH, order_by)
         return
-    months, moved_from = _months_of(batch), set()
+    months, moved_from = months_of(batch), set()
     if movable is not None:
         ensure_index(spark, path, keys, movable)
         moved_from = keyindex.months_and_note(spark, path, _movable_rows(batch, movable), keys) - months
@@ -150,7 +150,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
         return
     kept = without_keys_of(target, batch, keys, few)
     # A month that loses all its rows is not part of the result, so the write leaves it alone.
-    emptied = moved_from - _months_of(kept) if moved_from else set()
+    emptied = moved_from - months_of(kept) if moved_from else set()
     overwrite_months(kept.unionByName(batch, allowMissingColumns=True), path, order_by)
     _remove_months(spark, path, emptied)
 

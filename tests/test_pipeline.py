@@ -118,6 +118,37 @@ def test_a_plain_refresh_repairs_changed_weather_only(spark, landing, tmp_path):
     assert kept and all(f.stat().st_mtime_ns == t for f, t in kept.items())
 
 
+@pytest.mark.parametrize("few", [10 ** 6, 0])
+def test_repaired_trips_are_not_shuffled_or_merged(spark, landing, tmp_path, monkeypatch, few):
+    """One hour gets warmer, one loses its weather: its months are written as they are read."""
+    monkeypatch.setattr(pipeline, "FEW_HOURS", few)
+    store = Store(spark, str(tmp_path / "store"))
+    for month in (1, 2):
+        pipeline.run_month(store, landing, 2025, month)
+    trips = store.table("fct_trips")
+    gone, warm = datetime(2025, 1, 1, 8), datetime(2025, 1, 2, 8)
+    before = values(trips.filter("pickup_month = 202502"))
+    kept = values(trips.filter("pickup_datetime >= '2025-01-03' and pickup_month = 202501"))
+    weather = store.weather().filter(F.col("timestamp") != F.lit(gone)).withColumn(
+        "temp", F.when(F.col("timestamp") == F.lit(warm), 40.0).otherwise(F.col("temp")))
+    merged, written, merge, write = [], [], pipeline.merge_into, pipeline.overwrite_months
+    monkeypatch.setattr(pipeline, "merge_into", lambda s, path, *a: (merged.append(path), merge(s, path, *a)))
+    monkeypatch.setattr(pipeline, "overwrite_months", lambda df, *a, **k: (
+        written.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **k)))
+    pipeline.repair_weather(store, weather)
+    assert merged == [store.path("fct_hourly_mobility")] and len(written) == 1
+    first = next(line for line in written[0].splitlines() if "Join" in line or "Exchange" in line)
+    assert few == 0 or "BroadcastHashJoin" in first
+    after = store.table("fct_trips")
+    assert values(after.filter("pickup_month = 202502")) == before
+    assert values(after.filter("pickup_datetime >= '2025-01-03' and pickup_month = 202501")) == kept
+    found = values(after.filter("pickup_datetime < '2025-01-03'"), "pickup_datetime", "temperature_celsius", "rain")
+    assert {(at.day, temp, rain) for at, temp, rain in found} == {(1, None, None), (2, 40.0, 1.0)} and len(found) == 6
+    hours = store.table("fct_hourly_mobility").filter("hour_timestamp < '2025-01-03'")
+    assert values(hours, "hour_timestamp", "avg_temperature_celsius", "trip_count") == [
+        (gone, None, 1)] * 3 + [(warm, 40.0, 1)] * 3
+
+
 def test_hours_that_differ(spark):
     def weather(*rows):
         return spark.createDataFrame([(datetime(2025, 1, 1, h), a, b) for h, a, b in rows], "timestamp timestamp_ntz, a double, b double")
