@@ -237,3 +237,27 @@ def test_months_replaced_whole_shuffle_keys_only(spark, tmp_path, monkeypatch):
     spark.catalog.refreshByPath(path)
     assert values(spark.read.parquet(path), "k", "v", tables.MONTH) == [("a", 3, 202501), ("b", 4, 202501)]
     assert tables.months_present(spark, path) == {202501}
+
+
+def test_few_rows_that_stay_are_picked_by_their_keys(spark, tmp_path, monkeypatch):
+    """One row without a key stays beside a large batch that lies by month; one moves its month."""
+    monkeypatch.setattr(tables, "FEW_KEYS", 1)
+    joined, plain = [], tables.without_keys_of
+
+    def seen(target, *arguments, **options):
+        joined.append(target.columns)
+        return plain(target, *arguments, **options)
+
+    monkeypatch.setattr(tables, "without_keys_of", seen)
+    path, month = str(tmp_path / "t"), F.month("t").cast("int") + 202500
+    first = rows(spark, ("a", A, 1), ("b", B, 2), (None, A, 5)).withColumn(tables.MONTH, month)
+    tables.merge_into(spark, path, tables.stage(first, str(tmp_path / "one")), ["k"], ())
+    again = rows(spark, ("a", A, 3), ("b", A, 4)).withColumn(tables.MONTH, month)
+    shuffled, write = [], tables._write_months
+    monkeypatch.setattr(tables, "_write_months", lambda *a: (shuffled.append(not a[5]), write(*a)))
+    tables.merge_into(spark, path, tables.stage(again, str(tmp_path / "two")), ["k"], (), ("t",), dealt=True)
+    assert joined == [["k"]] and shuffled == [False]
+    spark.catalog.refreshByPath(path)
+    assert values(spark.read.parquet(path), "k", "v", tables.MONTH) == [
+        ("a", 3, 202501), ("b", 4, 202501), (None, 5, 202501)]
+    assert tables.months_present(spark, path) == {202501}
