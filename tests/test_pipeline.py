@@ -247,6 +247,23 @@ def test_trips_travel_narrow_and_unchanged(spark, folder):
     assert both.exceptAll(dealt).isEmpty() and dealt.exceptAll(both).isEmpty()
 
 
+def test_build_sorts_trips_while_they_are_narrow(spark, folder, tmp_path):
+    from citytrips.fixtures import ProjectedStore
+
+    store = ProjectedStore(spark, str(tmp_path), folder)
+    fct, dealt = pipeline.dealt_trips(store.trips(), pipeline.write_weather(store))
+    plan = fct.sortWithinPartitions("pickup_month", "pickup_datetime")._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("BroadcastHashJoin", 1)
+    assert dealt and "Sort" not in above
+    assert "Sort" in below[:below.index("REBALANCE")] and "trip_key" not in below[below.index("Sort"):]
+    parts = fct.select(F.spark_partition_id().alias("p"), "pickup_month", "pickup_datetime").collect()
+    assert all(a[1:] <= b[1:] for a, b in zip(parts, parts[1:]) if a.p == b.p)
+    pipeline.write_trips(store, store.table("dim_weather"))
+    for file in (tmp_path / "core" / "fct_trips").glob("*/part-*"):
+        at = [r[0] for r in spark.read.parquet(str(file)).select("pickup_datetime").collect()]
+        assert at == sorted(at)
+
+
 def test_build_shuffles_no_weather_of_trips(spark, folder, tmp_path, monkeypatch):
     from citytrips.fixtures import ProjectedStore
 

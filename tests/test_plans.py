@@ -115,3 +115,22 @@ def test_aggregates_are_combined_before_each_shuffle(spark, fct_path):
     for df in (reports.data_summary(fct), reports.mode_comparison(fct), facts.fct_hourly(fct)):
         plan = plan_of(df)
         assert "partial_" in plan.split("Exchange hashpartitioning", 1)[1]
+
+
+def test_hourly_medians_hold_counts_of_values(spark, fct_path):
+    """Beside the medians, whole trips would be sorted by the task that reads them."""
+    fct = read_table(spark, fct_path)
+    lines = [x for x in plan_of(facts.fct_hourly(fct)).splitlines() if "ObjectHashAggregate" in x]
+    assert lines and not any("revenue" in x for x in lines)
+    some = fct.limit(40).withColumns({
+        "date_key": F.when(F.col("trip_id").cast("int") % 2 == 0, F.col("date_key")),
+        "trip_distance": F.when(F.col("trip_id").cast("int") % 5 > 0, F.col("trip_id").cast("double"))})
+    some = spark.createDataFrame(some.collect(), some.schema)
+    keys = [*facts.HOUR_GROUP[:-1], F.date_trunc("hour", "pickup_datetime").cast("timestamp_ntz").alias("hour_timestamp")]
+    plain = some.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        *[F.percentile(c, 0.5).alias(n) for n, c in facts.HOUR_MEDIANS.items()])
+    hourly = facts.fct_hourly(some)
+    assert values(hourly, *plain.columns) == values(plain)
+    assert not hourly.filter("date_key is null").isEmpty()
+    assert not hourly.filter("median_trip_distance_miles is null").isEmpty()
