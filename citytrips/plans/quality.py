@@ -90,6 +90,16 @@ def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
     return df.filter(_fails(rule))
 
 
+def rows_by_rule(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows that break row-level rules, once for each rule they break, which ``rule`` names.
+
+    Few rows fail, so lists of rules are made for these only.
+    """
+    fails = reduce(lambda a, b: a | b, [F.coalesce(_fails(r), F.lit(False)) for r in rules])
+    names = F.array(*[F.when(_fails(r), F.lit(f"{r.kind}_{r.column}")) for r in rules])
+    return df.filter(fails).withColumn("rule", F.explode(F.array_distinct(F.array_compact(names))))
+
+
 def duplicates(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once; counted in the map tasks first."""
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(
@@ -225,10 +235,9 @@ def _store(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame
                       else orphans(df, parents[rule.values[0]], rule.column))
             groups.write.mode("overwrite").parquet(f"{path}/{name}")
         else:
-            broken.append(F.when(_fails(rule), F.lit(name)))
+            broken.append(rule)
     if broken:
-        rows = df.withColumn("rule", F.explode(F.array_distinct(F.array_compact(F.array(*broken)))))
-        rows.write.mode("overwrite").partitionBy("rule").parquet(f"{path}/rows")
+        rows_by_rule(df, broken).write.mode("overwrite").partitionBy("rule").parquet(f"{path}/rows")
 
 
 # --- checks of their own --------------------------------------------------------------------

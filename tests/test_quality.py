@@ -53,6 +53,15 @@ def test_suite_counts_failures_in_one_pass(spark, tmp_path):
     assert plan.count("LogicalRDD") == 1
 
 
+def test_only_failing_rows_get_lists_of_rules(spark):
+    df = spark.createDataFrame([("a", 1), (None, 50), ("b", None), ("b", 5)], "k string, n int")
+    rows = quality.rows_by_rule(df, [*not_null("k", "n"), between("n", 0, 10)])
+    assert values(rows, "k", "n", "rule") == [
+        ("b", None, "not_null_n"), (None, 50, "between_n"), (None, 50, "not_null_k")]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "OR coalesce" in plan[plan.index("Generate"):]
+
+
 @pytest.mark.parametrize("missing, found", [(3, 0), (4, 1)])
 def test_gaps_longer_than_three_days(spark, missing, found):
     days = span(date(2025, 1, 1), 3) + span(date(2025, 1, 4 + missing), 2)
