@@ -6,6 +6,8 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
+from checks import workload
+from checks.workspace import Workspace
 from citytrips.operators import gaps
 from citytrips.plans import quality, suites
 from citytrips.plans.quality import between, holds, not_null, relationship, row_count, unique
@@ -62,6 +64,13 @@ def test_only_failing_rows_get_lists_of_rules(spark):
     assert "OR coalesce" in plan[plan.index("Generate"):]
 
 
+def test_rules_of_staged_tables_build_no_facts(spark, folder):
+    w = Workspace(spark, folder)
+    assert workload._suites(w, suites.BUSINESS).count() == 14
+    assert "_built" not in vars(w)
+    assert set(workload._checked_tables(w, {"stg_bike": suites.DECLARED["stg_bike"]})) == {"stg_bike"}
+
+
 @pytest.mark.parametrize("missing, found", [(3, 0), (4, 1)])
 def test_gaps_longer_than_three_days(spark, missing, found):
     days = span(date(2025, 1, 1), 3) + span(date(2025, 1, 4 + missing), 2)
