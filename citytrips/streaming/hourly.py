@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,8 +110,9 @@ class OpenHours(StatefulProcessor):
     """Value counts of the open hours of each mode; an hour is given out once, when the watermark
     has passed its end, and then forgotten.
 
-    The state of an hour is a list of (measure, value, rows), to which a batch appends its own counts
-    without reading the earlier ones. So the state grows with the different values of a batch.
+    The state of an hour is a list of (measure, values, rows): arrays of different values and how often
+    each occurs. A batch appends one of each without reading the earlier ones, so the state
+    grows with the different values of a batch, and calls with its hours only.
     """
 
     def __init__(self, measures: Sequence[str]):
@@ -120,27 +120,33 @@ class OpenHours(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getListState("counts", "measure string, value double, rows bigint")
+        self.counts = handle.getListState("value_counts", "measure string, vals binary, counts binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        seen: Counter = Counter()
+        import numpy as np
+
+        trips, seen = 0, {measure: [] for measure in self.measures}
         for frame in rows:
-            seen["", 0.0] += len(frame)  # all trips, also those without a value
-            for measure in self.measures:
-                seen.update((measure, v + 0.0) for v in frame[measure].tolist() if v == v and v is not None)
-        if not self.counts.exists():
-            self.handle.registerTimer(key[0] + 3_600_000)
-        self.counts.appendList([(m, v, n) for (m, v), n in seen.items()])
+            trips += len(frame)  # all trips, also those without a value
+            for measure, parts in seen.items():
+                values = frame[measure].to_numpy(dtype=float, na_value=np.nan)
+                parts.append(np.unique(values[~np.isnan(values)] + 0.0, return_counts=True))
+        held = [("", np.zeros(1), np.array([trips]))]
+        held += [(measure, *_summed(parts)) for measure, parts in seen.items()]
+        self.handle.registerTimer(key[0] + 3_600_000)  # again changes nothing
+        self.counts.appendList([
+            (m, v.astype("<f8").tobytes(), n.astype("<i8").tobytes()) for m, v, n in held if len(v)])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
+        import numpy as np
         import pandas as pd
 
-        held = {measure: Counter() for measure in ["", *self.measures]}
-        for measure, value, n in self.counts.get():
-            held[measure][value] += n
-        row = {"hour_ms": key[0], "trip_type": key[1], "trip_count": held[""].total()}
-        row |= {measure: _middle(held[measure]) for measure in self.measures}
+        held = {measure: [] for measure in ["", *self.measures]}
+        for measure, values, counts in self.counts.get():
+            held[measure].append((np.frombuffer(values, "<f8"), np.frombuffer(counts, "<i8")))
+        row = {"hour_ms": key[0], "trip_type": key[1], "trip_count": int(_summed(held[""])[1].sum())}
+        row |= {measure: _middle(*_summed(held[measure])) for measure in self.measures}
         self.counts.clear()
         yield pd.DataFrame([row])
 
@@ -148,15 +154,31 @@ class OpenHours(StatefulProcessor):
         pass
 
 
-def _middle(counted: Counter) -> float | None:
-    """Median of counted values."""
-    last, upto, found = counted.total() - 1, 0, []
-    for value in sorted(counted):
-        upto += counted[value]
-        found += [value for place in (last // 2, (last + 1) // 2)[len(found):] if place < upto]
-        if len(found) == 2:
-            return found[0] * 0.5 + found[1] * 0.5
-    return None
+def _summed(parts: list) -> tuple:
+    """Different values in ascending order, with their rows added up, of several such pairs."""
+    import numpy as np
+
+    if len(parts) == 1:
+        return parts[0]
+    if not parts:
+        return np.empty(0), np.empty(0, dtype="<i8")
+    values, at = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+    counts = np.zeros(len(values), dtype="<i8")
+    np.add.at(counts, at, np.concatenate([n for _, n in parts]))
+    return values, counts
+
+
+def _middle(values, counts) -> float | None:
+    """Median of ascending values that occur so often."""
+    import numpy as np
+
+    if not len(values):
+        return None
+    upto = np.cumsum(counts)
+    last = int(upto[-1]) - 1
+    low, high = (float(values[np.searchsorted(upto, place, side="right")])
+                 for place in (last // 2, (last + 1) // 2))
+    return low * 0.5 + high * 0.5
 
 
 def hourly_medians(trips: DataFrame, measures: Sequence[str], late: str = "2 hours") -> DataFrame:

@@ -77,3 +77,30 @@ def test_medians_of_closed_hours_with_late_rows_and_restarts(spark, tmp_path):
     assert run(("fhv", 20, 99.0)) == first  # behind the watermark
     last = run(("fhv", 6000, 1.0))
     assert last == sorted([*first, (9, "fhv", 2, 4.5), (11, "bike", 2, 0.25)], key=repr)
+
+
+def test_an_open_hour_keeps_arrays_of_counts():
+    """What crosses to the state store does not grow by an entry for every value."""
+    import pandas as pd
+
+    class Kept(list):
+        appendList, get, exists = list.extend, lambda self: iter(self), lambda self: bool(self)
+
+    class Handle:
+        timers, kept = set(), Kept()
+
+        def getListState(self, *_):
+            return self.kept
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    hours, handle = stream.OpenHours(["revenue", "trip_distance"]), Handle()
+    hours.init(handle)
+    for frames in ([range(1, 1001), range(500, 700)], [[-0.0, None, 0.0]]):
+        batch = [pd.DataFrame({"revenue": pd.Series(v, dtype="float64"), "trip_distance": None}) for v in frames]
+        assert not list(hours.handleInputRows((0, "fhv"), iter(batch), None))
+    assert len(handle.kept) <= 4
+    row = next(hours.handleExpiredTimer((0, "fhv"), None, None)).iloc[0]
+    assert (row["trip_count"], row["revenue"], row["trip_distance"]) == (1203, 549.5, None)
+    assert not handle.kept
