@@ -247,6 +247,22 @@ def test_trips_travel_narrow_and_unchanged(spark, folder):
     assert both.exceptAll(dealt).isEmpty() and dealt.exceptAll(both).isEmpty()
 
 
+def test_refresh_lands_and_sorts_trips_while_they_are_narrow(spark, landing, tmp_path, monkeypatch):
+    store, written, write = Store(spark, str(tmp_path / "store")), [], tables._write_months
+    pipeline.run_month(store, landing, 2025, 1)
+    monkeypatch.setattr(tables, "_write_months", lambda df, path, column, order_by, *a: (written.append((
+        path, df.sortWithinPartitions(column, *order_by)._jdf.queryExecution().executedPlan().toString())),
+        write(df, path, column, order_by, *a)))
+    pipeline.run_month(store, landing, 2025, 2)
+    plan, = [p for path, p in written if path == store.path("fct_trips")]
+    above, below = plan.split("BroadcastHashJoin", 1)
+    assert "Sort" not in above and "Sort" in below
+    assert "temp_category" not in spark.read.parquet(f"{store.root}/staging/fct_trips").columns
+    added = values(store.table("fct_trips").filter("pickup_month = 202502"))
+    pipeline.refresh(store, full_refresh=True)
+    assert added and added == values(store.table("fct_trips").filter("pickup_month = 202502"))
+
+
 def test_build_sorts_trips_while_they_are_narrow(spark, folder, tmp_path):
     from citytrips.fixtures import ProjectedStore
 
