@@ -27,62 +27,65 @@ def _types(text: np.ndarray) -> np.ndarray:
     return s_type
 
 
-def _deal(pending: list[list[np.ndarray]], items: np.ndarray, keys: np.ndarray) -> None:
-    """Appends items to the lists of their keys, in order."""
-    if not len(items):
-        return
-    order = np.argsort(keys, kind="stable")
-    items, keys = items[order], keys[order]
-    cuts = np.flatnonzero(np.diff(keys)) + 1
-    starts = [0, *cuts.tolist()]
-    for a, b in zip(starts, [*starts[1:], len(items)], strict=True):
-        pending[keys[a]].append(items[a:b])
-
-
 def _induce(text: np.ndarray, s_type: np.ndarray, lms: np.ndarray, size: int) -> np.ndarray:
     """The suffix array, given the LMS suffixes in their order (or in the order of their first
-    characters, which then sorts the LMS substrings)."""
-    seeds: list[list[np.ndarray]] = [[] for _ in range(size)]
-    _deal(seeds, lms, text[lms])
-    pending: list[list[np.ndarray]] = [[] for _ in range(size)]
-    larger: list[np.ndarray] = []
-    none = np.zeros(0, np.int64)
-    for c in range(size):
-        waves, wave = [], np.concatenate(pending[c]) if pending[c] else none
-        pending[c] = []
-        while len(wave):
-            waves.append(wave)
-            before = wave[wave > 0] - 1
-            before = before[~s_type[before]]
-            chars = text[before]
-            same = chars == c
-            _deal(pending, before[~same], chars[~same])
-            wave = before[same]
-        larger.append(np.concatenate(waves) if waves else none)
-        if seeds[c]:
-            before = seeds[c][0]
-            before = before[before > 0] - 1
-            before = before[~s_type[before]]
-            _deal(pending, before, text[before])
-    smaller: list[np.ndarray] = [none] * size
-    for c in range(size - 1, -1, -1):
-        waves, wave = [], np.concatenate(pending[c]) if pending[c] else none
-        if c == text[-1]:
-            wave = np.array([len(text) - 1])
-        while len(wave):
-            waves.append(wave)
-            before = wave[wave > 0] - 1
-            before = before[s_type[before]]
-            chars = text[before]
-            same = chars == c
-            _deal(pending, before[~same], chars[~same])
-            wave = before[same]
-        smaller[c] = np.concatenate(waves)[::-1] if waves else none
-        before = larger[c][::-1]
-        before = before[before > 0] - 1
-        before = before[s_type[before]]
-        _deal(pending, before, text[before])
-    return np.concatenate([part for c in range(size) for part in (larger[c], smaller[c])])
+    characters, which then sorts the LMS substrings).
+
+    L suffixes fill their buckets from the front, S suffixes from the back. A wave is what a bucket has got
+    since the last one; the suffixes before it are dealt out to their buckets at once, in order."""
+    n = len(text)
+    chars = text.astype(np.uint16) if size <= 1 << 16 else text  # short integers are sorted by radix
+    counts = np.bincount(text, minlength=size)
+    stops = np.cumsum(counts)
+    starts = stops - counts
+    ordered = np.empty(n, np.int64)
+    ahead = np.arange(n)
+    larger, smaller = np.zeros(n, bool), s_type.copy()
+    larger[1:], smaller[1:], smaller[0] = ~s_type[:-1], s_type[:-1], False
+    used = np.flatnonzero(counts).tolist()
+
+    def dealt(wave: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """The suffixes before a wave, if marked, by their characters; these, their counts and ranks."""
+        items = wave[before[wave]] - 1
+        if not len(items):
+            return None
+        keys = chars[items]
+        order = keys.argsort(kind="stable")
+        keys = keys[order]
+        own = np.bincount(keys, minlength=size)
+        return items[order], keys, own, ahead[:len(items)] - (own.cumsum() - own)[keys]
+
+    seeds = lms[chars[lms].argsort(kind="stable")]
+    first = [*np.searchsorted(chars[seeds], used).tolist(), len(lms)]
+    head = starts.copy()
+    for k, c in enumerate(used):
+        done = int(starts[c])
+        while done < (to := int(head[c])):
+            wave, done = ordered[done:to], to
+            if found := dealt(wave, larger):
+                items, keys, own, rank = found
+                ordered[head[keys] + rank] = items
+                head += own
+        if first[k] < first[k + 1] and (found := dealt(seeds[first[k]:first[k + 1]], larger)):
+            items, keys, own, rank = found
+            ordered[head[keys] + rank] = items
+            head += own
+    tail = stops.copy()
+    tail[text[-1]] -= 1
+    ordered[tail[text[-1]]] = n - 1
+    for c in reversed(used):
+        done = int(stops[c])
+        while done > (to := int(tail[c])):
+            wave, done = ordered[to:done][::-1], to
+            if found := dealt(wave, smaller):
+                items, keys, own, rank = found
+                ordered[tail[keys] - 1 - rank] = items
+                tail -= own
+        if starts[c] < head[c] and (found := dealt(ordered[starts[c]:head[c]][::-1], smaller)):
+            items, keys, own, rank = found
+            ordered[tail[keys] - 1 - rank] = items
+            tail -= own
+    return ordered
 
 
 def _doubled(names: np.ndarray) -> np.ndarray:

@@ -25,6 +25,7 @@ documents of their own: they repeat each other. Further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -83,36 +84,29 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     return at, np.concatenate(hashes)[first]
 
 
-def repeated_starts(rows: list[np.ndarray], documents: np.ndarray, places: np.ndarray, length: int, size: int) -> list[np.ndarray]:
-    """For each row of symbols (2 to size - 1) the offsets at which a string of ``length`` symbols
-    starts that also starts elsewhere. ``documents`` and ``places``: where the rows lie in the
-    corpus; rows may overlap there, and the same place is not elsewhere."""
-    sizes = np.array([len(r) for r in rows])
+def repeated_starts(text: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, documents: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows, ascending, and offsets in them at which a string starts that also starts elsewhere. ``text``:
+    rows of ``sizes`` symbols (2 to size - 1), a 1 after each, 0 at the end. ``lengths``: of the strings
+    of each row; rows with different lengths share no string that is as long as the shorter one. ``documents`` and
+    ``places``: where the rows lie in the corpus; rows may overlap there, and the same place is not elsewhere."""
     begin = np.cumsum(sizes + 1) - sizes - 1
-    owner = np.repeat(np.arange(len(rows)), sizes + 1)
+    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
     offset = np.arange(len(owner)) - begin[owner]
-    text = np.zeros(len(owner) + 1, np.int32)  # 0: end, 1: between rows
-    text[:-1] = 1
-    text[np.flatnonzero(offset < sizes[owner])] = np.concatenate(rows)
     order = suffix_array(text, size)
     common = common_prefixes(text, order)
-    fits = offset + length <= sizes[owner]
-    ranked = order[order < len(owner)]
+    fits = offset + lengths[owner] <= sizes[owner]
+    ranked = order[1:]
     # suffixes that are too short never lie between two with a common prefix of full length
     ranked = ranked[fits[ranked]]
-    out = [np.zeros(0, np.int64)] * len(rows)
     if not len(ranked):
-        return out
-    run = np.cumsum(common[ranked] < length)
-    d, p = documents[owner[ranked]], places[owner[ranked]] + offset[ranked]
-    starts = np.flatnonzero(np.diff(run, prepend=run[0] - 1))
-    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(run))))
+        return ranked, ranked
+    row = owner[ranked]
+    d, p = documents[row], places[row] + offset[ranked]
+    starts = np.flatnonzero(np.append(True, common[ranked[1:]] < lengths[row[1:]]))
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ranked))))
     other = (d != d[starts][group]) | (p != p[starts][group])
     hit = np.sort(ranked[np.logical_or.reduceat(other, starts)[group]])
-    cuts = np.searchsorted(owner[hit], np.arange(len(rows) + 1))
-    for k in np.flatnonzero(np.diff(cuts)):
-        out[k] = offset[hit[cuts[k]:cuts[k + 1]]]
-    return out
+    return owner[hit], offset[hit]
 
 
 def regions(left: int, data: bytes, length: int, reach: int) -> Iterator[tuple[int, int, int, bytes, bytes, bytes]]:
@@ -127,37 +121,42 @@ def regions(left: int, data: bytes, length: int, reach: int) -> Iterator[tuple[i
             yield low, high - low + 1, most, data[left - most:left - low], data[left - low:left - high + length], data[left - high + length:left - least + length]
 
 
-def solve_cores(groups: Iterable[Iterable[tuple[int, int, int, bytes, bytes]]], width: int, length: int) -> Iterator[tuple[int, int, int]]:
-    """Spans (row, start, stop) of the strings repeated among regions with equal cores: groups of (row,
-    key, place, bytes ahead of the core, bytes behind it) with different bytes. Of a string of
+def solve_cores(groups: Iterable[tuple[int, Iterable[tuple[int, int, int, bytes, bytes]]]], length: int) -> Iterator[tuple[int, int, int]]:
+    """Spans (row, start, stop) of the strings repeated among regions with equal cores: groups (width, regions) of
+    (row, key, place, bytes ahead of the core, bytes behind it) with different bytes. Of a string of
     ``length`` bytes all but ``width - 1`` are the core, which two symbols beyond all bytes stand for."""
-    numbers: list[int] = []
-    keys: list[int] = []
-    places: list[int] = []
-    rows: list[np.ndarray] = []
+    rows: list[tuple[int, int, int, int, int, int, int]] = []
+    parts: list[bytes] = []
     core = 0
 
     def closed() -> Iterator[tuple[int, int, int]]:
-        if rows:
-            found = repeated_starts(rows, np.array(keys), np.array(places), width + 1, 514)
-            for number, place, starts in zip(numbers, places, found, strict=True):
-                if len(starts):
-                    yield from ((number, place + int(x), place + int(y)) for x, y in zip(*_runs(starts, length), strict=True))
-
-    for group in groups:
+        if not rows:
+            return
+        numbers, keys, places, widths, cores, ahead, behind = np.array(rows, np.int64).T
+        base = math.isqrt(core) + 1  # few symbols, as each has a bucket of its own
+        sizes = ahead + behind + 2
+        ends = np.cumsum(sizes + 1) - 1
+        text = np.zeros(ends[-1] + 2, np.int32)  # 0: end, 1: between rows
+        text[:-1] = np.frombuffer(b"".join(parts), np.uint8)
+        text[:-1] += 2
+        text[ends] = 1
+        at = ends - behind - 2
+        text[at], text[at + 1] = 258 + cores // base, 258 + cores % base
+        row, offset = repeated_starts(text, sizes, widths + 1, keys, places, 258 + base)
+        if len(row):
+            start = places[row] + offset
+            cut = np.append(True, (np.diff(row) != 0) | (np.diff(start) > length))
+            stop = start[np.append(cut[1:], True)] + length
+            yield from zip(numbers[row[cut]].tolist(), start[cut].tolist(), stop.tolist(), strict=True)
+
+    for width, group in groups:
         for number, key, place, ahead, behind in group:
-            row = np.empty(len(ahead) + len(behind) + 2, np.int32)
-            row[:len(ahead)] = np.frombuffer(ahead, np.uint8)
-            row[len(ahead):len(ahead) + 2] = 256 + (core >> 8), 256 + (core & 255)
-            row[len(ahead) + 2:] = np.frombuffer(behind, np.uint8)
-            rows.append(row + 2)
-            numbers.append(number)
-            keys.append(key)
-            places.append(place)
+            rows.append((number, key, place, width, core, len(ahead), len(behind)))
+            parts += (ahead, b"\0\0", behind, b"\0")
         core += 1
         if len(rows) >= ARRAY_ROWS:  # strings of different cores never match
             yield from closed()
-            numbers, keys, places, rows, core = [], [], [], [], 0
+            rows, parts, core = [], [], 0
     yield from closed()
 
 
@@ -166,7 +165,7 @@ def solve(contexts: list[tuple[int, int, int, bytes]], length: int = LENGTH, rea
     position, bytes to the left of it, bytes), each place given once. ``reach``: how far before its
     anchor a string starts at most."""
     found: dict[tuple, list[int]] = {}
-    cores: dict[int, dict[tuple, list[tuple]]] = {}
+    cores: dict[tuple, list[tuple]] = {}
     for at, (_, _, left, data) in enumerate(contexts):
         for low, width, most, ahead, core, behind in regions(left, data, length, reach):
             region = (low, most, ahead, core, behind)
@@ -174,24 +173,17 @@ def solve(contexts: list[tuple[int, int, int, bytes]], length: int = LENGTH, rea
                 found[region].append(at)
             else:
                 found[region] = [at]
-                cores.setdefault(width, {}).setdefault((low, core), []).append(region)
+                cores.setdefault((width, low, core), []).append(region)
     spans = []
     for (_, most, ahead, core, behind), members in found.items():
         if len(members) > 1:
             size = len(ahead) + len(core) + len(behind)
             spans += [(m, contexts[m][1] - most, contexts[m][1] - most + size) for m in members]
-    for width, own in cores.items():
-        groups = ([(found[r][0], contexts[found[r][0]][0], contexts[found[r][0]][1] - r[1], r[2], r[4]) for r in group] for group in own.values() if len(group) > 1)
-        spans += solve_cores(groups, width, length)
+    groups = ((key[0], [(found[r][0], contexts[found[r][0]][0], contexts[found[r][0]][1] - r[1], r[2], r[4]) for r in own]) for key, own in cores.items() if len(own) > 1)
+    spans += solve_cores(groups, length)
     return spans
 
 
-def _runs(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merged spans [from, to) of the strings at sorted starts."""
-    cut = np.flatnonzero(np.diff(starts) > length) + 1
-    return starts[np.concatenate([[0], cut])], starts[np.concatenate([cut - 1, [len(starts) - 1]])] + length
-
-
 def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, a key of id and text, text (null: empty)."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *carry)
@@ -309,9 +301,9 @@ def _dealt(contexts: DataFrame, lengths: tuple[int, ...]) -> tuple[DataFrame, li
 
         def done() -> pa.RecordBatch:
             spans = []
-            for length, width in {k[:2] for k in held}:
-                groups = (own for k, own in held.items() if k[:2] == (length, width))
-                spans += [(key, length, start, stop) for key, start, stop in solve_cores(groups, width, length)]
+            for length in lengths:
+                groups = ((k[1], own) for k, own in held.items() if k[0] == length)
+                spans += [(key, length, start, stop) for key, start, stop in solve_cores(groups, length)]
             return _span_batch(spans)
 
         for batch in batches:

@@ -173,6 +173,24 @@ def test_repeats_of_two_lengths_match_brute_force(documents, monkeypatch, most,
         assert [(x["n_passage_bytes"], x["n_passages"]) for x in sorted(found, key=lambda x: x["doc_id"])] == [w[1:3] for w in _removed(texts, passage)]
 
 
+def test_cores_of_all_widths_share_an_array_of_few_symbols(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text, size: sizes.append(size) or suffix_array.suffix_array(text, size))
+    r = random.Random(4)
+    texts = []
+    for passage in ["".join(r.choices("abcdefg ", k=668)) for _ in range(30)]:
+        for _ in range(5):
+            k = r.choice([r.randint(0, 120), r.randint(548, 667)])
+            texts.append(passage[:k] + "#" + passage[k + 1:])
+    contexts = [(k, 268, 268, t.encode()) for k, t in enumerate(texts)]
+    found = {k: [] for k in range(len(texts))}
+    for k, start, stop in suffix_dedup.solve(contexts, 400, 268):
+        found[k].append((start, stop))
+    merged = [suffix_dedup._merged(found[k]) for k in range(len(texts))]
+    assert [(sum(b - a for a, b in runs), len(runs)) for runs in merged] == [w[1:3] for w in _removed(texts)]
+    assert len(sizes) == 1 and sizes[0] < 300  # a bucket for each symbol is what an array costs at least
+
+
 def test_runs_of_a_character_have_few_anchors(documents):
     keyed = suffix_dedup._keyed(documents((1, " " * 200_000), (2, "ab" * 100_000), (3, "x" + " " * 3000)))
     assert suffix_dedup._anchors(keyed, (300, 400)).count() < 5000
