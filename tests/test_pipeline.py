@@ -294,3 +294,85 @@ def test_build_shuffles_no_weather_of_trips(spark, folder, tmp_path, monkeypatch
     assert "temp_category" not in plan[plan.index("RebalancePartitions"):plan.index("Union")]
     few, many = (df.drop("pickup_month") for df, _ in written)
     assert few.exceptAll(many).isEmpty() and few.count() == many.count()
+
+
+def test_ranges_hold_every_month_and_a_share_of_the_trips(monkeypatch):
+    monkeypatch.setattr(pipeline, "RANGE_TRIPS", 0)
+    counts = {None: 5, **{202401 + m: 10 for m in range(12)}, 202502: 400, 202503: 1}
+    ranges = pipeline.month_ranges(counts)
+    assert ranges[0][0] is None and ranges[-1][1] is None
+    assert all(a[1] + 1 == b[0] for a, b in zip(ranges, ranges[1:]))
+    inside = [sum(n for m, n in counts.items() if (f is None or m is not None and m >= f) and (t is None or m is None or m <= t))
+              for f, t in ranges]
+    assert sum(inside) == sum(counts.values()) and inside == [65, 60, 400, 1]
+    assert pipeline.month_ranges({}) == [(None, None)] == pipeline.month_ranges({None: 9})
+    monkeypatch.setattr(pipeline, "RANGE_TRIPS", 10 ** 6)
+    assert pipeline.month_ranges(counts) == [(None, None)]
+
+
+def test_many_trips_are_built_repaired_and_refreshed_range_by_range(spark, folder, tmp_path, monkeypatch):
+    """The share of the trips that lies beside the tables at a time is small; results are those of one range."""
+    from citytrips.fixtures import ProjectedStore
+
+    class Late(ProjectedStore):
+        warmer = False
+
+        def raw(self, name):
+            df = super().raw(name)
+            if name == "trips":  # one ride has no start, so it lies in no month
+                return df.withColumn("started_at", F.expr("if(ride_id = 'R7', null, started_at)"))
+            return df.withColumn("temp", F.col("temp") + 20) if self.warmer and name == "hourly_weather" else df
+
+    stores, landed, land, write = [], [], pipeline.stage, tables._write_months
+
+    def note(df, path):
+        out = land(df, path)
+        landed.append((path, out.count()))
+        return out
+
+    written = []
+    monkeypatch.setattr(pipeline, "RANGES", 4, raising=False)
+    monkeypatch.setattr(pipeline, "stage", note)
+    monkeypatch.setattr(tables, "_write_months", lambda df, path, *a: (written.append((path, df.count())), write(df, path, *a)))
+    for name, least in (("whole", 10 ** 9), ("cut", 0)):
+        monkeypatch.setattr(pipeline, "RANGE_TRIPS", least, raising=False)
+        stores.append(Late(spark, str(tmp_path / name), folder))
+        pipeline.refresh(stores[-1])
+        stores[-1].warmer = True
+        pipeline.refresh(stores[-1], start="1990-01-01")
+    whole, cut = stores
+    total = cut.table("fct_trips").count()
+    assert cut.table("fct_trips").filter("pickup_month is null").count() == 1
+    assert max(n for path, n in landed if path == f"{cut.root}/staging/fct_trips") < total / 2
+    assert max(n for path, n in written if path.startswith(cut.path("fct_trips"))) < total / 2
+    assert sum(n for path, n in landed if path == f"{cut.root}/staging/fct_trips") == total - 1
+    for name in ("fct_trips", "fct_hourly_mobility", "dim_date", "dim_time", "dim_weather", pipeline.DIGESTS):
+        a, b = whole.table(name), cut.table(name)
+        assert a.exceptAll(b.select(a.columns)).isEmpty() and a.count() == b.count() > 0, name
+
+
+def test_a_range_is_cut_before_trips_are_shuffled(spark, folder, tmp_path, monkeypatch):
+    from citytrips.fixtures import ProjectedStore
+
+    monkeypatch.setattr(pipeline, "RANGE_TRIPS", 0)
+    parts = pipeline.trips_in_ranges(ProjectedStore(spark, str(tmp_path), folder))
+    plan = parts[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(parts) > 4 and plan.count("Window [") == 2
+    for below in plan.split("Window [")[1:]:
+        assert "month(" in below[:below.index("Relation")]
+
+
+def test_shuffle_files_go_with_each_query_of_a_refresh(spark, folder, tmp_path):
+    from citytrips.fixtures import ProjectedStore
+
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in files.mkString("\n").split("\n") if "/shuffle_" in n}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, value = shuffled(), spark.conf.get(key, None)
+    store = ProjectedStore(spark, str(tmp_path), folder)
+    pipeline.refresh(store)
+    pipeline.refresh(store, start="1990-01-01")
+    assert not shuffled() - before
+    assert spark.conf.get(key, None) == value
