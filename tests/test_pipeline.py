@@ -388,7 +388,7 @@ def test_pickups_of_a_range_are_those_of_its_months(spark):
         F.col("t").cast("timestamp_ntz").alias("pickup_datetime"))
     month = F.year("pickup_datetime") * 100 + F.month("pickup_datetime")
     assert rows.filter(month.isNull()).count() == 1
-    for first, last in ((None, None), (None, 199912), (None, 200012), (200001, 200012), (200012, 200012), (200101, None), (101, 200011), (-295, 1200001)):
+    for first, last in ((None, None), (None, 199912), (None, 200012), (200001, 200012), (200012, 200012), (200101, None), (101, 200011), (200001, 200100), (-295, 1200001)):
         same = pipeline.picked_up_within(first, last).eqNullSafe(pipeline.within(month, first, last))
         wrong = rows.filter(~same & F.col("pickup_datetime").isNotNull())
         assert wrong.isEmpty()
